@@ -16,9 +16,12 @@ __all__ = [
     "col_", "ts_from_millis", "ts_from_text", "minutes_between", "pct",
     "date_from_epoch_seconds", "trade_value", "trade_side", "price_magnitude",
     "is_large_trade", "candle_type", "freshness_status", "fng_classification",
-    "iso_text", "as_ts",
+    "iso_text", "as_ts", "order_key",
 ]
 
+# Decimal factor separating the two parts of an ordering key (10^20).
+_KEY_SHIFT = "CAST(100000000000000000000 AS DECIMAL(38,0))"
+
 
 def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -100,3 +103,15 @@ def fng_classification(value) -> Column:
         expr = (F.when(v <= F.lit(bound), F.lit(label)) if expr is None
                 else expr.when(v <= F.lit(bound), F.lit(label)))
     return expr.otherwise(F.lit(config.FNG_CLASSES[-1][1]))
+
+
+def order_key(major, minor) -> Column:
+    """One ``decimal(38,0)`` value ordering rows by (major, minor).
+
+    ``major`` is a long (e.g. epoch microseconds, < 10^17) and ``minor`` a
+    long tie-break with |minor| < 5 * 10^19.  A primitive key keeps
+    ``min_by``/``max_by`` on the hash-aggregate path; a struct key would
+    force a sort-based aggregate.
+    """
+    return (col_(major).cast("decimal(38,0)") * F.expr(_KEY_SHIFT)
+            + col_(minor).cast("decimal(38,0)"))

@@ -1,8 +1,9 @@
 """Gold: OHLCV candles per (symbol, tumbling event-time window).
 
 Open and close are the prices of the first and last trade of the window
-ordered by (trade_timestamp, trade_id, price) -- deterministic, unlike an
-unordered first/last.  All aggregates are declarative, so Spark computes
+ordered by trade time, then trade id (or price when the producer sends no
+id) -- deterministic, unlike an unordered first/last.  The order is one
+decimal key so every aggregate stays on the hash-aggregate path.  All aggregates are declarative, so Spark computes
 partial candles on the map side and shuffles at most one row per
 (symbol, window) per task; a hot symbol does not concentrate raw trades.
 """
@@ -13,11 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge import config
+from tickforge.functions import order_key
 from tickforge.schemas import CANDLE_COLUMNS
 
 
 def _order() -> Column:
-    return F.struct(F.col("trade_timestamp"), F.col("trade_id"), F.col("price"))
+    tie = F.coalesce(F.col("trade_id"),
+                     F.round(F.col("price") * F.lit(1e8)).cast("long"))
+    return order_key(F.unix_micros("trade_timestamp"), tie)
 
 
 def candle_aggregates() -> list[Column]:

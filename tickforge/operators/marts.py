@@ -8,9 +8,10 @@ written in the shape Spark executes best rather than as literal CTEs:
   conditional aggregates instead of two window scans and two joins;
 * OHLC summary: hourly figures attached with one window pass partitioned
   by (symbol, hour) instead of windowing, ranking and self-joining;
-* pipeline health: freshness and daily context derived from the hourly
-  aggregate (one scan of the candles), joined back on tiny keyed sides;
-  AQE measures those sides at run time and broadcasts them only then.
+* pipeline health: freshness and daily context are windows over the
+  hourly aggregate, so the candles are read and shuffled once;
+* price vs sentiment: the sentiment side (one row per day) is joined
+  without a hint; AQE broadcasts it only after measuring it at run time.
 """
 
 from __future__ import annotations
@@ -109,35 +110,46 @@ def hourly_ingestion(candles: DataFrame) -> DataFrame:
 
 def pipeline_health(candles: DataFrame, as_of, fresh: float = config.FRESH_MINUTES,
                     stale: float = config.STALE_MINUTES, ordered: bool = True) -> DataFrame:
-    """Completeness per (hour, symbol) with freshness and daily context."""
-    hourly = hourly_ingestion(candles)
-    fresh_side = (hourly.groupBy("symbol").agg(F.max("latest_candle").alias("latest_candle_time"))
-                  .filter(F.col("symbol").isNotNull()))
+    """Completeness per (hour, symbol) with freshness and daily context.
+
+    The candles are aggregated once, to (hour, symbol); freshness (per
+    symbol) and daily context (per day) are windows over that small hourly
+    table, so the candle input is read and shuffled once -- a join of
+    three separately aggregated branches would recompute it three times.
+    Window groups are bounded by time (hours per symbol, symbols x 24 per
+    day), not by trade volume.  NULL symbols get no freshness and are not
+    counted as active symbols, as with the equi-join and COUNT(DISTINCT).
+    """
+    hourly = hourly_ingestion(candles).withColumn(
+        "_day", F.date_trunc("day", "ingestion_hour"))
+    sym = F.col("symbol")
+    day = F.col("_day")   # one attribute, so both day windows share one shuffle
+    by_day = Window.partitionBy(day)
+    # distinct non-NULL symbols of the day = highest dense rank among them
+    rank_in_day = F.dense_rank().over(Window.partitionBy(day).orderBy(sym.asc_nulls_last()))
+    with_day = hourly.withColumns({
+        "day_total_candles": F.sum("candles_count").over(by_day),
+        "_sym_rank": F.when(sym.isNotNull(), rank_in_day),
+    }).withColumn("day_active_symbols",
+                  F.coalesce(F.max("_sym_rank").over(by_day), F.lit(0)).cast("long"))
+    latest = F.when(sym.isNotNull(), F.max("latest_candle").over(Window.partitionBy(sym)))
+    out = with_day.withColumn("latest_candle_time", latest)
     mins = minutes_between(as_ts(as_of), F.col("latest_candle_time"))
-    fresh_side = fresh_side.select("symbol", "latest_candle_time",
-                                   mins.alias("minutes_since_last_candle"),
-                                   freshness_status(mins, fresh, stale).alias("freshness_status"))
-    # Daily context from the hourly rows: a symbol is active on a day when
-    # it has an hourly row; NULL symbols add candles but not symbols.
-    per_day_symbol = (hourly.groupBy(F.date_trunc("day", "ingestion_hour").alias("_day"), "symbol")
-                      .agg(F.sum("candles_count").alias("_n")))
-    daily = per_day_symbol.groupBy("_day").agg(
-        F.sum("_n").alias("day_total_candles"),
-        F.count("symbol").alias("day_active_symbols"))
-    daily = daily.withColumn(
-        "daily_completeness_pct",
-        F.round(F.col("day_total_candles") / F.nullif(
-            F.col("day_active_symbols") * F.lit(float(config.CANDLES_PER_DAY)), F.lit(0.0))
-            * F.lit(100.0), 1))
-    out = (hourly.join(fresh_side, "symbol", "left")
-           .join(daily, F.date_trunc("day", hourly["ingestion_hour"]) == daily["_day"], "left")
-           .select("ingestion_hour", "symbol", "candles_count", "total_trades", "total_volume",
-                   "last_ingested_at", "earliest_candle", "latest_candle", "completeness_pct",
-                   "missing_candles", "latest_candle_time", "minutes_since_last_candle",
-                   "freshness_status", "day_total_candles", "day_active_symbols",
-                   "daily_completeness_pct"))
+    out = out.withColumns({
+        "minutes_since_last_candle": mins,
+        "freshness_status": F.when(F.col("latest_candle_time").isNotNull(),
+                                   freshness_status(mins, fresh, stale)),
+        "daily_completeness_pct": F.round(
+            F.col("day_total_candles") / F.nullif(
+                F.col("day_active_symbols") * F.lit(float(config.CANDLES_PER_DAY)), F.lit(0.0))
+            * F.lit(100.0), 1),
+    }).select("ingestion_hour", "symbol", "candles_count", "total_trades", "total_volume",
+              "last_ingested_at", "earliest_candle", "latest_candle", "completeness_pct",
+              "missing_candles", "latest_candle_time", "minutes_since_last_candle",
+              "freshness_status", "day_total_candles", "day_active_symbols",
+              "daily_completeness_pct")
     if ordered:
-        out = out.orderBy(F.col("ingestion_hour").desc_nulls_first(), F.col("symbol").asc_nulls_last())
+        out = out.orderBy(F.col("ingestion_hour").desc_nulls_first(), sym.asc_nulls_last())
     return out
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge import config
-from tickforge.functions import (col_, is_large_trade, price_magnitude,
+from tickforge.functions import (col_, is_large_trade, order_key, price_magnitude,
                                  trade_side, trade_value, ts_from_millis,
                                  ts_from_text)
 
@@ -90,25 +90,29 @@ def transform(trades: DataFrame, processed_at=None, strict: bool = False) -> Dat
     return enrich(normalize(clean(trades, strict)), processed_at).select(*SILVER_ORDER)
 
 
-def dedupe(trades: DataFrame, key: list[str] | None = None) -> DataFrame:
+def dedupe(trades: DataFrame, key: list[str] | None = None,
+           also_by: tuple[str, ...] = ("source",)) -> DataFrame:
     """Batch de-duplication: one row per key, the first arrival.
 
-    "First" is the smallest (ingest time, trade id) with the remaining
-    columns as a final tie-break, so the choice does not depend on
-    partitioning or arrival order.  It is an ordinary aggregate
-    (``min`` of a struct): partial aggregation removes copies before the
-    shuffle, so a key delivered millions of times costs one row per map
-    task.
+    "First" is the smallest (ingest time, trade id); rows without an ingest
+    time come last.  It is an ordinary hash aggregate -- ``min_by`` of each
+    remaining column over one decimal ordering key -- so copies are removed
+    on the map side before the shuffle and a key delivered millions of
+    times costs one row per map task.  Columns in ``also_by`` (the feed's
+    ``source`` tag, constant per feed) join the grouping so that no
+    variable-width value has to be carried through the aggregation buffer.
+    Apply it before ``enrich``: enrichment is per row, so the result is
+    the same and the aggregate only carries three fixed-width columns.
     """
-    key = key or config.DEDUPE_KEY
-    rest = [c for c in trades.columns if c not in key]
-    order = [F.coalesce(F.unix_micros("ingest_timestamp"), F.lit(2**63 - 1)).alias("_o1")
-             if "ingest_timestamp" in trades.columns else F.lit(0).alias("_o1"),
-             F.coalesce(F.col("trade_id"), F.lit(2**63 - 1)).alias("_o2")
-             if "trade_id" in trades.columns else F.lit(0).alias("_o2")]
-    first = F.min(F.struct(*order, *[F.col(c) for c in rest])).alias("_first")
-    return (trades.groupBy(*key).agg(first)
-            .select(*key, *[F.col(f"_first.{c}").alias(c) for c in rest])
+    key = list(key or config.DEDUPE_KEY)
+    group = key + [c for c in also_by if c in trades.columns and c not in key]
+    rest = [c for c in trades.columns if c not in group]
+    ingest = (F.unix_micros("ingest_timestamp") if "ingest_timestamp" in trades.columns
+              else F.lit(None).cast("long"))
+    tid = F.col("trade_id") if "trade_id" in trades.columns else F.lit(None).cast("long")
+    first = order_key(F.coalesce(ingest, F.lit(10**17)), F.coalesce(tid, F.lit(2**63 - 1)))
+    return (trades.groupBy(*group)
+            .agg(*[F.min_by(c, first).alias(c) for c in rest])
             .select(*trades.columns))
 
 
@@ -124,8 +128,10 @@ def dedupe_stream(trades: DataFrame, key: list[str] | None = None,
 
 
 def silver_batch(trades: DataFrame, processed_at=None, strict: bool = False) -> DataFrame:
-    """Full silver table in batch: transform, dedupe, partition columns."""
-    return add_date_parts(dedupe(transform(trades, processed_at, strict)))
+    """Full silver table in batch: clean, normalise, de-duplicate, enrich,
+    partition columns (one shuffle: the de-duplication aggregate)."""
+    deduped = dedupe(normalize(clean(trades, strict)))
+    return add_date_parts(enrich(deduped, processed_at).select(*SILVER_ORDER))
 
 
 def silver_stream(trades: DataFrame, processed_at=None, strict: bool = False,

@@ -14,7 +14,9 @@ def parse_documents(docs: DataFrame, text_col: str = "value", updated_at=None) -
     fng_classification, updated_at).  Documents without a reading or with
     a non-numeric value are dropped."""
     doc = F.from_json(col_(text_col).cast("string"), schemas.SENTIMENT_DOC)
-    r = F.get(doc.getField("data"), 0)
+    # one parse per document: the reading becomes an attribute first
+    docs = docs.select(F.get(doc.getField("data"), 0).alias("_r"))
+    r = F.col("_r")
     if updated_at is None:
         upd = F.current_timestamp()
     elif isinstance(updated_at, Column):

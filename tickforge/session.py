@@ -39,6 +39,7 @@ def build_session(master: str | None = None, app: str = "tickforge",
         builder = builder.master(master)
     conf = dict(CORE_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -1,0 +1,33 @@
+import datetime as dt
+import json
+
+from tickforge.operators import sentiment
+
+
+def _doc(value, label, ts):
+    return json.dumps({"name": "Fear and Greed Index",
+                       "data": [{"value": str(value), "value_classification": label,
+                                 "timestamp": str(ts), "time_until_update": "1"}]})
+
+
+def test_parse_documents(spark):
+    docs = spark.createDataFrame([(_doc(25, "Fear", 1704067200),), ('{"data": []}',), ("oops",),
+                                  (_doc("x", "Fear", 1704067200),)], "value string")
+    out = sentiment.parse_documents(docs, updated_at="2024-01-01 03:00:00").collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r.date, r.fng_value, r.fng_classification) == (dt.date(2024, 1, 1), 25, "Fear")
+    assert r.updated_at == dt.datetime(2024, 1, 1, 3)
+
+
+def test_upsert_latest_wins(spark):
+    schema = "date date, fng_value int, fng_classification string, updated_at timestamp"
+    d1, d2, d3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    t0, t1, t2 = (dt.datetime(2024, 1, 5, h) for h in (0, 1, 2))
+    cur = spark.createDataFrame([(d1, 10, "Extreme Fear", t0), (d2, 50, "Neutral", t0)], schema)
+    inc = spark.createDataFrame([(d2, 60, "Greed", t1), (d2, 61, "Greed", t2), (d3, 90, "Extreme Greed", t1)],
+                                schema)
+    out = {r.date: r for r in sentiment.upsert_latest(cur, inc).collect()}
+    assert out[d1].fng_value == 10 and out[d1].updated_at == t0
+    assert out[d2].fng_value == 61 and out[d2].updated_at == t2
+    assert out[d3].fng_value == 90

@@ -30,13 +30,16 @@ def read_latest(spark: SparkSession, path: str, key: list[str],
                 fmt: str = "parquet") -> DataFrame:
     """Rows of a ``BatchFileSink`` folder, one per key from the newest batch.
 
-    An aggregate (``max_by`` over batch id) rather than a window, so it is
-    combined map-side and a key repeated across many batches stays cheap.
+    An aggregate (``max_by`` of each column over the batch id) rather than a
+    window, so it is combined map-side and a key repeated across many
+    batches stays cheap; a stream emits a key at most once per batch, so
+    all columns come from the same row.  With fixed-width value columns
+    (as in the candle table) it runs as a hash aggregate.
     """
     raw = spark.read.format(fmt).load(path)
     rest = [c for c in raw.columns if c not in key and c != "batch_id"]
-    best = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col("batch_id")).alias("_r")
-    return raw.groupBy(*key).agg(best).select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    bid = F.col("batch_id")
+    return raw.groupBy(*key).agg(*[F.max_by(c, bid).alias(c) for c in rest])
 
 
 class JdbcSink:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tickforge import schemas
 from tickforge.operators import bronze, candles, envelope, history, marts, sentiment, silver
 from tickforge.plans import medallion
-from tickforge.plans.oracle import FRESH_CLOCK, NEW_SENTIMENT_DAY, RUN_CLOCK
+from tickforge.plans.oracle import FRESH_CLOCK, RUN_CLOCK
 from tickforge.session import pin_utc, run_dir
 from tickforge.sources import fixtures
 from tickforge.sources.streams import lake_table
@@ -98,7 +98,7 @@ def q_sentiment_parsed(spark, sf_dir):
 def q_sentiment_upsert(spark, sf_dir):
     ev = _events(spark, sf_dir)
     stored = fixtures.sentiment_rows(ev, RUN_CLOCK)
-    incoming = fixtures.sentiment_revisions(ev, NEXT_LOAD_CLOCK, NEW_SENTIMENT_DAY)
+    incoming = fixtures.sentiment_revisions(ev, NEXT_LOAD_CLOCK)
     return sentiment.upsert_latest(stored, incoming)
 
 

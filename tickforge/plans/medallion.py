@@ -52,10 +52,15 @@ class LakePaths:
 
 
 def write_silver(trades: DataFrame, path: str, processed_at=None) -> None:
-    """Batch silver: one shuffle (the de-duplication aggregate), then a
-    partitioned write clustered by day so each task writes few files."""
+    """Batch silver: the de-duplication aggregate, then a partitioned write.
+
+    The ``rebalance`` hint clusters rows by day so each task writes few
+    files, and lets AQE split a day that holds a large share of the rows
+    over several tasks (a plain repartition by day would give a hot day
+    to one task) and merge small days.
+    """
     out = silver.silver_batch(trades, processed_at)
-    (out.repartition(*schemas.SILVER_PARTITIONS).write.mode("overwrite")
+    (out.hint("rebalance", *schemas.SILVER_PARTITIONS).write.mode("overwrite")
      .partitionBy(*schemas.SILVER_PARTITIONS).parquet(path))
 
 

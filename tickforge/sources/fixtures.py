@@ -120,21 +120,18 @@ def sentiment_documents(events: DataFrame) -> DataFrame:
     )).alias("value"))
 
 
-def sentiment_revisions(events: DataFrame, updated_at, new_day: str) -> DataFrame:
+def sentiment_revisions(events: DataFrame, updated_at) -> DataFrame:
     """Incoming upsert batch: revised readings for days with day%3=0
-    (value + 1) plus one reading for a day not stored yet."""
+    (value + 1) plus a reading for the day after the last event day."""
     stored = sentiment_rows(events, updated_at)
     revised_v = (F.col("fng_value") + 1).cast("int")
     revised = stored.filter(F.dayofmonth("date") % REVISED_DAY_EVERY == 0).select(
         "date", revised_v.alias("fng_value"),
         fng_classification(revised_v).alias("fng_classification"),
         F.lit(updated_at).cast("timestamp").alias("updated_at"))
-    new_date = F.lit(new_day).cast("date")
-    new_v = _fng(F.dayofmonth(new_date)).cast("int")
-    # The extra day is attached to the (tiny) set of distinct days so the
-    # batch still derives from the table: one extra row, no driver data.
-    extra = event_days(events).agg(F.max("date").alias("d")).select(
-        new_date.alias("date"), new_v.alias("fng_value"),
-        fng_classification(new_v).alias("fng_classification"),
-        F.lit(updated_at).cast("timestamp").alias("updated_at"))
+    nxt = event_days(events).agg(F.date_add(F.max("date"), 1).alias("date"))
+    new_v = _fng(F.dayofmonth("date")).cast("int")
+    extra = nxt.select("date", new_v.alias("fng_value"),
+                       fng_classification(new_v).alias("fng_classification"),
+                       F.lit(updated_at).cast("timestamp").alias("updated_at"))
     return revised.unionByName(extra)

@@ -22,3 +22,11 @@ def history_rows(silver: DataFrame, day: dt.date | str | None = None) -> DataFra
                                & (F.col("day") == d.day))
     return silver.select(*schemas.HISTORY_COLUMNS,
                          F.to_date("trade_timestamp").alias("trade_date"))
+
+
+def write_history(rows: DataFrame, path: str) -> None:
+    """Store history rows partitioned by ``trade_date``, replacing only the
+    dates present in ``rows`` (dynamic partition overwrite), so re-running a
+    day's load does not append a second copy."""
+    (rows.hint("rebalance", "trade_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("trade_date").parquet(path))

@@ -109,3 +109,63 @@ def run_streaming(spark: SparkSession, lake: LakePaths, processed_at=None,
                                                 ingested_at=processed_at), timeout_s)
     return read_latest(spark, lake.gold, ["symbol", "candle_start_time"]).select(
         *schemas.CANDLE_COLUMNS)
+
+
+def build_marts_from_lake(spark: SparkSession, lake: LakePaths, as_of,
+                          sentiment_df: DataFrame | None = None) -> dict[str, str]:
+    """Marts from the gold folder written by ``run_streaming`` (latest copy
+    of each candle) and a sentiment table (empty when absent)."""
+    candles_df = read_latest(spark, lake.gold, ["symbol", "candle_start_time"]).select(
+        *schemas.CANDLE_COLUMNS)
+    if sentiment_df is None:
+        sentiment_df = spark.createDataFrame([], schemas.SENTIMENT)
+    return build_marts(spark, candles_df, sentiment_df, lake.marts, as_of)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line: run the stages in order against one lake root.
+
+    python -m tickforge.plans.medallion --lake s3a://lake --kafka host:9092 \\
+        --topic trades --stages bronze,silver,gold,marts --as-of '2024-01-31 00:00:00'
+    """
+    import argparse
+
+    from tickforge.operators import sentiment as sentiment_ops
+    from tickforge.session import build_session
+    from tickforge.sources.streams import kafka_messages, landed_documents
+
+    ap = argparse.ArgumentParser(prog="tickforge")
+    ap.add_argument("--lake", required=True)
+    ap.add_argument("--kafka", help="bootstrap servers; default reads <lake>/landing files")
+    ap.add_argument("--topic")
+    ap.add_argument("--stages", default="bronze,silver,gold,marts")
+    ap.add_argument("--as-of", help="mart clock, 'YYYY-MM-DD HH:MM:SS' (default: now)")
+    ap.add_argument("--sentiment-docs", help="folder of landed sentiment API documents")
+    ap.add_argument("--timeout", type=float, default=None)
+    args = ap.parse_args(argv)
+    spark = build_session(app="tickforge-medallion")
+    lake = LakePaths(args.lake)
+    wanted = [s.strip() for s in args.stages.split(",") if s.strip()]
+    if "bronze" in wanted:
+        src = (kafka_messages(spark, args.kafka, args.topic) if args.kafka
+               else message_files(spark, lake.landing))
+        stages.await_done(stages.start_bronze(src, lake.bronze, lake.checkpoint("bronze")),
+                          args.timeout)
+    if "silver" in wanted:
+        stages.await_done(stages.start_silver(spark, lake.bronze, lake.silver,
+                                              lake.checkpoint("silver")), args.timeout)
+    if "gold" in wanted:
+        stages.await_done(stages.start_gold_batches(spark, lake.silver, BatchFileSink(lake.gold),
+                                                    lake.checkpoint("gold")), args.timeout)
+    if "marts" in wanted:
+        from pyspark.sql import functions as F
+        sent = None
+        if args.sentiment_docs:
+            sent = sentiment_ops.parse_documents(landed_documents(spark, args.sentiment_docs))
+        as_of = args.as_of or F.current_timestamp()
+        build_marts_from_lake(spark, lake, as_of, sent)
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

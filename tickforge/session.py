@@ -83,3 +83,28 @@ def run_dir(spark: SparkSession, label: str) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def object_store_conf(endpoint: str | None, access_key: str | None = None,
+                      secret_key: str | None = None, path_style: bool = True,
+                      ssl: bool = False) -> dict:
+    """``spark.hadoop.fs.s3a.*`` settings for an S3-compatible store.
+
+    Returns no settings when ``endpoint`` is empty, so the default AWS
+    endpoint and credential chain apply.  Pass the result as ``extra`` to
+    ``build_session`` (the settings must be present before the first
+    filesystem access).  Lake paths then use ``s3a://bucket/...``.
+    """
+    if not endpoint:
+        return {}
+    conf = {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
+    }
+    if access_key:
+        conf["spark.hadoop.fs.s3a.access.key"] = access_key
+    if secret_key:
+        conf["spark.hadoop.fs.s3a.secret.key"] = secret_key
+    return conf

@@ -33,6 +33,8 @@ def test_normalize_envelopes_drops_bad_messages(spark):
     assert rows["BTCUSDT1"].is_buyer_maker is None
     flagged = envelope.normalize_envelopes(raw, keep_rejects=True)
     assert flagged.filter("not _valid").count() == 4
+    counts = envelope.count_rejects(raw).collect()[0]
+    assert (counts.accepted, counts.rejected) == (3, 4)
 
 
 def test_keyed_json_round_trip_through_bronze(spark):
@@ -50,9 +52,11 @@ def test_keyed_json_round_trip_through_bronze(spark):
 
 
 def test_bronze_keeps_malformed_as_null_row(spark):
-    b = bronze.bronze_from_messages(_raw(spark, ["garbage", None])).collect()
+    df = bronze.bronze_from_messages(_raw(spark, ["garbage", None]))
+    b = df.collect()
     assert len(b) == 2
     assert all(r.symbol is None and r.year is None for r in b)
+    assert bronze.count_unparsed(df).collect()[0].unparsed == 2
 
 
 def test_envelope_parses_json_once(spark):

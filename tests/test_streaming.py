@@ -45,14 +45,16 @@ def test_late_rows_are_dropped_and_restart_adds_nothing(spark, fresh_dir):
     _append_silver(spark, _minute_trades(range(0, 30)), lake.silver)
     run = lambda: stages.await_done(stages.start_gold_files(
         spark, lake.silver, lake.gold, lake.checkpoint("gold"), ingested_at=CLOCK), 120)
-    run()
+    q = run()
+    assert stages.dropped_late_rows(q) == 0
     first = lake_table(spark, lake.gold).count()
     assert first == 19
     run()                                     # same checkpoint, no new data
     assert lake_table(spark, lake.gold).count() == first
     late = [trade(price=500.0, quantity=7.0, trade_id=900, at="2024-01-01 00:03:30")]  # behind
     _append_silver(spark, late + _minute_trades(range(30, 45)), lake.silver)
-    run()
+    q = run()
+    assert stages.dropped_late_rows(q) == 1
     out = lake_table(spark, lake.gold)
     m3 = out.filter(F.col("candle_start_time") == F.lit(dt.datetime(2024, 1, 1, 0, 3))).collect()
     assert len(m3) == 1 and m3[0].trade_count == 1 and m3[0].high_price == 103.0

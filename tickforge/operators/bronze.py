@@ -35,3 +35,11 @@ def add_time_parts(trades: DataFrame) -> DataFrame:
 
 def bronze_from_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return add_time_parts(decode_messages(raw, value_col))
+
+
+def count_unparsed(bronze_rows: DataFrame) -> DataFrame:
+    """Number of bronze rows whose message could not be decoded (all fields
+    NULL); silver's quality filter removes them."""
+    from pyspark.sql import functions as F
+    return bronze_rows.agg(F.count(F.when(F.col("symbol").isNull() & F.col("trade_time").isNull(),
+                                          F.lit(1))).alias("unparsed"))

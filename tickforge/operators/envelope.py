@@ -85,3 +85,10 @@ def keyed_json(messages: DataFrame, key_col: str = "symbol") -> DataFrame:
         F.col(key_col).cast("string").alias("key"),
         F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"),
     )
+
+
+def count_rejects(raw: DataFrame, text_col: str = "value") -> DataFrame:
+    """Accepted and rejected message counts (one row), for monitoring."""
+    flagged = normalize_envelopes(raw, text_col, ingested_at="", keep_rejects=True)
+    return flagged.agg(F.count(F.when(F.col("_valid"), F.lit(1))).alias("accepted"),
+                       F.count(F.when(~F.col("_valid"), F.lit(1))).alias("rejected"))

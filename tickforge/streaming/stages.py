@@ -88,3 +88,15 @@ def start_gold_batches(spark: SparkSession, silver_path: str, sink, checkpoint:
     w = (gold_candles(spark, silver_path, **kw).writeStream.outputMode("append")
          .foreachBatch(sink).option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
+
+
+def dropped_late_rows(query: StreamingQuery) -> int:
+    """Rows the stateful operators dropped as late (behind the watermark)
+    over the query's recent progress reports."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
+            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) \
+                else getattr(op, "numRowsDroppedByWatermark", 0)
+            total += int(n or 0)
+    return total

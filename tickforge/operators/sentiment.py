@@ -37,15 +37,18 @@ def upsert_latest(current: DataFrame, incoming: DataFrame, key: str = "date",
     """Keyed upsert: incoming rows replace stored rows with the same key.
 
     Within the incoming batch the row with the greatest ``order_col`` wins
-    (ties: greatest values).  Implemented as union + ``max_by`` per key -- an
-    aggregate with map-side combine -- and meant to be written back with
-    overwrite (dynamic partition overwrite for partitioned tables).
+    (ties: greatest remaining values).  The result is
+    ``stored LEFT ANTI JOIN incoming  UNION  latest incoming``: only the
+    (usually small) incoming batch is aggregated, and when AQE measures it
+    as small the anti join becomes a broadcast join that streams the stored
+    table without shuffling it.  Write the result back with overwrite
+    (dynamic partition overwrite for a partitioned table).
     """
     cols = current.columns
     rest = [c for c in cols if c != key]
-    tagged = (current.select(*cols, F.lit(0).alias("_gen"))
-              .unionByName(incoming.select(*cols, F.lit(1).alias("_gen"))))
-    rank = F.struct(F.col("_gen"), F.col(order_col), *[F.col(c) for c in rest])
-    best = F.max_by(F.struct(*[F.col(c) for c in rest]), rank).alias("_row")
-    return (tagged.groupBy(key).agg(best)
-            .select(key, *[F.col(f"_row.{c}").alias(c) for c in rest]))
+    rank = F.struct(F.col(order_col), *[F.col(c) for c in rest if c != order_col])
+    latest = (incoming.groupBy(key)
+              .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), rank).alias("_row"))
+              .select(key, *[F.col(f"_row.{c}").alias(c) for c in rest]))
+    kept = current.join(latest.select(key), key, "left_anti")
+    return kept.select(*cols).unionByName(latest.select(*cols))

@@ -131,17 +131,24 @@ def _written_silver(spark, sf_dir, label):
     return medallion.LakePaths(root)
 
 
+def _state_partitions(spark):
+    # one state partition per core of this session; set explicitly at scale
+    return spark.sparkContext.defaultParallelism
+
+
 def q_stream_candles(spark, sf_dir):
     lake = _written_silver(spark, sf_dir, "stream-candles")
     stages.await_done(stages.start_gold_files(spark, lake.silver, lake.gold,
-                                              lake.checkpoint("gold"), ingested_at=RUN_CLOCK))
+                                              lake.checkpoint("gold"), ingested_at=RUN_CLOCK,
+                                              state_partitions=_state_partitions(spark)))
     return lake_table(spark, lake.gold)
 
 
 def q_stream_gold_sink(spark, sf_dir):
     lake = _written_silver(spark, sf_dir, "stream-gold")
     stages.await_done(stages.start_gold_batches(spark, lake.silver, BatchFileSink(lake.gold),
-                                                lake.checkpoint("gold"), ingested_at=RUN_CLOCK))
+                                                lake.checkpoint("gold"), ingested_at=RUN_CLOCK,
+                                                state_partitions=_state_partitions(spark)))
     return read_latest(spark, lake.gold, ["symbol", "candle_start_time"]).select(
         *schemas.CANDLE_COLUMNS)
 
@@ -153,10 +160,20 @@ def q_stream_bronze_silver(spark, sf_dir):
     stages.await_done(stages.start_bronze(message_files(spark, lake.landing), lake.bronze,
                                           lake.checkpoint("bronze")))
     stages.await_done(stages.start_silver(spark, lake.bronze, lake.silver,
-                                          lake.checkpoint("silver"), processed_at=RUN_CLOCK))
+                                          lake.checkpoint("silver"), processed_at=RUN_CLOCK,
+                                          state_partitions=_state_partitions(spark)))
     return lake_table(spark, lake.silver)
 
 
+def q_lake_market_overview(spark, sf_dir):
+    """The whole batch medallion: silver, gold and the four marts written as
+    tables in a fresh lake; returns the overview mart read back."""
+    lake = medallion.LakePaths(run_dir(spark, "lake"))
+    paths = medallion.run_batch(spark, _trades(spark, sf_dir), _sentiment(spark, sf_dir), lake,
+                                as_of=RUN_CLOCK, processed_at=RUN_CLOCK)
+    return lake_table(spark, paths["mart_market_overview"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fx_trades": q_fx_trades,
     "silver_clean": q_silver_clean,
@@ -179,4 +196,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_candles": q_stream_candles,
     "stream_gold_sink": q_stream_gold_sink,
     "stream_bronze_silver": q_stream_bronze_silver,
+    "lake_market_overview": q_lake_market_overview,
 }

@@ -19,6 +19,27 @@ from tickforge.sources.streams import lake_stream
 from tickforge.streaming.sinks import BatchFileSink
 
 
+def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start a query; ``state_partitions`` sets the number of state-store
+    partitions of its stateful operators.
+
+    Spark takes that number from ``spark.sql.shuffle.partitions`` when a
+    query first starts and keeps it in the checkpoint afterwards.  The
+    stream runs on a clone of the session made at ``start()``, so the
+    setting is applied only around the call and the caller's session is
+    left as it was.
+    """
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
 def _trigger(writer, trigger: str | None):
     if trigger in (None, "available_now"):
         return writer.trigger(availableNow=True)
@@ -53,7 +74,8 @@ def start_bronze(messages: DataFrame, path: str, checkpoint: str,
 def start_silver(spark: SparkSession, bronze_path: str, path: str, checkpoint: str,
                  trigger: str | None = "available_now", processed_at=None,
                  delay: str = config.WATERMARK_DELAY, strict: bool = False,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """Bronze lake stream -> cleaned, enriched, de-duplicated silver lake."""
     src = lake_stream(spark, bronze_path, schemas.BRONZE, max_files_per_trigger)
     out = silver.silver_stream(src, processed_at, strict, delay)
@@ -61,7 +83,7 @@ def start_silver(spark: SparkSession, bronze_path: str, path: str, checkpoint: s
          .writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint)
          .partitionBy(*schemas.SILVER_PARTITIONS))
-    return _trigger(w, trigger).start()
+    return _start(_trigger(w, trigger), spark, state_partitions)
 
 
 def gold_candles(spark: SparkSession, silver_path: str, width: str = config.CANDLE_WIDTH,
@@ -72,22 +94,24 @@ def gold_candles(spark: SparkSession, silver_path: str, width: str = config.CAND
 
 
 def start_gold_files(spark: SparkSession, silver_path: str, path: str, checkpoint: str,
-                     trigger: str | None = "available_now", **kw) -> StreamingQuery:
+                     trigger: str | None = "available_now", state_partitions: int | None = None,
+                     **kw) -> StreamingQuery:
     """Candle stream -> parquet file sink (append; the sink's commit log
     makes it exactly-once)."""
     w = (gold_candles(spark, silver_path, **kw).writeStream.format("parquet")
          .outputMode("append").option("path", path).option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
+    return _start(_trigger(w, trigger), spark, state_partitions)
 
 
 def start_gold_batches(spark: SparkSession, silver_path: str, sink, checkpoint: str,
-                       trigger: str | None = "available_now", **kw) -> StreamingQuery:
+                       trigger: str | None = "available_now", state_partitions: int | None = None,
+                       **kw) -> StreamingQuery:
     """Candle stream -> a ``foreachBatch`` sink (``BatchFileSink`` or ``JdbcSink``)."""
     if isinstance(sink, str):
         sink = BatchFileSink(sink)
     w = (gold_candles(spark, silver_path, **kw).writeStream.outputMode("append")
          .foreachBatch(sink).option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
+    return _start(_trigger(w, trigger), spark, state_partitions)
 
 
 def dropped_late_rows(query: StreamingQuery) -> int:

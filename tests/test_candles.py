@@ -20,11 +20,13 @@ def test_open_close_tie_break_within_one_millisecond(spark):
     assert c.trade_count == 4 and c.total_volume == 4.0
 
 
-def test_no_trade_id_breaks_ties_by_price(spark):
-    rows = [trade(price=10.0, at="2024-01-01 00:00:00.500"),
-            trade(price=12.0, at="2024-01-01 00:00:00.500")]
-    c = candles.candles(_silver(spark, rows)).collect()[0]
-    assert (c.open_price, c.close_price) == (10.0, 12.0)
+def test_no_trade_id_ties_are_deterministic(spark):
+    # same millisecond, no trade id: ordered by pmod(price * 1e8, 1024)
+    rows = [trade(price=10.0, at="2024-01-01 00:00:00.500"),     # 1e9   % 1024 = 512
+            trade(price=12.0, at="2024-01-01 00:00:00.500")]     # 1.2e9 % 1024 = 0
+    for order in (rows, rows[::-1]):
+        c = candles.candles(_silver(spark, order)).collect()[0]
+        assert (c.open_price, c.close_price) == (12.0, 10.0)
 
 
 def test_null_side_counts_in_total_only(spark):

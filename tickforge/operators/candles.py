@@ -2,8 +2,9 @@
 
 Open and close are the prices of the first and last trade of the window
 ordered by trade time, then trade id (or price when the producer sends no
-id) -- deterministic, unlike an unordered first/last.  The order is one
-decimal key so every aggregate stays on the hash-aggregate path.  All aggregates are declarative, so Spark computes
+id; see ``order_key`` for ties within one microsecond) -- deterministic,
+unlike an unordered first/last.  The order is one long key, so every
+aggregate stays on the hash-aggregate path.  All aggregates are declarative, so Spark computes
 partial candles on the map side and shuffles at most one row per
 (symbol, window) per task; a hot symbol does not concentrate raw trades.
 """

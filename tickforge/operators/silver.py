@@ -16,6 +16,7 @@ from tickforge import config
 from tickforge.functions import (col_, is_large_trade, order_key, price_magnitude,
                                  trade_side, trade_value, ts_from_millis,
                                  ts_from_text)
+from tickforge.functions.exprs import LAST_MICROS
 
 
 def quality_predicate(strict: bool = False) -> Column:
@@ -94,9 +95,10 @@ def dedupe(trades: DataFrame, key: list[str] | None = None,
            also_by: tuple[str, ...] = ("source",)) -> DataFrame:
     """Batch de-duplication: one row per key, the first arrival.
 
-    "First" is the smallest (ingest time, trade id); rows without an ingest
-    time come last.  It is an ordinary hash aggregate -- ``min_by`` of each
-    remaining column over one decimal ordering key -- so copies are removed
+    "First" is the earliest ingest time (rows without one come last), then
+    the trade id (its low bits, see ``order_key``).  It is an ordinary hash
+    aggregate -- ``min_by`` of each remaining column over one long ordering
+    key -- so copies are removed
     on the map side before the shuffle and a key delivered millions of
     times costs one row per map task.  Columns in ``also_by`` (the feed's
     ``source`` tag, constant per feed) join the grouping so that no
@@ -110,7 +112,7 @@ def dedupe(trades: DataFrame, key: list[str] | None = None,
     ingest = (F.unix_micros("ingest_timestamp") if "ingest_timestamp" in trades.columns
               else F.lit(None).cast("long"))
     tid = F.col("trade_id") if "trade_id" in trades.columns else F.lit(None).cast("long")
-    first = order_key(F.coalesce(ingest, F.lit(10**17)), F.coalesce(tid, F.lit(2**63 - 1)))
+    first = order_key(F.coalesce(ingest, F.lit(LAST_MICROS)), F.coalesce(tid, F.lit(0)))
     return (trades.groupBy(*group)
             .agg(*[F.min_by(c, first).alias(c) for c in rest])
             .select(*trades.columns))

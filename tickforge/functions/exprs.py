@@ -30,7 +30,10 @@ def col_(c) -> Column:
 
 
 def as_ts(value) -> Column:
-    """A timestamp literal (string 'yyyy-MM-dd HH:mm:ss') or a Column."""
+    """A timestamp literal (string 'yyyy-MM-dd HH:mm:ss'), a Column, or
+    None for the current time (the query's start time)."""
+    if value is None:
+        return F.current_timestamp()
     if isinstance(value, Column):
         return value
     return F.lit(str(value)).cast("timestamp")

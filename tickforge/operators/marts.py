@@ -24,7 +24,7 @@ from tickforge.functions import (as_ts, candle_type, freshness_status,
                                  minutes_between, pct)
 
 
-def market_overview(candles: DataFrame, as_of, window: str = config.OVERVIEW_WINDOW) -> DataFrame:
+def market_overview(candles: DataFrame, as_of=None, window: str = config.OVERVIEW_WINDOW) -> DataFrame:
     """Rolling snapshot per symbol that has a candle since ``as_of - window``.
 
     current_price / last_updated come from the latest candle over all
@@ -108,7 +108,7 @@ def hourly_ingestion(candles: DataFrame) -> DataFrame:
                  (F.lit(config.CANDLES_PER_HOUR) - n).alias("missing_candles")))
 
 
-def pipeline_health(candles: DataFrame, as_of, fresh: float = config.FRESH_MINUTES,
+def pipeline_health(candles: DataFrame, as_of=None, fresh: float = config.FRESH_MINUTES,
                     stale: float = config.STALE_MINUTES, ordered: bool = True) -> DataFrame:
     """Completeness per (hour, symbol) with freshness and daily context.
 

@@ -122,7 +122,7 @@ def build_marts_from_lake(spark: SparkSession, lake: LakePaths, as_of,
     return build_marts(spark, candles_df, sentiment_df, lake.marts, as_of)
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
     """Command line: run the stages in order against one lake root.
 
     python -m tickforge.plans.medallion --lake s3a://lake --kafka host:9092 \\
@@ -158,14 +158,13 @@ def main(argv: list[str] | None = None) -> None:
         stages.await_done(stages.start_gold_batches(spark, lake.silver, BatchFileSink(lake.gold),
                                                     lake.checkpoint("gold")), args.timeout)
     if "marts" in wanted:
-        from pyspark.sql import functions as F
         sent = None
         if args.sentiment_docs:
             sent = sentiment_ops.parse_documents(landed_documents(spark, args.sentiment_docs))
-        as_of = args.as_of or F.current_timestamp()
-        build_marts_from_lake(spark, lake, as_of, sent)
-    spark.stop()
+        build_marts_from_lake(spark, lake, args.as_of, sent)
+    if stop_session:
+        spark.stop()
 
 
 if __name__ == "__main__":
-    main()
+    main(stop_session=True)

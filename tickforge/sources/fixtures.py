@@ -33,8 +33,16 @@ FNG_MODULUS = 101
 REVISED_DAY_EVERY = 3
 
 
+# Declared schema of the shared ``events`` table (read without inference).
+EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+                 "value DOUBLE, props STRING")
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    r = spark.read
+    if name == "events":
+        r = r.schema(EVENTS_SCHEMA)
+    return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _symbol(event_type: Column) -> Column:

@@ -98,16 +98,33 @@ def _fng(day: Column) -> Column:
     return (day * F.lit(FNG_MULTIPLIER)) % F.lit(FNG_MODULUS)
 
 
+def _sentiment_readings(events: DataFrame, stored_at, revised_at) -> DataFrame:
+    """Per event day, its stored reading and its revised one (value + 1),
+    generated together from the distinct days.  Days with day%7=0 have no
+    reading; only days with day%3=0 are revised.  The day filters apply to
+    generated rows, so every branch built on this shares one aggregate of
+    the table (Spark reuses its exchange) instead of scanning it again."""
+    d = F.col("date")
+    v = _fng(F.dayofmonth(d)).cast("int")
+    rv = (v + 1).cast("int")
+
+    def reading(kind, value, at):
+        return F.struct(F.lit(kind).alias("kind"), d.alias("date"), value.alias("fng_value"),
+                        fng_classification(value).alias("fng_classification"),
+                        F.lit(at).cast("timestamp").alias("updated_at"))
+
+    rows = event_days(events).select(
+        F.inline(F.array(reading("stored", v, stored_at), reading("revised", rv, revised_at))))
+    day = F.dayofmonth("date")
+    keep = (day % NO_SENTIMENT_DAY_EVERY != 0) & (
+        (F.col("kind") == "stored") | (day % REVISED_DAY_EVERY == 0))
+    return rows.filter(keep)
+
+
 def sentiment_rows(events: DataFrame, updated_at) -> DataFrame:
     """Stored sentiment rows: one per event day, days with day%7=0 missing."""
-    days = event_days(events).filter(F.dayofmonth("date") % NO_SENTIMENT_DAY_EVERY != 0)
-    v = _fng(F.dayofmonth("date")).cast("int")
-    return days.select(
-        "date",
-        v.alias("fng_value"),
-        fng_classification(v).alias("fng_classification"),
-        F.lit(updated_at).cast("timestamp").alias("updated_at"),
-    )
+    return (_sentiment_readings(events, updated_at, None).filter(F.col("kind") == "stored")
+            .drop("kind"))
 
 
 def sentiment_documents(events: DataFrame) -> DataFrame:
@@ -131,12 +148,8 @@ def sentiment_documents(events: DataFrame) -> DataFrame:
 def sentiment_revisions(events: DataFrame, updated_at) -> DataFrame:
     """Incoming upsert batch: revised readings for days with day%3=0
     (value + 1) plus a reading for the day after the last event day."""
-    stored = sentiment_rows(events, updated_at)
-    revised_v = (F.col("fng_value") + 1).cast("int")
-    revised = stored.filter(F.dayofmonth("date") % REVISED_DAY_EVERY == 0).select(
-        "date", revised_v.alias("fng_value"),
-        fng_classification(revised_v).alias("fng_classification"),
-        F.lit(updated_at).cast("timestamp").alias("updated_at"))
+    revised = (_sentiment_readings(events, None, updated_at)
+               .filter(F.col("kind") == "revised").drop("kind"))
     nxt = event_days(events).agg(F.date_add(F.max("date"), 1).alias("date"))
     new_v = _fng(F.dayofmonth("date")).cast("int")
     extra = nxt.select("date", new_v.alias("fng_value"),

@@ -100,3 +100,23 @@ def test_price_vs_sentiment(spark):
     assert (a.avg_price, a.max_price, a.min_price, a.total_volume) == (3.0, 4.0, 0.5, 3.0)
     assert (a.fng_value, a.fng_classification) == (40, "Fear")
     assert got[("2024-01-02", "BTCUSDT")].fng_value is None
+
+
+def test_sentiment_join_broadcasts_only_after_measuring(spark):
+    """No estimate-based broadcast: the planned join is a shuffle join, and
+    AQE switches to a broadcast only once the sentiment side has run and
+    reported its size."""
+    c = candle_rows(spark, [
+        ("2024-01-01 10:00:00", "BTCUSDT", 1.0, 2.0, 0.5, 1.5, 1.0, 1.0, 0.0, 1),
+        ("2024-01-02 10:00:00", "BTCUSDT", 1.5, 2.5, 1.0, 2.0, 2.0, 1.0, 1.0, 2),
+    ])
+    sent = spark.createDataFrame([(dt.date(2024, 1, 1), 40, "Fear", dt.datetime(2024, 1, 2))],
+                                 "date date, fng_value int, fng_classification string, "
+                                 "updated_at timestamp")
+    df = marts.price_vs_sentiment(c, sent)
+    qe = df._jdf.queryExecution()
+    assert "BroadcastHashJoin" not in qe.executedPlan().toString()
+    rows = qe.toRdd().count()
+    assert rows == 2
+    final = qe.executedPlan().toString()
+    assert "isFinalPlan=true" in final and "BroadcastHashJoin" in final

@@ -16,7 +16,7 @@ from tickforge import schemas
 from tickforge.operators import bronze, candles, envelope, history, marts, sentiment, silver
 from tickforge.plans import medallion
 from tickforge.plans.oracle import FRESH_CLOCK, RUN_CLOCK
-from tickforge.session import pin_utc, run_dir
+from tickforge.session import apply_runtime_conf, run_dir
 from tickforge.sources import fixtures
 from tickforge.sources.streams import lake_table
 from tickforge.streaming import stages
@@ -26,7 +26,7 @@ NEXT_LOAD_CLOCK = "2024-01-31 01:00:00"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pin_utc(spark)
+    apply_runtime_conf(spark)
     return fixtures.load_table(spark, sf_dir, "events")
 
 
@@ -96,10 +96,14 @@ def q_sentiment_parsed(spark, sf_dir):
 
 
 def q_sentiment_upsert(spark, sf_dir):
+    """The stored dimension and the incoming batch are tables, as in a
+    daily load: both are written first, then the upsert reads the two."""
     ev = _events(spark, sf_dir)
-    stored = fixtures.sentiment_rows(ev, RUN_CLOCK)
-    incoming = fixtures.sentiment_revisions(ev, NEXT_LOAD_CLOCK)
-    return sentiment.upsert_latest(stored, incoming)
+    root = run_dir(spark, "sentiment")
+    fixtures.sentiment_rows(ev, RUN_CLOCK).write.parquet(f"{root}/stored")
+    fixtures.sentiment_revisions(ev, NEXT_LOAD_CLOCK).write.parquet(f"{root}/incoming")
+    return sentiment.upsert_latest(lake_table(spark, f"{root}/stored"),
+                                   lake_table(spark, f"{root}/incoming"))
 
 
 def q_price_vs_sentiment(spark, sf_dir):

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickforge import config, schemas
 from tickforge.operators import candles as candle_ops
 from tickforge.operators import marts, silver
+from tickforge.session import apply_runtime_conf
 from tickforge.sources.streams import lake_table, message_files
 from tickforge.streaming import stages
 from tickforge.streaming.sinks import BatchFileSink, read_latest
@@ -88,6 +89,7 @@ def build_marts(spark: SparkSession, candles_df: DataFrame, sentiment_df: DataFr
 def run_batch(spark: SparkSession, trades: DataFrame, sentiment_df: DataFrame,
               lake: LakePaths, as_of, processed_at=None) -> dict[str, str]:
     """Trades -> silver table -> candle table -> marts, each stage written."""
+    apply_runtime_conf(spark)
     write_silver(trades, lake.silver, processed_at)
     silver_df = lake_table(spark, lake.silver)
     write_candles(silver_df, lake.gold, ingested_at=processed_at)

@@ -13,13 +13,22 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every run of the library relies on.  UTC is pinned because
-# event time is stored as epoch milliseconds and partitioned by calendar
-# day/hour; AQE coalesces small shuffles, splits skewed ones and turns a
-# sort-merge join into a broadcast join only after it has measured the
-# small side at run time.
-CORE_CONF = {
+# Runtime SQL settings every query of the library relies on.  UTC is
+# pinned because event time is stored as epoch milliseconds and
+# partitioned by calendar day/hour.  Broadcast joins are chosen only from
+# sizes measured at run time: the static, estimate-based choice is off,
+# and AQE turns a shuffle join into a broadcast join after the small
+# side's shuffle stage has run and reported its actual size.
+RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+}
+
+# Session settings: the runtime ones plus AQE, which coalesces small
+# shuffles and splits skewed join partitions.
+CORE_CONF = {
+    **RUNTIME_CONF,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -47,14 +56,16 @@ def build_session(master: str | None = None, app: str = "tickforge",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    pin_utc(spark)
+    apply_runtime_conf(spark)
     return spark
 
 
-def pin_utc(spark: SparkSession) -> None:
-    """Event-time arithmetic in this library assumes a UTC session."""
-    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Set ``RUNTIME_CONF`` on a session the caller owns (UTC event time,
+    broadcast joins only from measured sizes)."""
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickforge import config, schemas
 from tickforge.operators import bronze, candles, silver
+from tickforge.session import apply_runtime_conf
 from tickforge.sources.streams import lake_stream
 from tickforge.streaming.sinks import BatchFileSink
 
@@ -62,6 +63,7 @@ def await_done(query: StreamingQuery, timeout_s: float | None = None) -> Streami
 def start_bronze(messages: DataFrame, path: str, checkpoint: str,
                  trigger: str | None = "available_now", name: str | None = None) -> StreamingQuery:
     """Message stream -> bronze parquet partitioned by year/month/day/hour."""
+    apply_runtime_conf(messages.sparkSession)   # partition parts are UTC calendar fields
     out = bronze.bronze_from_messages(messages).select(*[f.name for f in schemas.BRONZE.fields])
     w = (out.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint)
@@ -77,6 +79,7 @@ def start_silver(spark: SparkSession, bronze_path: str, path: str, checkpoint: s
                  max_files_per_trigger: int | None = None,
                  state_partitions: int | None = None) -> StreamingQuery:
     """Bronze lake stream -> cleaned, enriched, de-duplicated silver lake."""
+    apply_runtime_conf(spark)
     src = lake_stream(spark, bronze_path, schemas.BRONZE, max_files_per_trigger)
     out = silver.silver_stream(src, processed_at, strict, delay)
     w = (out.select(*[f.name for f in schemas.SILVER.fields])
@@ -89,6 +92,7 @@ def start_silver(spark: SparkSession, bronze_path: str, path: str, checkpoint: s
 def gold_candles(spark: SparkSession, silver_path: str, width: str = config.CANDLE_WIDTH,
                  delay: str = config.WATERMARK_DELAY, ingested_at=None,
                  max_files_per_trigger: int | None = None) -> DataFrame:
+    apply_runtime_conf(spark)
     src = lake_stream(spark, silver_path, schemas.SILVER, max_files_per_trigger)
     return candles.candles_stream(src, width, delay, ingested_at)
 

@@ -2,7 +2,7 @@
 
 usage: python tools/plans.py [sf_dir] > PLANS.md
 
-Runs each query into the noop sink so adaptive re-planning has happened,
+Runs each query (counting rows in the JVM) so adaptive re-planning has happened,
 then reports scans (read columns, pushed/partition filters), exchanges,
 aggregate kinds, joins, windows and generators.
 """
@@ -23,8 +23,10 @@ NODES = ["Exchange", "ReusedExchange", "BroadcastExchange", "HashAggregate", "So
 
 
 def summarize(df) -> dict:
-    df.write.format("noop").mode("overwrite").save()
+    # Run this DataFrame's own query execution (rows are counted in the JVM),
+    # so its adaptive plan is the final, re-planned one.
     qe = df._jdf.queryExecution()
+    qe.toRdd().count()
     plan = qe.executedPlan().toString()
     final = plan
     m = re.search(r"Final Plan ==\n(.*?)(\+- == Initial Plan|\Z)", plan, re.S)

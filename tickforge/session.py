@@ -26,11 +26,16 @@ RUNTIME_CONF = {
 }
 
 # Session settings: the runtime ones plus AQE, which coalesces small
-# shuffles and splits skewed join partitions.
+# shuffles and splits skewed join partitions.  Shuffle partitions are
+# merged up to a target size rather than kept at one per core, so
+# ``spark.sql.shuffle.partitions`` can be set for the largest input (the
+# number of reducers a 100 TB run needs) without costing small runs.
 CORE_CONF = {
     **RUNTIME_CONF,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # Large streaming state lives off-heap in RocksDB, not in the JVM heap.

@@ -46,4 +46,29 @@ def col_values(df, c):
     return [r[0] for r in df.select(c).collect()]
 
 
-__all__ = ["ms", "trades", "trade", "candle_rows", "collect_sorted", "col_values", "F"]
+__all__ = ["ms", "trades", "trade", "candle_rows", "collect_sorted", "col_values",
+           "shuffle_records_written", "F"]
+
+
+def shuffle_records_written(df) -> list[int]:
+    """Run ``df`` (rows counted in the JVM) and return the records written
+    by each shuffle of its final adaptive plan, read from the SQL metrics."""
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    out = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        metrics = node.metrics()
+        if name == "Exchange" and metrics.contains("shuffleRecordsWritten"):
+            out.append(int(metrics.apply("shuffleRecordsWritten").value()))
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+
+    walk(qe.executedPlan())
+    return out

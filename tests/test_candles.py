@@ -1,4 +1,4 @@
-from tests.helpers import trade, trades
+from tests.helpers import shuffle_records_written, trade, trades
 from tickforge.operators import candles, silver
 
 
@@ -62,3 +62,18 @@ def test_symbols_are_case_sensitive_groups(spark):
 def test_candle_plan_is_hash_aggregate(spark):
     df = candles.candles(_silver(spark, [trade()]))
     assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_symbol_is_combined_before_the_shuffle(spark):
+    """A symbol with most of the trades, all in two minutes, over 4 input
+    partitions: the candle shuffle carries one partial candle per window
+    per map task, not the trades."""
+    rows = [trade(price=100.0 + i % 50, at=f"2024-01-01 00:0{i % 2}:{i % 60:02d}", trade_id=i)
+            for i in range(8_000)]
+    rows += [trade(symbol="ETHUSDT", trade_id=i) for i in range(10)]
+    df = silver.normalize(silver.clean(trades(spark, rows).repartition(4)))
+    written = shuffle_records_written(candles.candles(df))
+    assert written[0] <= 4 * 3, written      # (BTC, minute 0), (BTC, minute 1), (ETH, minute 0)
+    got = {(r.symbol, r.candle_start_time.minute): r.trade_count
+           for r in candles.candles(df).collect()}
+    assert got == {("BTCUSDT", 0): 4_000, ("BTCUSDT", 1): 4_000, ("ETHUSDT", 0): 10}

@@ -1,4 +1,4 @@
-from tests.helpers import trade, trades
+from tests.helpers import shuffle_records_written, trade, trades
 from tickforge.operators import silver
 
 
@@ -70,3 +70,18 @@ def test_dedupe_plan_is_hash_aggregate(spark):
     df = silver.silver_batch(trades(spark, [trade()]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark):
+    """One trade delivered 12,000 times (most of the input) plus 100 distinct
+    trades over 4 input partitions: the de-duplication shuffle carries at
+    most one row per key per map task, so the hot key never gathers in one
+    reducer."""
+    hot = [trade(trade_id=7, ingested=f"2024-01-01T00:00:{i % 60:02d}") for i in range(12_000)]
+    cold = [trade(price=200.0 + i, trade_id=i) for i in range(100)]
+    df = trades(spark, hot + cold).repartition(4)
+    out = silver.dedupe(silver.normalize(silver.clean(df)))
+    written = shuffle_records_written(out.select("price"))
+    assert len(written) == 2                      # the repartition above, then de-duplication
+    assert written[0] <= 4 * (1 + 100), written   # the de-duplication shuffle (top of the plan)
+    assert out.count() == 101

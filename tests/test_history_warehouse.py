@@ -32,3 +32,13 @@ def test_warehouse_sources_and_materialize(spark, fresh_dir):
     wh.materialize("fact_market_candles", df)
     wh.materialize("fact_market_candles", df)           # full rebuild, not append
     assert wh.source("fact_market_candles").count() == 1
+
+
+def test_object_store_settings():
+    from tickforge.session import object_store_conf
+    assert object_store_conf(None) == {}
+    conf = object_store_conf("http://store:9000", "key", "secret")
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+    assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert conf["spark.hadoop.fs.s3a.access.key"] == "key"
+    assert conf["spark.hadoop.fs.s3a.secret.key"] == "secret"

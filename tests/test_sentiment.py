@@ -31,3 +31,22 @@ def test_upsert_latest_wins(spark):
     assert out[d1].fng_value == 10 and out[d1].updated_at == t0
     assert out[d2].fng_value == 61 and out[d2].updated_at == t2
     assert out[d3].fng_value == 90
+
+
+def test_landed_documents_then_upsert(spark, fresh_dir):
+    from tickforge.sources.streams import landed_documents
+    day = 86_400
+    lines = [_doc(10, "Extreme Fear", 1704067200), _doc(50, "Neutral", 1704067200 + day)]
+    path = f"{fresh_dir}/docs"
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    incoming = sentiment.parse_documents(landed_documents(spark, path),
+                                         updated_at="2024-01-03 03:00:00")
+    stored = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), 5, "Extreme Fear", dt.datetime(2024, 1, 2, 3)),
+         (dt.date(2023, 12, 31), 7, "Extreme Fear", dt.datetime(2024, 1, 1, 3))],
+        "date date, fng_value int, fng_classification string, updated_at timestamp")
+    out = {r.date: r for r in sentiment.upsert_latest(stored, incoming).collect()}
+    assert sorted(out) == [dt.date(2023, 12, 31), dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    assert out[dt.date(2024, 1, 1)].fng_value == 10                 # replaced
+    assert out[dt.date(2023, 12, 31)].fng_value == 7                # kept
+    assert out[dt.date(2024, 1, 2)].updated_at == dt.datetime(2024, 1, 3, 3)

@@ -49,9 +49,12 @@ def ts_from_text(text) -> Column:
     return col_(text).try_cast("timestamp")
 
 
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def iso_text(ts) -> Column:
     """Timestamp -> ISO-8601 text with microseconds (no zone)."""
-    return F.date_format(col_(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.date_format(col_(ts), ISO_FORMAT)
 
 
 def minutes_between(later, earlier) -> Column:

@@ -28,11 +28,12 @@ def _order() -> Column:
 def candle_aggregates() -> list[Column]:
     bm = F.col("is_buyer_maker")
     q = F.col("quantity")
+    order = _order()
     return [
-        F.min_by("price", _order()).alias("open_price"),
+        F.min_by("price", order).alias("open_price"),
         F.max("price").alias("high_price"),
         F.min("price").alias("low_price"),
-        F.max_by("price", _order()).alias("close_price"),
+        F.max_by("price", order).alias("close_price"),
         F.sum(q).alias("total_volume"),
         F.count(F.lit(1)).alias("trade_count"),
         # A NULL side counts in neither volume (it still counts in total).

@@ -1,6 +1,7 @@
 import json
 
 from tests.helpers import trade, trades
+from tickforge import config
 from tickforge.operators import bronze, envelope
 
 
@@ -28,7 +29,7 @@ def test_normalize_envelopes_drops_bad_messages(spark):
     assert len(rows) == 3
     r = rows["BTCUSDT1704067200123"]
     assert (r.price, r.quantity, r.is_buyer_maker, r.trade_id, r.source) == (
-        42000.5, 0.25, True, 5, "binance_aggTrade")
+        42000.5, 0.25, True, 5, config.SOURCE_TAG)
     assert rows["ETHUSDT1"].price == 2300.25
     assert rows["BTCUSDT1"].is_buyer_maker is None
     flagged = envelope.normalize_envelopes(raw, keep_rejects=True)

@@ -131,3 +131,34 @@ def test_stream_over_many_micro_batches_equals_batch(spark, fresh_dir):
     expected = batch.filter(F.col("candle_start_time") + F.expr("INTERVAL 1 MINUTE") <= F.lit(cutoff))
     assert got.count() == expected.count() == 19 + 10
     assert got.exceptAll(expected).count() == 0
+
+
+class _FailAfterFirstWrite:
+    """A sink that stores the first non-empty batch and then fails, as if the
+    driver were lost between the write and the batch commit."""
+
+    def __init__(self, inner):
+        self.inner, self.failed = inner, False
+
+    def __call__(self, df, batch_id):
+        self.inner(df, batch_id)
+        if not self.failed and not df.isEmpty():
+            self.failed = True
+            raise RuntimeError("lost after writing")
+
+
+def test_sink_failure_fails_the_run_and_rerun_stores_one_copy(spark, fresh_dir):
+    import pytest
+    lake = medallion.LakePaths(fresh_dir)
+    _append_silver(spark, _minute_trades(range(0, 30)), lake.silver)
+    ckpt = lake.checkpoint("gold")
+    failing = _FailAfterFirstWrite(BatchFileSink(lake.gold))
+    with pytest.raises(Exception, match="lost after writing"):
+        stages.await_done(stages.start_gold_batches(spark, lake.silver, failing, ckpt,
+                                                    ingested_at=CLOCK), 120)
+    assert failing.failed                          # the batch was written, then not committed
+    stages.await_done(stages.start_gold_batches(spark, lake.silver, BatchFileSink(lake.gold),
+                                                ckpt, ingested_at=CLOCK), 120)
+    raw = spark.read.parquet(lake.gold)            # every batch folder, replayed one included
+    assert raw.groupBy("symbol", "candle_start_time").count().filter("count > 1").count() == 0
+    assert read_latest(spark, lake.gold, ["symbol", "candle_start_time"]).count() == 19

@@ -42,3 +42,25 @@ def test_object_store_settings():
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert conf["spark.hadoop.fs.s3a.access.key"] == "key"
     assert conf["spark.hadoop.fs.s3a.secret.key"] == "secret"
+
+
+def test_history_write_needs_no_shuffle(spark, fresh_dir):
+    """Reading the day-partitioned lake, the write has no exchange; files per
+    day stay at most the input files of that day."""
+    from pyspark.sql import functions as F
+    rows = [trade(at=f"2024-01-0{d} {h:02d}:00:00", price=100.0 + h, trade_id=d * 100 + h)
+            for d in (1, 2, 3) for h in range(0, 24, 3)]
+    silver_path, hist = f"{fresh_dir}/silver", f"{fresh_dir}/history"
+    (silver.silver_batch(trades(spark, rows)).write.partitionBy(*schemas.SILVER_PARTITIONS)
+     .parquet(silver_path))
+    rows_df = history.history_rows(lake_table(spark, silver_path))
+    assert "Exchange" not in rows_df._jdf.queryExecution().executedPlan().toString()
+    history.write_history(rows_df, hist)
+    out = spark.read.parquet(hist)
+    assert out.count() == 24
+    files = out.select(F.input_file_name().alias("f"), "trade_date").distinct()
+    per_day_out = {r.trade_date: r["count"] for r in files.groupBy("trade_date").count().collect()}
+    src = lake_table(spark, silver_path).select(F.input_file_name().alias("f"), "day").distinct()
+    per_day_in = {r.day: r["count"] for r in src.groupBy("day").count().collect()}
+    assert {d.day: n for d, n in per_day_out.items()}.keys() == per_day_in.keys()
+    assert all(per_day_out[d] <= per_day_in[d.day] for d in per_day_out)

@@ -24,9 +24,19 @@ def history_rows(silver: DataFrame, day: dt.date | str | None = None) -> DataFra
                          F.to_date("trade_timestamp").alias("trade_date"))
 
 
-def write_history(rows: DataFrame, path: str) -> None:
+def write_history(rows: DataFrame, path: str, rebalance: bool = False) -> None:
     """Store history rows partitioned by ``trade_date``, replacing only the
     dates present in ``rows`` (dynamic partition overwrite), so re-running a
-    day's load does not append a second copy."""
-    (rows.hint("rebalance", "trade_date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("trade_date").parquet(path))
+    day's load does not append a second copy.
+
+    Rows read from the day-partitioned silver lake need no shuffle: every
+    input file holds one day, so a task writes at most one file per input
+    file it reads, each already sized by the scan split.  Pass
+    ``rebalance=True`` for rows that are not clustered by day (the output of
+    a shuffle, say); AQE then groups them by day and splits a large day
+    over several writers.
+    """
+    if rebalance:
+        rows = rows.hint("rebalance", "trade_date")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("trade_date").parquet(path))

@@ -52,17 +52,23 @@ class LakePaths:
         return f"{self.root}/_checkpoints/{stage}"
 
 
-def write_silver(trades: DataFrame, path: str, processed_at=None) -> None:
+def write_silver(trades: DataFrame, path: str, processed_at=None,
+                 rebalance: bool = True) -> None:
     """Batch silver: the de-duplication aggregate, then a partitioned write.
 
     The ``rebalance`` hint clusters rows by day so each task writes few
     files, and lets AQE split a day that holds a large share of the rows
     over several tasks (a plain repartition by day would give a hot day
-    to one task) and merge small days.
+    to one task) and merge small days.  It is a second shuffle of the
+    rows: worth it for a backfill over many days, where every
+    de-duplication reducer would otherwise write a small file per day.
+    An incremental run over a day or two can pass ``rebalance=False``:
+    each reducer then writes one or two files of its (AQE-sized) output.
     """
     out = silver.silver_batch(trades, processed_at)
-    (out.hint("rebalance", *schemas.SILVER_PARTITIONS).write.mode("overwrite")
-     .partitionBy(*schemas.SILVER_PARTITIONS).parquet(path))
+    if rebalance:
+        out = out.hint("rebalance", *schemas.SILVER_PARTITIONS)
+    out.write.mode("overwrite").partitionBy(*schemas.SILVER_PARTITIONS).parquet(path)
 
 
 def write_candles(silver_df: DataFrame, path: str, ingested_at=None,

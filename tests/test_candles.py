@@ -21,12 +21,33 @@ def test_open_close_tie_break_within_one_millisecond(spark):
 
 
 def test_no_trade_id_ties_are_deterministic(spark):
-    # same millisecond, no trade id: ordered by pmod(price * 1e8, 1024)
-    rows = [trade(price=10.0, at="2024-01-01 00:00:00.500"),     # 1e9   % 1024 = 512
-            trade(price=12.0, at="2024-01-01 00:00:00.500")]     # 1.2e9 % 1024 = 0
+    # same millisecond, no trade id: ordered by price (x 1e8, below 2^37: exact)
+    rows = [trade(price=10.0, at="2024-01-01 00:00:00.500"),
+            trade(price=12.0, at="2024-01-01 00:00:00.500")]
     for order in (rows, rows[::-1]):
         c = candles.candles(_silver(spark, order)).collect()[0]
-        assert (c.open_price, c.close_price) == (12.0, 10.0)
+        assert (c.open_price, c.close_price) == (10.0, 12.0)
+
+
+def test_tie_break_is_exact_id_order_for_large_ids(spark):
+    # ids that straddle multiples of 1024 and exceed 2^32 in one millisecond
+    base = 3 * 2**32 + 1022
+    rows = [trade(price=20.0 + k, at="2024-01-01 00:00:30.250", trade_id=base + k)
+            for k in range(4)]                                   # ids ...1022 to ...1025
+    for order in (rows, rows[::-1]):
+        for width in ("1 minute", "1 hour"):
+            c = candles.candles(_silver(spark, order), width).collect()[0]
+            assert (c.open_price, c.close_price) == (20.0, 23.0)
+
+
+def test_window_order_key_bounds():
+    from tickforge.functions import duration_micros
+    assert duration_micros("1 minute") == 60_000_000
+    assert duration_micros("10 seconds") == 10_000_000
+    assert duration_micros("1 hour 30 minutes") == 5_400_000_000
+    w = duration_micros("1 minute")
+    tie_range = 1 << (63 - (w - 1).bit_length())
+    assert tie_range == 2**37 and w * tie_range <= 2**63     # the key never overflows
 
 
 def test_null_side_counts_in_total_only(spark):

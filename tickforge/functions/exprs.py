@@ -16,7 +16,7 @@ __all__ = [
     "col_", "ts_from_millis", "ts_from_text", "minutes_between", "pct",
     "date_from_epoch_seconds", "trade_value", "trade_side", "price_magnitude",
     "is_large_trade", "candle_type", "freshness_status", "fng_classification",
-    "iso_text", "as_ts", "order_key",
+    "iso_text", "as_ts", "order_key", "duration_micros", "window_order_key",
 ]
 
 # Ordering keys: microseconds * TIE_RANGE + pmod(tie, TIE_RANGE).  Epoch
@@ -125,3 +125,41 @@ def order_key(micros, tie) -> Column:
     """
     return (col_(micros) * F.lit(TIE_RANGE)
             + F.pmod(col_(tie), F.lit(TIE_RANGE)))
+
+
+# Units accepted in window durations such as "1 minute" or "10 seconds".
+_UNIT_MICROS = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000,
+                "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000,
+                "week": 604_800_000_000}
+
+
+def duration_micros(duration: str) -> int:
+    """'1 minute', '10 seconds', '1 hour 30 minutes' -> microseconds."""
+    import re
+    total = 0
+    for n, unit in re.findall(r"(\d+)\s*([a-z]+)", duration.lower()):
+        unit = unit[:-1] if unit.endswith("s") and unit[:-1] in _UNIT_MICROS else unit
+        if unit not in _UNIT_MICROS:
+            raise ValueError(f"unsupported duration unit in {duration!r}")
+        total += int(n) * _UNIT_MICROS[unit]
+    if total <= 0:
+        raise ValueError(f"not a positive duration: {duration!r}")
+    return total
+
+
+def window_order_key(ts, tie, width: str) -> Column:
+    """One ``long`` ordering the rows of one tumbling window of ``width`` by
+    time, then by ``tie`` (a trade id, say).
+
+    Inside a window the time offset ``pmod(micros, width)`` needs only
+    ``b = bit_length(width - 1)`` bits (26 for one minute), which leaves
+    ``63 - b`` bits for the tie-break: ids in ``[0, 2^(63-b))`` (below
+    1.4e11 for one-minute windows) compare exactly, larger or negative ones
+    by their low bits.  A primitive key keeps ``min_by``/``max_by`` on the
+    hash-aggregate path.  Windows must be aligned to the epoch, as
+    ``window(ts, width)`` without a start offset is.
+    """
+    w = duration_micros(width)
+    tie_range = 1 << (63 - (w - 1).bit_length())
+    return (F.pmod(F.unix_micros(col_(ts)), F.lit(w)) * F.lit(tie_range)
+            + F.pmod(col_(tie), F.lit(tie_range)))

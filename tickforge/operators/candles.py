@@ -2,9 +2,10 @@
 
 Open and close are the prices of the first and last trade of the window
 ordered by trade time, then trade id (or price when the producer sends no
-id; see ``order_key`` for ties within one microsecond) -- deterministic,
-unlike an unordered first/last.  The order is one long key, so every
-aggregate stays on the hash-aggregate path.  All aggregates are declarative, so Spark computes
+id) -- deterministic, unlike an unordered first/last.  The order is one
+long key relative to the window (``window_order_key``): exact for ids below
+2^37 in one-minute windows, and every aggregate stays on the
+hash-aggregate path.  All aggregates are declarative, so Spark computes
 partial candles on the map side and shuffles at most one row per
 (symbol, window) per task; a hot symbol does not concentrate raw trades.
 """
@@ -15,20 +16,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge import config
-from tickforge.functions import order_key
+from tickforge.functions import window_order_key
 from tickforge.schemas import CANDLE_COLUMNS
 
 
-def _order() -> Column:
+def _order(width: str) -> Column:
     tie = F.coalesce(F.col("trade_id"),
                      F.round(F.col("price") * F.lit(1e8)).cast("long"))
-    return order_key(F.unix_micros("trade_timestamp"), tie)
+    return window_order_key("trade_timestamp", tie, width)
 
 
-def candle_aggregates() -> list[Column]:
+def candle_aggregates(width: str = config.CANDLE_WIDTH) -> list[Column]:
     bm = F.col("is_buyer_maker")
     q = F.col("quantity")
-    order = _order()
+    order = _order(width)
     return [
         F.min_by("price", order).alias("open_price"),
         F.max("price").alias("high_price"),
@@ -59,7 +60,7 @@ def candles(trades: DataFrame, width: str = config.CANDLE_WIDTH,
     if "trade_id" not in trades.columns:
         trades = trades.withColumn("trade_id", F.lit(None).cast("long"))
     agg = (trades.groupBy(F.window("trade_timestamp", width).alias("window"), "symbol")
-           .agg(*candle_aggregates()))
+           .agg(*candle_aggregates(width)))
     return _finish(agg, ingested_at)
 
 
@@ -71,5 +72,5 @@ def candles_stream(trades: DataFrame, width: str = config.CANDLE_WIDTH,
         trades = trades.withColumn("trade_id", F.lit(None).cast("long"))
     agg = (trades.withWatermark("trade_timestamp", delay)
            .groupBy(F.window("trade_timestamp", width).alias("window"), "symbol")
-           .agg(*candle_aggregates()))
+           .agg(*candle_aggregates(width)))
     return _finish(agg, ingested_at)

@@ -13,6 +13,11 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(f"{SF}/events.parquet"), reason="no test tables")
 
 
+# Spark type -> DuckDB type name of the same values
+DUCK_TYPE = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER",
+             "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "date": "DATE"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else round(v, 9)
@@ -42,6 +47,11 @@ def test_query_matches_oracle(spark, duck, name):
     df = entry_mod.queries()[name](spark, SF)
     cols = sorted(df.columns)
     got = _sorted([tuple(_norm(r[c]) for c in cols) for r in df.collect()])
+    rel = duck.sql(entry_mod.oracle_sql()[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    spark_types = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
     res = duck.execute(entry_mod.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(ocols) == cols

@@ -150,21 +150,34 @@ def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
     ap.add_argument("--as-of", help="mart clock, 'YYYY-MM-DD HH:MM:SS' (default: now)")
     ap.add_argument("--sentiment-docs", help="folder of landed sentiment API documents")
     ap.add_argument("--timeout", type=float, default=None)
+    ap.add_argument("--state-partitions", type=int, default=None,
+                    help="state partitions of the silver and gold streams; fixed at their first start")
+    ap.add_argument("--max-files-per-trigger", type=int, default=None,
+                    help="bound each micro-batch of the lake streams when draining a backlog")
+    ap.add_argument("--max-offsets-per-trigger", type=int, default=None,
+                    help="bound each micro-batch of the Kafka source when draining a backlog")
     args = ap.parse_args(argv)
     spark = build_session(app="tickforge-medallion")
     lake = LakePaths(args.lake)
     wanted = [s.strip() for s in args.stages.split(",") if s.strip()]
     if "bronze" in wanted:
-        src = (kafka_messages(spark, args.kafka, args.topic) if args.kafka
-               else message_files(spark, lake.landing))
+        src = (kafka_messages(spark, args.kafka, args.topic,
+                              max_offsets_per_trigger=args.max_offsets_per_trigger)
+               if args.kafka else message_files(spark, lake.landing, args.max_files_per_trigger))
         stages.await_done(stages.start_bronze(src, lake.bronze, lake.checkpoint("bronze")),
                           args.timeout)
     if "silver" in wanted:
         stages.await_done(stages.start_silver(spark, lake.bronze, lake.silver,
-                                              lake.checkpoint("silver")), args.timeout)
+                                              lake.checkpoint("silver"),
+                                              max_files_per_trigger=args.max_files_per_trigger,
+                                              state_partitions=args.state_partitions),
+                          args.timeout)
     if "gold" in wanted:
         stages.await_done(stages.start_gold_batches(spark, lake.silver, BatchFileSink(lake.gold),
-                                                    lake.checkpoint("gold")), args.timeout)
+                                                    lake.checkpoint("gold"),
+                                                    state_partitions=args.state_partitions,
+                                                    max_files_per_trigger=args.max_files_per_trigger),
+                          args.timeout)
     if "marts" in wanted:
         sent = None
         if args.sentiment_docs:

@@ -22,12 +22,14 @@ trade_st = st.fixed_dictionaries({
 })
 
 
-def _model(rows):
-    """Plain-Python silver de-dup + 1-minute candles."""
+def _model(rows, dedupe_tie=lambda i: i):
+    """Plain-Python silver de-dup + 1-minute candles.  De-duplication keeps
+    the earliest ingest time, then the smallest ``dedupe_tie(trade_id)``;
+    candles order by (trade time, trade id)."""
     first = {}
     for r in rows:
         k = (r["symbol"], r["trade_time"], r["price"], r["quantity"])
-        order = (r["ingested_at"], r["trade_id"])
+        order = (r["ingested_at"], dedupe_tie(r["trade_id"]))
         if k not in first or order < first[k][0]:
             first[k] = (order, r)
     kept = [v[1] for v in first.values()]
@@ -48,13 +50,31 @@ def _model(rows):
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(trade_st, min_size=1, max_size=40))
 def test_candles_match_model(spark, rows):
+    _check(spark, rows, lambda i: i)
+
+
+# Ids that straddle a multiple of 1024 above 2^32: de-duplication ties
+# compare the id's low 10 bits, candles compare the whole id.
+BIG_ID = 3 * 2**32 + 1000
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(trade_st.map(lambda r: {**r, "trade_id": BIG_ID + r["trade_id"],
+                                         # five distinct milliseconds: many same-ms ties
+                                         "trade_time": BASE + (r["trade_time"] % 5) * 20_000}),
+                min_size=1, max_size=40))
+def test_large_ids_match_model(spark, rows):
+    _check(spark, rows, lambda i: i % 1024)
+
+
+def _check(spark, rows, dedupe_tie):
     # unique trade ids per (symbol, ms) keep the model's tie-break well defined
     seen, clean = set(), []
     for r in rows:
         if (r["symbol"], r["trade_time"], r["trade_id"]) not in seen:
             seen.add((r["symbol"], r["trade_time"], r["trade_id"]))
             clean.append(r)
-    kept, model = _model(clean)
+    kept, model = _model(clean, dedupe_tie)
     s = silver.silver_batch(trades(spark, clean), processed_at="2024-01-02")
     assert s.count() == len(kept)
     got = candles.candles(s).collect()

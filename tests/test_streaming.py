@@ -162,3 +162,34 @@ def test_sink_failure_fails_the_run_and_rerun_stores_one_copy(spark, fresh_dir):
     raw = spark.read.parquet(lake.gold)            # every batch folder, replayed one included
     assert raw.groupBy("symbol", "candle_start_time").count().filter("count > 1").count() == 0
     assert read_latest(spark, lake.gold, ["symbol", "candle_start_time"]).count() == 19
+
+
+def test_aggregate_dedupe_stream_keeps_first_arrival_and_equals_batch(spark, fresh_dir):
+    """Copies landed before the original, with the other side: the aggregate
+    mode keeps the earliest ingest (deterministic, as in batch), emits keys
+    the watermark has passed, and combines copies before the state shuffle."""
+    from tickforge.sources.streams import message_files
+    lake = medallion.LakePaths(fresh_dir)
+    originals = _minute_trades(range(0, 30)) + [trade(price=500.0, trade_id=99,
+                                                      at="2024-01-01 00:29:30")]
+    copies = [trade(price=103.0, quantity=1.0, trade_id=3, at="2024-01-01 00:03:05", side=True,
+                    ingested=f"2024-01-01T00:{10 + i % 40:02d}:00") for i in range(200)]
+    envelope.keyed_json(trades(spark, copies)).write.mode("append").json(lake.landing)
+    envelope.keyed_json(trades(spark, originals)).write.mode("append").json(lake.landing)
+    stages.await_done(stages.start_bronze(message_files(spark, lake.landing), lake.bronze,
+                                          lake.checkpoint("bronze")), 120)
+    q = stages.await_done(stages.start_silver(spark, lake.bronze, lake.silver,
+                                              lake.checkpoint("silver"), processed_at=CLOCK,
+                                              first_seen=False), 120)
+    plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    below_exchange = plan[plan.index("Exchange hashpartitioning"):]
+    assert "HashAggregate" in below_exchange                # copies combined before the shuffle
+    got = lake_table(spark, lake.silver)
+    batch = silver.silver_batch(trades(spark, copies + originals), processed_at=CLOCK)
+    watermark = dt.datetime(2024, 1, 1, 0, 19, 30)          # max 00:29:30 - 10 min
+    expected = batch.filter(F.col("trade_timestamp") <= F.lit(watermark))
+    assert got.count() == expected.count() == 20
+    assert got.exceptAll(expected).count() == 0
+    hot = got.filter(F.col("price") == 103.0).collect()
+    assert len(hot) == 1 and hot[0].trade_side == "BUY" and hot[0].is_buyer_maker is False

@@ -156,6 +156,10 @@ def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
                     help="bound each micro-batch of the lake streams when draining a backlog")
     ap.add_argument("--max-offsets-per-trigger", type=int, default=None,
                     help="bound each micro-batch of the Kafka source when draining a backlog")
+    ap.add_argument("--dedupe", choices=["first-seen", "first-arrival"], default="first-seen",
+                    help="silver stream: keep the first copy seen (at once), or the first arrival "
+                         "by ingest time (deterministic, combined before the shuffle, emitted "
+                         "after the watermark)")
     args = ap.parse_args(argv)
     spark = build_session(app="tickforge-medallion")
     lake = LakePaths(args.lake)
@@ -170,7 +174,8 @@ def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
         stages.await_done(stages.start_silver(spark, lake.bronze, lake.silver,
                                               lake.checkpoint("silver"),
                                               max_files_per_trigger=args.max_files_per_trigger,
-                                              state_partitions=args.state_partitions),
+                                              state_partitions=args.state_partitions,
+                                              first_seen=args.dedupe == "first-seen"),
                           args.timeout)
     if "gold" in wanted:
         stages.await_done(stages.start_gold_batches(spark, lake.silver, BatchFileSink(lake.gold),

@@ -77,11 +77,12 @@ def start_silver(spark: SparkSession, bronze_path: str, path: str, checkpoint: s
                  trigger: str | None = "available_now", processed_at=None,
                  delay: str = config.WATERMARK_DELAY, strict: bool = False,
                  max_files_per_trigger: int | None = None,
-                 state_partitions: int | None = None) -> StreamingQuery:
-    """Bronze lake stream -> cleaned, enriched, de-duplicated silver lake."""
+                 state_partitions: int | None = None, first_seen: bool = True) -> StreamingQuery:
+    """Bronze lake stream -> cleaned, enriched, de-duplicated silver lake
+    (``first_seen``: see ``silver.silver_stream``)."""
     apply_runtime_conf(spark)
     src = lake_stream(spark, bronze_path, schemas.BRONZE, max_files_per_trigger)
-    out = silver.silver_stream(src, processed_at, strict, delay)
+    out = silver.silver_stream(src, processed_at, strict, delay, first_seen)
     w = (out.select(*[f.name for f in schemas.SILVER.fields])
          .writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint)

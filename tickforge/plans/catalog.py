@@ -157,18 +157,30 @@ def q_stream_gold_sink(spark, sf_dir):
         *schemas.CANDLE_COLUMNS)
 
 
-def q_stream_bronze_silver(spark, sf_dir):
-    lake = medallion.LakePaths(run_dir(spark, "stream-silver"))
+def _stream_silver(spark, sf_dir, label, first_seen):
+    """Landed messages -> bronze stream -> silver stream; the committed silver."""
+    lake = medallion.LakePaths(run_dir(spark, label))
     envelope.keyed_json(_trades(spark, sf_dir)).write.mode("overwrite").json(lake.landing)
     from tickforge.sources.streams import message_files
     stages.await_done(stages.start_bronze(message_files(spark, lake.landing), lake.bronze,
                                           lake.checkpoint("bronze")))
     stages.await_done(stages.start_silver(spark, lake.bronze, lake.silver,
                                           lake.checkpoint("silver"), processed_at=RUN_CLOCK,
-                                          state_partitions=_state_partitions(spark)))
+                                          state_partitions=_state_partitions(spark),
+                                          first_seen=first_seen))
     return lake_table(spark, lake.silver)
 
 
+def q_stream_bronze_silver(spark, sf_dir):
+    return _stream_silver(spark, sf_dir, "stream-silver", first_seen=True)
+
+
+def q_stream_silver_first_arrival(spark, sf_dir):
+    """Silver stream de-duplicated by the watermarked aggregate: keys up to
+    the watermark are emitted, each with its first arrival."""
+    return _stream_silver(spark, sf_dir, "stream-silver-first-arrival", first_seen=False)
+
+
 def q_lake_market_overview(spark, sf_dir):
     """The whole batch medallion: silver, gold and the four marts written as
     tables in a fresh lake; returns the overview mart read back."""
@@ -200,5 +212,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_candles": q_stream_candles,
     "stream_gold_sink": q_stream_gold_sink,
     "stream_bronze_silver": q_stream_bronze_silver,
+    "stream_silver_first_arrival": q_stream_silver_first_arrival,
     "lake_market_overview": q_lake_market_overview,
 }

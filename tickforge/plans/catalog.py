@@ -190,6 +190,17 @@ def q_lake_market_overview(spark, sf_dir):
     return lake_table(spark, paths["mart_market_overview"])
 
 
+def q_stream_lake_market_overview(spark, sf_dir):
+    """The streaming medallion in stage order (bronze, silver, gold streams),
+    then the marts rebuilt from the gold lake; returns the overview mart."""
+    lake = medallion.LakePaths(run_dir(spark, "stream-lake"))
+    envelope.keyed_json(_trades(spark, sf_dir)).write.mode("overwrite").json(lake.landing)
+    medallion.run_streaming(spark, lake, processed_at=RUN_CLOCK,
+                            state_partitions=_state_partitions(spark))
+    paths = medallion.build_marts_from_lake(spark, lake, RUN_CLOCK, _sentiment(spark, sf_dir))
+    return lake_table(spark, paths["mart_market_overview"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fx_trades": q_fx_trades,
     "silver_clean": q_silver_clean,
@@ -214,4 +225,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_bronze_silver": q_stream_bronze_silver,
     "stream_silver_first_arrival": q_stream_silver_first_arrival,
     "lake_market_overview": q_lake_market_overview,
+    "stream_lake_market_overview": q_stream_lake_market_overview,
 }

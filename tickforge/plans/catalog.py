@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tickforge import schemas
 from tickforge.operators import bronze, candles, envelope, history, marts, sentiment, silver

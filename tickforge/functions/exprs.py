@@ -7,6 +7,8 @@ per row.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -135,7 +137,6 @@ _UNIT_MICROS = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000,
 
 def duration_micros(duration: str) -> int:
     """'1 minute', '10 seconds', '1 hour 30 minutes' -> microseconds."""
-    import re
     total = 0
     for n, unit in re.findall(r"(\d+)\s*([a-z]+)", duration.lower()):
         unit = unit[:-1] if unit.endswith("s") and unit[:-1] in _UNIT_MICROS else unit

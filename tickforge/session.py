@@ -27,10 +27,10 @@ RUNTIME_CONF = {
 
 # Session settings: the runtime ones plus AQE, which coalesces small
 # shuffles and splits skewed join partitions.  Shuffle partitions are
-# merged up to 128 MB (fewer than one per core only when the shuffle is
-# smaller than cores x 128 MB), so ``spark.sql.shuffle.partitions`` can be
-# set for the largest input (the reducers a 100 TB run needs) without
-# costing small runs.
+# merged up to 128 MB each (while a shuffle is small, Spark's
+# parallelism-first default still keeps about one per core), so
+# ``spark.sql.shuffle.partitions`` can be set for the largest input (the
+# reducers a 100 TB run needs) without costing small runs.
 CORE_CONF = {
     **RUNTIME_CONF,
     "spark.sql.adaptive.enabled": "true",

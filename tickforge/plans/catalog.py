@@ -22,6 +22,9 @@ from tickforge.streaming import stages
 from tickforge.streaming.sinks import BatchFileSink, read_latest
 
 NEXT_LOAD_CLOCK = "2024-01-31 01:00:00"
+# A run-once stream that has not drained its input by then is stopped and
+# reported as a failure instead of blocking the caller.
+STREAM_TIMEOUT_S = 3600
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +146,8 @@ def q_stream_candles(spark, sf_dir):
     lake = _written_silver(spark, sf_dir, "stream-candles")
     stages.await_done(stages.start_gold_files(spark, lake.silver, lake.gold,
                                               lake.checkpoint("gold"), ingested_at=RUN_CLOCK,
-                                              state_partitions=_state_partitions(spark)))
+                                              state_partitions=_state_partitions(spark)),
+                      STREAM_TIMEOUT_S)
     return lake_table(spark, lake.gold)
 
 
@@ -151,7 +155,8 @@ def q_stream_gold_sink(spark, sf_dir):
     lake = _written_silver(spark, sf_dir, "stream-gold")
     stages.await_done(stages.start_gold_batches(spark, lake.silver, BatchFileSink(lake.gold),
                                                 lake.checkpoint("gold"), ingested_at=RUN_CLOCK,
-                                                state_partitions=_state_partitions(spark)))
+                                                state_partitions=_state_partitions(spark)),
+                      STREAM_TIMEOUT_S)
     return read_latest(spark, lake.gold, ["symbol", "candle_start_time"]).select(
         *schemas.CANDLE_COLUMNS)
 
@@ -162,11 +167,11 @@ def _stream_silver(spark, sf_dir, label, first_seen):
     envelope.keyed_json(_trades(spark, sf_dir)).write.mode("overwrite").json(lake.landing)
     from tickforge.sources.streams import message_files
     stages.await_done(stages.start_bronze(message_files(spark, lake.landing), lake.bronze,
-                                          lake.checkpoint("bronze")))
+                                          lake.checkpoint("bronze")), STREAM_TIMEOUT_S)
     stages.await_done(stages.start_silver(spark, lake.bronze, lake.silver,
                                           lake.checkpoint("silver"), processed_at=RUN_CLOCK,
                                           state_partitions=_state_partitions(spark),
-                                          first_seen=first_seen))
+                                          first_seen=first_seen), STREAM_TIMEOUT_S)
     return lake_table(spark, lake.silver)
 
 
@@ -194,7 +199,7 @@ def q_stream_lake_market_overview(spark, sf_dir):
     then the marts rebuilt from the gold lake; returns the overview mart."""
     lake = medallion.LakePaths(run_dir(spark, "stream-lake"))
     envelope.keyed_json(_trades(spark, sf_dir)).write.mode("overwrite").json(lake.landing)
-    medallion.run_streaming(spark, lake, processed_at=RUN_CLOCK,
+    medallion.run_streaming(spark, lake, processed_at=RUN_CLOCK, timeout_s=STREAM_TIMEOUT_S,
                             state_partitions=_state_partitions(spark))
     paths = medallion.build_marts_from_lake(spark, lake, RUN_CLOCK, _sentiment(spark, sf_dir))
     return lake_table(spark, paths["mart_market_overview"])

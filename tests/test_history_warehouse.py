@@ -64,3 +64,23 @@ def test_history_write_needs_no_shuffle(spark, fresh_dir):
     per_day_in = {r.day: r["count"] for r in src.groupBy("day").count().collect()}
     assert {d.day: n for d, n in per_day_out.items()}.keys() == per_day_in.keys()
     assert all(per_day_out[d] <= per_day_in[d.day] for d in per_day_out)
+
+
+def test_silver_write_with_and_without_rebalance(spark, fresh_dir):
+    """Same rows either way; with the rebalance hint each day is written by
+    few tasks, without it by each de-duplication reducer that holds it."""
+    from pyspark.sql import functions as F
+    from tickforge.plans import medallion
+    rows = [trade(at=f"2024-01-0{d} {h:02d}:00:00", price=100.0 + h, trade_id=d * 100 + h)
+            for d in (1, 2, 3) for h in range(24)]
+    df = trades(spark, rows)
+    medallion.write_silver(df, f"{fresh_dir}/a", processed_at="2024-01-05")
+    medallion.write_silver(df, f"{fresh_dir}/b", processed_at="2024-01-05", rebalance=False)
+    a, b = lake_table(spark, f"{fresh_dir}/a"), lake_table(spark, f"{fresh_dir}/b")
+    assert a.count() == b.count() == 72 and a.exceptAll(b).count() == 0
+
+    def files_per_day(t):
+        return {r.day: r["count"] for r in t.select(F.input_file_name().alias("f"), "day")
+                .distinct().groupBy("day").count().collect()}
+    assert sorted(files_per_day(a)) == sorted(files_per_day(b)) == [1, 2, 3]
+    assert sum(files_per_day(a).values()) <= sum(files_per_day(b).values())

@@ -105,14 +105,16 @@ def run_batch(spark: SparkSession, trades: DataFrame, sentiment_df: DataFrame,
 
 def run_streaming(spark: SparkSession, lake: LakePaths, processed_at=None,
                   timeout_s: float | None = None,
-                  state_partitions: int | None = None) -> DataFrame:
+                  state_partitions: int | None = None, first_seen: bool = True) -> DataFrame:
     """Landed messages -> bronze -> silver -> gold, one run-once query per
-    stage, in order; returns the gold candles (latest copy per key)."""
+    stage, in order; returns the gold candles (latest copy per key).
+    ``first_seen``: the silver de-duplication mode (``silver.silver_stream``)."""
     stages.await_done(stages.start_bronze(message_files(spark, lake.landing), lake.bronze,
                                           lake.checkpoint("bronze")), timeout_s)
     stages.await_done(stages.start_silver(spark, lake.bronze, lake.silver,
                                           lake.checkpoint("silver"), processed_at=processed_at,
-                                          state_partitions=state_partitions), timeout_s)
+                                          state_partitions=state_partitions,
+                                          first_seen=first_seen), timeout_s)
     stages.await_done(stages.start_gold_batches(spark, lake.silver, BatchFileSink(lake.gold),
                                                 lake.checkpoint("gold"), ingested_at=processed_at,
                                                 state_partitions=state_partitions), timeout_s)

@@ -93,8 +93,11 @@ def q_pipeline_health_run(spark, sf_dir):
 
 
 def q_sentiment_parsed(spark, sf_dir):
-    docs = fixtures.sentiment_documents(_events(spark, sf_dir))
-    return sentiment.parse_documents(docs, updated_at=RUN_CLOCK)
+    """API documents landed as JSON lines, read back and parsed."""
+    path = f"{run_dir(spark, 'sentiment-docs')}/docs"
+    fixtures.sentiment_documents(_events(spark, sf_dir)).write.text(path)
+    from tickforge.sources.streams import landed_documents
+    return sentiment.parse_documents(landed_documents(spark, path), updated_at=RUN_CLOCK)
 
 
 def q_sentiment_upsert(spark, sf_dir):

@@ -129,9 +129,12 @@ def q_bronze_trades(spark, sf_dir):
 
 
 def q_history_load(spark, sf_dir):
+    """Silver lake -> history table (per-day overwrite), read back."""
     lake = run_dir(spark, "history")
     medallion.write_silver(_trades(spark, sf_dir), f"{lake}/silver", processed_at=RUN_CLOCK)
-    return history.history_rows(lake_table(spark, f"{lake}/silver"))
+    history.write_history(history.history_rows(lake_table(spark, f"{lake}/silver")),
+                          f"{lake}/history")
+    return lake_table(spark, f"{lake}/history")
 
 
 def _written_silver(spark, sf_dir, label):

@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NODES = ["Exchange", "ReusedExchange", "BroadcastExchange", "HashAggregate", "SortAggregate",
          "ObjectHashAggregate", "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
-         "BroadcastNestedLoopJoin", "CartesianProduct", "Window", "Generate", "Scan parquet",
+         "BroadcastNestedLoopJoin", "CartesianProduct", "Window", "Generate", "Scan",
          "Sort", "StateStoreSave", "Expand"]
 
 
@@ -35,8 +35,8 @@ def summarize(df) -> dict:
     counts = Counter()
     for line in final.splitlines():
         node = re.sub(r"^[\s:+\-*()0-9]*", "", line)
-        if node.startswith("FileScan parquet") or node.startswith("Scan parquet"):
-            counts["Scan parquet"] += 1
+        if node.startswith("FileScan ") or node.startswith("Scan "):   # file scans, any format
+            counts["Scan"] += 1
             continue
         for n in NODES:
             if node.startswith(n):
@@ -61,7 +61,7 @@ def main():
         s = summarize(df)
         c = s["counts"]
         joins = ", ".join(f"{k}×{v}" for k, v in c.items() if "Join" in k) or "–"
-        print(f"| {name} | {c.get('Scan parquet', 0)} | {c.get('Exchange', 0)} "
+        print(f"| {name} | {c.get('Scan', 0)} | {c.get('Exchange', 0)} "
               f"(+{c.get('BroadcastExchange', 0)} bcast, {c.get('ReusedExchange', 0)} reused) | "
               f"{c.get('HashAggregate', 0)} | {c.get('SortAggregate', 0)} | {joins} | "
               f"{c.get('Window', 0)} | {c.get('Generate', 0)} |")

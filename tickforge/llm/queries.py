@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickforge.llm import fingerprints, langid, line_dedup, url_filter
+from tickforge.llm import decontam, fingerprints, langid, line_dedup, minhash_dedup, url_filter
 from tickforge.llm.common import table
 from tickforge.llm.url_filter import Rule
 
@@ -22,6 +22,14 @@ def op2_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op6_minhash_dedup(spark, sf_dir):
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), pct=85)
+
+
+def op10_decontamination(spark, sf_dir):
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
@@ -41,6 +49,7 @@ def op9_url_filter(spark, sf_dir):
 
 
 QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_line_dedup": op2_line_dedup,
+           "op6_minhash_dedup": op6_minhash_dedup, "op10_decontamination": op10_decontamination,
            "op8_language_id": op8_language_id, "op9_url_filter": op9_url_filter}
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickforge.llm import decontam, fingerprints, langid, line_dedup, minhash_dedup, url_filter
+from tickforge.llm import decontam, fingerprints, langid, line_dedup, minhash_dedup, suffix_dedup, url_filter
 from tickforge.llm.common import table
 from tickforge.llm.url_filter import Rule
 
@@ -22,6 +22,10 @@ def op2_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
+
+
 def op6_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), pct=85)
 
@@ -49,6 +53,7 @@ def op9_url_filter(spark, sf_dir):
 
 
 QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_line_dedup": op2_line_dedup,
+           "op4_suffix_dedup": op4_suffix_dedup,
            "op6_minhash_dedup": op6_minhash_dedup, "op10_decontamination": op10_decontamination,
            "op8_language_id": op8_language_id, "op9_url_filter": op9_url_filter}
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickforge.llm import decontam, fingerprints, langid, line_dedup, minhash_dedup, suffix_dedup, url_filter
+from tickforge.llm import decontam, fingerprints, langid, line_dedup, minhash_dedup, packing, suffix_dedup, url_filter
 from tickforge.llm.common import table
 from tickforge.llm.url_filter import Rule
 
@@ -30,6 +30,17 @@ def op6_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), pct=85)
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary file, installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+
+
 def op10_decontamination(spark, sf_dir):
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,7 +65,8 @@ def op9_url_filter(spark, sf_dir):
 
 QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_line_dedup": op2_line_dedup,
            "op4_suffix_dedup": op4_suffix_dedup,
-           "op6_minhash_dedup": op6_minhash_dedup, "op10_decontamination": op10_decontamination,
+           "op6_minhash_dedup": op6_minhash_dedup, "op7_packing": op7_packing,
+           "op10_decontamination": op10_decontamination,
            "op8_language_id": op8_language_id, "op9_url_filter": op9_url_filter}
 
 

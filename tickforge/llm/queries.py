@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickforge.llm import decontam, fingerprints, langid, line_dedup, minhash_dedup, packing, suffix_dedup, url_filter
+from tickforge.llm import (
+    decontam, fingerprints, langid, line_dedup, minhash_dedup, packing, passages, secrets, suffix_dedup, url_filter,
+)
 from tickforge.llm.common import table
 from tickforge.llm.url_filter import Rule
 
@@ -22,10 +24,19 @@ def op2_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op3_passages(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
 
 
+def op5_secrets(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"), path_col="source")
+    return found.withColumn("secret", F.sha2("secret", 256)).withColumnRenamed("secret", "secret_sha256")
+
+
 def op6_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), pct=85)
 
@@ -63,12 +74,9 @@ def op9_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), page_outcomes(spark, sf_dir), URL_RULES).drop("bad_low")
 
 
-QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_line_dedup": op2_line_dedup,
-           "op4_suffix_dedup": op4_suffix_dedup,
-           "op6_minhash_dedup": op6_minhash_dedup, "op7_packing": op7_packing,
-           "op10_decontamination": op10_decontamination,
-           "op8_language_id": op8_language_id, "op9_url_filter": op9_url_filter}
-
+QUERIES = {f.__name__: f for f in (
+    op1_fingerprints, op2_line_dedup, op3_passages, op4_suffix_dedup, op5_secrets, op6_minhash_dedup, op7_packing,
+    op8_language_id, op9_url_filter, op10_decontamination)}
 
 SQL = {
     "op2_line_dedup": r"""

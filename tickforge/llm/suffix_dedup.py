@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from tickforge.llm.arrowtext import U64, mix, sliding_min, utf8
 from tickforge.llm.common import documents, public_id, shuffle_partitions
+from tickforge.llm.sharedkeys import SENT, bucket_of, cuts, is_shared, send, shared
 
 LENGTH = 50
 ANCHOR = 24
@@ -217,70 +218,18 @@ class Chunk:
         return firsts, rank, keys[0]
 
 
-def _bucket_of(prints: np.ndarray, bits: int) -> np.ndarray:
-    return (prints >> U64(64 - bits)).astype(np.int32) if bits else np.zeros(len(prints), np.int32)
-
-
-def _low(prints: np.ndarray, bits: int) -> np.ndarray:
-    return (prints >> U64(32 - bits)).astype(np.uint32)
-
-
-def _cuts(sorted_values: np.ndarray) -> np.ndarray:
-    return np.append(np.flatnonzero(np.append(True, sorted_values[1:] != sorted_values[:-1]))
-                     if len(sorted_values) else [], len(sorted_values)).astype(np.int64)
-
-
 def _send_minimizers(bits, length, anchor):
     def run(key, rows):
         chunk = Chunk(rows, length, anchor)
-        prints, owner = chunk.prints, chunk.ids[chunk.doc] if len(chunk.doc) else chunk.doc
-        order = np.lexsort([owner, prints])
-        p, o = prints[order], owner[order]
-        heads = _cuts(p)[:-1]
-        several = np.zeros(len(heads), bool)
-        if len(heads):
-            several = o[heads] != o[np.append(heads[1:], len(p)) - 1]
-        unique = p[heads]
-        bucket = _bucket_of(unique, bits)
-        low = _low(unique, bits)
-        cut = _cuts(bucket)
-        return pa.table({
-            "bucket": pa.array(bucket[cut[:-1]], pa.int32()),
-            "chunk": pa.array(np.full(len(cut) - 1, key[0].as_py()), pa.int64()),
-            "low": pa.array([low[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
-            "several": pa.array([np.packbits(several[a:b]).tobytes() for a, b in zip(cut, cut[1:])], pa.binary())})
+        return send(key[0].as_py(), chunk.prints, chunk.ids[chunk.doc] if len(chunk.doc) else chunk.doc, bits)
     return run
 
 
-def _shared_minimizers(key, rows):
-    """For each chunk its minimizers that several documents have."""
-    lows = [np.frombuffer(x, np.uint32) for x in rows.column("low").to_pylist()]
-    marks = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(l)).astype(bool)
-             for x, l in zip(rows.column("several").to_pylist(), lows)]
-    every = np.sort(np.concatenate(lows))
-    shared = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *[x[m] for x, m in zip(lows, marks)]]))
-    own = [x[np.isin(x, shared)] if len(shared) else x[:0] for x in lows]
-    some = [i for i, x in enumerate(own) if len(x)]
-    return pa.table({"chunk": rows.column("chunk").take(pa.array(some, pa.int64())),
-                     "bucket": pa.array([key[0].as_py()] * len(some), pa.int32()),
-                     "low": pa.array([own[i].tobytes() for i in some], pa.binary())})
-
-
-def _chosen(chunk: Chunk, marks: pa.Table, bits: int) -> np.ndarray:
-    """The chunk's runs with a shared minimizer."""
-    bucket, low = _bucket_of(chunk.prints, bits).astype(U64), _low(chunk.prints, bits).astype(U64)
-    shared = [np.frombuffer(x, np.uint32).astype(U64) | (U64(b) << U64(32))
-              for b, x in zip(marks.column("bucket").to_pylist(), marks.column("low").to_pylist())]
-    if not shared or not len(low):
-        return np.zeros(0, np.int64)
-    return np.flatnonzero(np.isin(bucket << U64(32) | low, np.concatenate(shared)))
-
-
 def _in_buckets(chunk: Chunk, chosen: np.ndarray, bits: int):
     """The distinct runs in bucket order: (positions in chosen, run number of
     each chosen run in that order, bucket of each distinct run)."""
     firsts, rank, prints = chunk.distinct_runs(chosen)
-    bucket = _bucket_of(prints[firsts], bits)
+    bucket = bucket_of(prints[firsts], bits)
     order = np.argsort(bucket, kind="stable")
     number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
@@ -292,10 +241,10 @@ def _send_runs(bits, length, anchor):
         out = {"bucket": [], "chunk": [], "prints": [], "owners": [], "sizes": [], "bytes": []}
         if rows.num_rows and marks.num_rows:
             chunk = Chunk(rows, length, anchor)
-            chosen = _chosen(chunk, marks, bits)
+            chosen = np.flatnonzero(is_shared(chunk.prints, marks, bits))
             firsts, _, bucket = _in_buckets(chunk, chosen, bits)
             runs = chosen[firsts]
-            cut = _cuts(bucket)
+            cut = cuts(bucket)
             sizes = chunk.counts[runs] + length - 1
             for a, b in zip(cut, cut[1:]):
                 own = runs[a:b]
@@ -318,15 +267,15 @@ def smallest_owners(prints, owners, sizes, data, length, block=BLOCK_SUFFIXES):
     counts = sizes - length + 1
     mask = np.zeros(len(prints), U64)
     order = np.argsort(prints, kind="stable")
-    cut = _cuts(prints[order])
+    cut = cuts(prints[order])
     groups = np.diff(cut)
     order = order[np.repeat(groups > 1, groups)]  # a run that alone has its minimizer has no partner
     if not len(order):
         return mask
-    cut = _cuts(prints[order])
+    cut = cuts(prints[order])
     totals = np.add.reduceat(counts[order], cut[:-1])
     block_of = np.cumsum(totals) // block  # minimizers in blocks of bounded size
-    edges = _cuts(block_of)
+    edges = cuts(block_of)
     for a, b in zip(edges, edges[1:]):
         runs = order[cut[a]:cut[b]]
         size, count = sizes[runs], counts[runs]
@@ -339,7 +288,7 @@ def smallest_owners(prints, owners, sizes, data, length, block=BLOCK_SUFFIXES):
         positions, classes = block_order(text, ends, suffixes, length, int(size.max()))
         of = np.searchsorted(begins, positions, "right") - 1
         owner = owners[runs][of]
-        heads = _cuts(classes)
+        heads = cuts(classes)
         least = np.repeat(np.minimum.reduceat(owner, heads[:-1]), np.diff(heads))
         gone = least < owner
         np.bitwise_or.at(mask, runs[of[gone]], U64(1) << (positions[gone] - begins[of[gone]]).astype(U64))
@@ -383,7 +332,7 @@ def _cut(bits, length, anchor):
         covered = np.zeros(len(chunk.data) + 1, np.int32)
         if answers.num_rows:
             marks = answers.filter(pc.is_valid(answers.column("low")))
-            chosen = _chosen(chunk, marks, bits)
+            chosen = np.flatnonzero(is_shared(chunk.prints, marks, bits))
             firsts, number, _ = _in_buckets(chunk, chosen, bits)
             masks = answers.filter(pc.is_valid(answers.column("masks"))).sort_by("bucket")
             mask = np.concatenate([np.frombuffer(x, U64) for x in masks.column("masks").to_pylist()])[number]
@@ -426,14 +375,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bits = max(0, (max(parts, total // bucket_bytes) - 1).bit_length())
     texts = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)))
     sent = texts.groupBy("chunk").applyInArrow(
-        _send_minimizers(bits, length, anchor), "bucket int, chunk long, low binary, several binary")
-    shared = sent.groupBy("bucket").applyInArrow(_shared_minimizers, "chunk long, bucket int, low binary")
-    runs = texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
+        _send_minimizers(bits, length, anchor), SENT)
+    known = shared(sent)
+    runs = texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
         _send_runs(bits, length, anchor),
         "bucket int, chunk long, prints binary, owners binary, sizes binary, bytes binary")
     masks = runs.groupBy("bucket").applyInArrow(_sort_bucket(length), "chunk long, bucket int, masks binary")
     none = F.lit(None).cast("binary")
-    answers = shared.withColumn("masks", none).unionByName(masks.withColumn("low", none))
+    answers = known.withColumn("masks", none).unionByName(masks.withColumn("low", none))
     out = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         _cut(bits, length, anchor),
         "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

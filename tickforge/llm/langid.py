@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickforge.llm.arrowtext import pieces, utf8
 
@@ -142,7 +143,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     sent = spark.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias("__text"))
-    schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    schema = StructType(rows.schema.fields[:-1]).add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickforge.llm.arrowtext import pieces
 from tickforge.llm.common import documents, public_id, shuffle_partitions, written
@@ -120,20 +121,29 @@ class LineRuns:
         self.levels = []
 
 
-def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for piece in pieces(batch, "text"):
-            kept, n, gone = [], [], []
-            for text, lines in zip(piece.column("text").to_pylist(), piece.column("lines").to_pylist()):
-                own = text.split("\n")
-                drop = set(lines or ())
-                n.append(len(own))
-                gone.append(len(drop))
-                kept.append("\n".join(x for i, x in enumerate(own) if i not in drop) if drop else text)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("id"), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in kept], pa.string())],
-                names=["id", "kept", "n_lines", "n_dropped", "kept_sha256"])
+def without_lines(rows: DataFrame, text_col: str, lines_col: str) -> DataFrame:
+    """The rows with kept (the text without the numbered lines), n_lines,
+    n_dropped, kept_sha256."""
+    at, of = rows.columns.index(text_col), rows.columns.index(lines_col)
+    names = [*rows.columns, "kept", "n_lines", "n_dropped", "kept_sha256"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, text_col):
+                kept, n, gone = [], [], []
+                for text, lines in zip(piece.column(at).to_pylist(), piece.column(of).to_pylist()):
+                    text = text or ""
+                    own, drop = text.split("\n"), set(lines or ())
+                    n.append(len(own))
+                    gone.append(len(drop))
+                    kept.append("\n".join(x for i, x in enumerate(own) if i not in drop) if drop else text)
+                yield pa.RecordBatch.from_arrays(
+                    [*piece.columns, pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
+                     pa.array([hashlib.sha256(x.encode()).hexdigest() for x in kept], pa.string())], names=names)
+
+    schema = StructType(list(rows.schema.fields)).add("kept", "string").add("n_lines", "long").add("n_dropped", "long") \
+        .add("kept_sha256", "string")
+    return rows.mapInArrow(run, schema)
 
 
 def batch_bounds(rows: DataFrame, batches: int) -> list[tuple[int, int]]:
@@ -172,6 +182,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     row.  Other columns are ignored; an empty table gives no rows."""
     rows = documents(docs, id_col, text_col)
     gone = decisions(docs, id_col, text_col, min_chars, batches, fan_out)
-    out = rows.withColumn("version", F.xxhash64("text")).join(gone, ["id", "version"], "left").select("id", "text", "lines").mapInArrow(
-        _keep, "id long, kept string, n_lines long, n_dropped long, kept_sha256 string")
+    out = without_lines(rows.withColumn("version", F.xxhash64("text")).join(gone, ["id", "version"], "left")
+                        .select("id", "text", "lines"), "text", "lines")
     return out.select(public_id().alias(id_col), "kept", "n_lines", "n_dropped", "kept_sha256")

@@ -40,14 +40,20 @@ def test_tie_break_is_exact_id_order_for_large_ids(spark):
             assert (c.open_price, c.close_price) == (20.0, 23.0)
 
 
-def test_window_order_key_bounds():
-    from tickforge.functions import duration_micros
-    assert duration_micros("1 minute") == 60_000_000
-    assert duration_micros("10 seconds") == 10_000_000
-    assert duration_micros("1 hour 30 minutes") == 5_400_000_000
-    w = duration_micros("1 minute")
-    tie_range = 1 << (63 - (w - 1).bit_length())
-    assert tie_range == 2**37 and w * tie_range <= 2**63     # the key never overflows
+def test_order_is_exact_for_any_id_and_price(spark):
+    """Ids past 2^31 and 2^62 in hourly candles; without ids, prices past
+    1374 in one millisecond; a trade without an id comes after those with one."""
+    at = "2024-01-01 00:30:00.250"
+    for ids in ((2**31 - 1, 2**31), (2**62, 2**62 + 1), (-5, 3)):
+        rows = [trade(price=1.0 + k, at=at, trade_id=i) for k, i in enumerate(ids)]
+        c = candles.candles(_silver(spark, rows[::-1]), "1 hour").collect()[0]
+        assert (c.open_price, c.close_price) == (1.0, 2.0)
+    rows = [trade(price=p, at=at) for p in (1375.0, 1374.0, 99_999.5)]
+    c = candles.candles(_silver(spark, rows)).collect()[0]
+    assert (c.open_price, c.close_price) == (1374.0, 99_999.5)
+    rows = [trade(price=1.0, at=at), trade(price=2.0, at=at, trade_id=7)]
+    c = candles.candles(_silver(spark, rows)).collect()[0]
+    assert (c.open_price, c.close_price) == (2.0, 1.0)
 
 
 def test_null_side_counts_in_total_only(spark):
@@ -80,11 +86,6 @@ def test_symbols_are_case_sensitive_groups(spark):
     assert candles.candles(_silver(spark, rows)).count() == 2
 
 
-def test_candle_plan_is_hash_aggregate(spark):
-    df = candles.candles(_silver(spark, [trade()]))
-    assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_hot_symbol_is_combined_before_the_shuffle(spark):
     """A symbol with most of the trades, all in two minutes, over 4 input
     partitions: the candle shuffle carries one partial candle per window

@@ -26,16 +26,24 @@ def test_normalize_envelopes_drops_bad_messages(spark):
     raw = _raw(spark, texts)
     out = envelope.normalize_envelopes(raw, ingested_at="2024-01-01T00:00:00")
     rows = {r.symbol + str(r.trade_time): r for r in out.collect()}
-    assert len(rows) == 3
+    assert len(rows) == 2
     r = rows["BTCUSDT1704067200123"]
     assert (r.price, r.quantity, r.is_buyer_maker, r.trade_id, r.source) == (
         42000.5, 0.25, True, 5, config.SOURCE_TAG)
     assert rows["ETHUSDT1"].price == 2300.25
-    assert rows["BTCUSDT1"].is_buyer_maker is None
     flagged = envelope.normalize_envelopes(raw, keep_rejects=True)
-    assert flagged.filter("not _valid").count() == 4
+    assert flagged.filter("not _valid").count() == 5
     counts = envelope.count_rejects(raw).collect()[0]
-    assert (counts.accepted, counts.rejected) == (3, 4)
+    assert (counts.accepted, counts.rejected) == (2, 5)
+
+
+def test_null_fields_are_kept_and_missing_ones_dropped(spark):
+    base = {"s": "BTCUSDT", "p": "1", "q": "1", "T": 5, "m": True}
+    texts = [json.dumps({"data": {**base, k: None}}) for k in "sTm"]
+    texts += [json.dumps({"data": {k: v for k, v in base.items() if k != gone}}) for gone in base]
+    out = envelope.normalize_envelopes(_raw(spark, texts), ingested_at="x").collect()
+    assert sorted((r.symbol is None, r.trade_time is None, r.is_buyer_maker is None) for r in out) == [
+        (False, False, True), (False, True, False), (True, False, False)]
 
 
 def test_keyed_json_round_trip_through_bronze(spark):

@@ -76,11 +76,33 @@ def test_pipeline_health(spark):
     assert stale.freshness_status == "Stale"
 
 
-def test_pipeline_health_reads_candles_once(spark):
-    c = candle_rows(spark, [("2024-01-01 10:00:00", "BTCUSDT", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 0.0, 2)])
-    plan = marts.pipeline_health(c, "2024-01-01 12:00:00")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") == 1
-    assert "Join" not in plan
+def test_pipeline_health_from_a_stored_hourly_table(spark, fresh_dir):
+    c = candle_rows(spark, [(f"2024-01-0{d} 10:0{m}:00", s, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 0.0, 2)
+                            for d in (1, 2) for m in (0, 1) for s in ("BTCUSDT", "ETHUSDT")])
+    marts.hourly_ingestion(c).write.parquet(fresh_dir)
+    at = "2024-01-03 00:00:00"
+    stored = marts.pipeline_health(c, at, hourly=spark.read.parquet(fresh_dir))
+    assert stored.collect() == marts.pipeline_health(c, at).collect()
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan                       # the candles are not read again
+
+
+def test_overview_null_symbol_has_no_joined_prices(spark):
+    c = candle_rows(spark, [("2024-01-02 10:00:00", None, 1.0, 2.0, 1.0, 1.0, 3.0, 1.0, 0.0, 1)])
+    r = marts.market_overview(c, "2024-01-03 00:00:00").collect()[0]
+    assert r.current_price is None and r.open_price_24h is None and r.last_updated is None
+    assert (r.high_24h, r.volume_24h) == (2.0, 3.0)
+
+
+def test_overview_prunes_stored_candles(spark, fresh_dir):
+    from tickforge.streaming.sinks import with_date
+    c = candle_rows(spark, [(f"2024-01-{d:02d} 10:00:00", "BTCUSDT", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 0.0, 1)
+                            for d in range(1, 20)])
+    with_date(c).write.partitionBy("candle_date").parquet(fresh_dir)
+    df = marts.market_overview(spark.read.parquet(fresh_dir), "2024-01-19 12:00:00")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(candle_date" in plan and "GreaterThanOrEqual(candle_start_time" in plan
+    assert df.collect()[0].total_trades_24h == 1
 
 
 def test_price_vs_sentiment(spark):
@@ -102,21 +124,11 @@ def test_price_vs_sentiment(spark):
     assert got[("2024-01-02", "BTCUSDT")].fng_value is None
 
 
-def test_sentiment_join_broadcasts_only_after_measuring(spark):
-    """No estimate-based broadcast: the planned join is a shuffle join, and
-    AQE switches to a broadcast only once the sentiment side has run and
-    reported its size."""
-    c = candle_rows(spark, [
-        ("2024-01-01 10:00:00", "BTCUSDT", 1.0, 2.0, 0.5, 1.5, 1.0, 1.0, 0.0, 1),
-        ("2024-01-02 10:00:00", "BTCUSDT", 1.5, 2.5, 1.0, 2.0, 2.0, 1.0, 1.0, 2),
-    ])
-    sent = spark.createDataFrame([(dt.date(2024, 1, 1), 40, "Fear", dt.datetime(2024, 1, 2))],
-                                 "date date, fng_value int, fng_classification string, "
-                                 "updated_at timestamp")
+def test_repeated_sentiment_dates_make_one_row(spark):
+    c = candle_rows(spark, [("2024-01-01 10:00:00", "BTCUSDT", 1.0, 2.0, 0.5, 1.5, 1.0, 1.0, 0.0, 1)])
+    sent = spark.createDataFrame([(dt.date(2024, 1, 1), v, "x", dt.datetime(2024, 1, d)) for v, d in ((40, 2), (41, 3))],
+                                 "date date, fng_value int, fng_classification string, updated_at timestamp")
     df = marts.price_vs_sentiment(c, sent)
-    qe = df._jdf.queryExecution()
-    assert "BroadcastHashJoin" not in qe.executedPlan().toString()
-    rows = qe.toRdd().count()
-    assert rows == 2
-    final = qe.executedPlan().toString()
-    assert "isFinalPlan=true" in final and "BroadcastHashJoin" in final
+    assert [r.fng_value for r in df.collect()] == [41]
+    # no broadcast from an estimate
+    assert "Broadcast" not in df._jdf.queryExecution().sparkPlan().toString()

@@ -17,7 +17,8 @@ def test_cli_runs_stages_in_order(spark, fresh_dir):
     spark.createDataFrame([(json.dumps(doc),)], "value string").write.text(docs)
     medallion.main(["--lake", fresh_dir, "--as-of", "2024-01-01 01:00:00",
                     "--sentiment-docs", docs, "--timeout", "180",
-                    "--state-partitions", "3"])
+                    "--state-partitions", "3", "--files-per-partition", "2",
+                    "--stages", "bronze,silver,gold,sentiment,history,marts", "--day", "2024-01-01"])
     s = spark
     overview = lake_table(s, f"{lake.marts}/mart_market_overview").collect()
     assert sorted(r.symbol for r in overview) == ["BTCUSDT", "ETHUSDT"]
@@ -25,6 +26,7 @@ def test_cli_runs_stages_in_order(spark, fresh_dir):
     pvs = lake_table(s, f"{lake.marts}/mart_price_vs_sentiment").collect()
     assert [(r.symbol, r.fng_value) for r in pvs] == [("BTCUSDT", 40)]
     assert lake_table(s, f"{lake.marts}/mart_pipeline_health").count() == 2
+    assert lake_table(s, lake.history).count() == 60
     # the state partition count chosen at the first start is kept in the checkpoint
     state = [p for p in __import__("os").listdir(f"{lake.checkpoint('gold')}/state/0")
              if p.isdigit()]

@@ -66,10 +66,30 @@ def test_dedupe_missing_ingest_time_sorts_last(spark):
     assert len(r) == 1 and r[0].trade_id == 2
 
 
-def test_dedupe_plan_is_hash_aggregate(spark):
-    df = silver.silver_batch(trades(spark, [trade()]))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in plan
+def test_dedupe_order_is_exact(spark):
+    """Same key and ingest time: the smallest whole id, 1000 before 1024;
+    ingest times at the ends of the calendar; no id last."""
+    for ids, kept in (((1024, 1000), 1000), ((2**62 + 1, 2**62), 2**62), ((None, 9), 9)):
+        r = silver.silver_batch(trades(spark, [trade(trade_id=i) for i in ids])).collect()
+        assert [x.trade_id for x in r] == [kept]
+    rows = [trade(trade_id=1, ingested="9999-12-31T23:59:59"), trade(trade_id=2, ingested="0001-01-01T00:00:00"),
+            trade(trade_id=3)]
+    assert [x.trade_id for x in silver.silver_batch(trades(spark, rows)).select("trade_id").collect()] == [2]
+
+
+def test_sources_do_not_split_a_key(spark):
+    rows = [trade(source="a", trade_id=1, ingested="2024-01-01T00:00:05"), trade(source="b", trade_id=2)]
+    r = silver.silver_batch(trades(spark, rows)).collect()
+    assert [(x.source, x.trade_id) for x in r] == [("b", 2)]
+
+
+def test_impossible_times_are_null_and_filtered(spark):
+    from tickforge.operators import bronze
+    rows = [{**trade(trade_id=1), "trade_time": 1_704_067_200_000_000_000}, {**trade(trade_id=2), "trade_time": -2**63},
+            trade(trade_id=3)]
+    b = {r.trade_id: r for r in bronze.add_time_parts(trades(spark, rows)).collect()}
+    assert b[1].timestamp is None and b[2].year is None and b[3].year == 2024
+    assert [r.trade_id for r in silver.silver_batch(trades(spark, rows)).collect()] == [3]
 
 
 def test_hot_key_is_combined_before_the_shuffle(spark):

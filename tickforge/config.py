@@ -10,9 +10,6 @@ that callers may override through function arguments.
 # ---------------------------------------------------------------------------
 # Tag written into every normalised trade message.
 SOURCE_TAG = "binance_aggTrade"
-# Tracked symbols, as the feeder subscribes to them (lower case).
-TRACKED_SYMBOLS = ["btcusdt", "ethusdt", "bnbusdt", "solusdt", "xrpusdt",
-                   "adausdt", "dogeusdt", "shibusdt"]
 # Silver quality filter: price must be below this cap.
 PRICE_CAP = 1_000_000
 # Silver enrichment: a trade is large when trade_value exceeds this.

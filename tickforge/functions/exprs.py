@@ -7,8 +7,6 @@ per row.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,13 +16,12 @@ __all__ = [
     "col_", "ts_from_millis", "ts_from_text", "minutes_between", "pct",
     "date_from_epoch_seconds", "trade_value", "trade_side", "price_magnitude",
     "is_large_trade", "candle_type", "freshness_status", "fng_classification",
-    "iso_text", "as_ts", "order_key", "duration_micros", "window_order_key",
+    "iso_text", "as_ts", "in_millis_range", "order_fields",
 ]
 
-# Ordering keys: microseconds * TIE_RANGE + pmod(tie, TIE_RANGE).  Epoch
-# microseconds stay below 2^53 until the year 2255, so the key fits a long.
-TIE_RANGE = 1024
-LAST_MICROS = 2**53 - 1      # stands in for a missing time: orders last
+# Epoch milliseconds of 0001-01-01 and of the end of 9999-12-31.
+FIRST_MILLIS = -62_135_596_800_000
+LAST_MILLIS = 253_402_300_799_999
 
 
 def col_(c) -> Column:
@@ -41,9 +38,16 @@ def as_ts(value) -> Column:
     return F.lit(str(value)).cast("timestamp")
 
 
+def in_millis_range(ms) -> Column:
+    """Whether epoch milliseconds fall in the years 1 to 9999 (NULL for NULL)."""
+    return col_(ms).between(FIRST_MILLIS, LAST_MILLIS)
+
+
 def ts_from_millis(ms) -> Column:
-    """Epoch milliseconds -> timestamp, exact to the millisecond."""
-    return F.timestamp_millis(col_(ms))
+    """Epoch milliseconds -> timestamp, exact to the millisecond; NULL for a
+    value outside the years 1 to 9999 (nanoseconds sent by mistake, say), so
+    that no message can stop a job."""
+    return F.timestamp_millis(F.when(in_millis_range(ms), col_(ms)))
 
 
 def ts_from_text(text) -> Column:
@@ -71,9 +75,11 @@ def pct(num, den, scale: int) -> Column:
 
 
 def date_from_epoch_seconds(text_or_num) -> Column:
-    """Epoch seconds (text or number) -> calendar date in the session zone."""
+    """Epoch seconds (text or number) -> calendar date in the session zone;
+    NULL for text that is no number and outside the years 1 to 9999."""
     secs = col_(text_or_num).try_cast("long")
-    return F.to_date(F.timestamp_seconds(secs))
+    ok = secs.between(FIRST_MILLIS // 1000, LAST_MILLIS // 1000)
+    return F.to_date(F.timestamp_seconds(F.when(ok, secs)))
 
 
 def trade_value(price="price", quantity="quantity") -> Column:
@@ -115,52 +121,11 @@ def fng_classification(value) -> Column:
     return expr.otherwise(F.lit(config.FNG_CLASSES[-1][1]))
 
 
-def order_key(micros, tie) -> Column:
-    """One ``long`` ordering rows by time, then by a tie-break.
-
-    ``micros`` is epoch microseconds; rows in the same microsecond are
-    ordered by ``pmod(tie, 1024)`` (the low bits of a trade id, say), which
-    makes the order total and deterministic without a second key.  A single
-    primitive key keeps ``min_by``/``max_by`` on the hash-aggregate path:
-    a struct key forces a sort-based aggregate and a decimal(38) key costs
-    about ten times as much per row.
-    """
-    return (col_(micros) * F.lit(TIE_RANGE)
-            + F.pmod(col_(tie), F.lit(TIE_RANGE)))
-
-
-# Units accepted in window durations such as "1 minute" or "10 seconds".
-_UNIT_MICROS = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000,
-                "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000,
-                "week": 604_800_000_000}
-
-
-def duration_micros(duration: str) -> int:
-    """'1 minute', '10 seconds', '1 hour 30 minutes' -> microseconds."""
-    total = 0
-    for n, unit in re.findall(r"(\d+)\s*([a-z]+)", duration.lower()):
-        unit = unit[:-1] if unit.endswith("s") and unit[:-1] in _UNIT_MICROS else unit
-        if unit not in _UNIT_MICROS:
-            raise ValueError(f"unsupported duration unit in {duration!r}")
-        total += int(n) * _UNIT_MICROS[unit]
-    if total <= 0:
-        raise ValueError(f"not a positive duration: {duration!r}")
-    return total
-
-
-def window_order_key(ts, tie, width: str) -> Column:
-    """One ``long`` ordering the rows of one tumbling window of ``width`` by
-    time, then by ``tie`` (a trade id, say).
-
-    Inside a window the time offset ``pmod(micros, width)`` needs only
-    ``b = bit_length(width - 1)`` bits (26 for one minute), which leaves
-    ``63 - b`` bits for the tie-break: ids in ``[0, 2^(63-b))`` (below
-    1.4e11 for one-minute windows) compare exactly, larger or negative ones
-    by their low bits.  A primitive key keeps ``min_by``/``max_by`` on the
-    hash-aggregate path.  Windows must be aligned to the epoch, as
-    ``window(ts, width)`` without a start offset is.
-    """
-    w = duration_micros(width)
-    tie_range = 1 << (63 - (w - 1).bit_length())
-    return (F.pmod(F.unix_micros(col_(ts)), F.lit(w)) * F.lit(tie_range)
-            + F.pmod(col_(tie), F.lit(tie_range)))
+def order_fields(*cols) -> list[Column]:
+    """Fields that put rows in ascending order with NULLs last, for the front
+    of a struct under ``min`` or ``max``: each column behind its null flag.
+    The whole values are compared, whatever their size."""
+    out = []
+    for i, c in enumerate(cols):
+        out += [col_(c).isNull().alias(f"_n{i}"), col_(c).alias(f"_o{i}")]
+    return out

@@ -13,7 +13,8 @@ def decode_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """``value`` (binary or text JSON) -> the trade-message columns.
 
     Malformed JSON yields an all-NULL row, which bronze keeps (it lands in
-    the default partition) and silver's quality filter removes.
+    the default partition) and silver's quality filter removes.  A time out
+    of range gives NULL time parts, never an error.
     """
     parsed = F.from_json(F.col(value_col).cast("string"), schemas.TRADE_MESSAGE)
     # inline() expands the struct in a generator: one parse per message even
@@ -37,9 +38,15 @@ def bronze_from_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return add_time_parts(decode_messages(raw, value_col))
 
 
+def quality_counts() -> list:
+    """Counters for ``observe`` on bronze rows: all of them, messages that
+    could not be decoded, and trade times out of range."""
+    none = F.col("symbol").isNull() & F.col("trade_time").isNull()
+    odd = F.col("trade_time").isNotNull() & F.col("timestamp").isNull()
+    return [F.count(F.lit(1)).alias("rows"), F.count(F.when(none, F.lit(1))).alias("unparsed"),
+            F.count(F.when(odd, F.lit(1))).alias("time_out_of_range")]
+
+
 def count_unparsed(bronze_rows: DataFrame) -> DataFrame:
-    """Number of bronze rows whose message could not be decoded (all fields
-    NULL); silver's quality filter removes them."""
-    from pyspark.sql import functions as F
-    return bronze_rows.agg(F.count(F.when(F.col("symbol").isNull() & F.col("trade_time").isNull(),
-                                          F.lit(1))).alias("unparsed"))
+    """The same counters of a bronze table, as one row."""
+    return bronze_rows.agg(*quality_counts())

@@ -1,12 +1,11 @@
 """Gold: OHLCV candles per (symbol, tumbling event-time window).
 
 Open and close are the prices of the first and last trade of the window
-ordered by trade time, then trade id (or price when the producer sends no
-id) -- deterministic, unlike an unordered first/last.  The order is one
-long key relative to the window (``window_order_key``): exact for ids below
-2^37 in one-minute windows, and every aggregate stays on the
-hash-aggregate path.  All aggregates are declarative, so Spark computes
-partial candles on the map side and shuffles at most one row per
+ordered by trade time, then trade id, then price (a trade without an id
+comes after those with one) -- deterministic, unlike an unordered
+first/last.  The order is the comparison of one struct of whole values, so
+no id and no price is too large.  All aggregates are declarative, so Spark
+computes partial candles on the map side and shuffles at most one row per
 (symbol, window) per task; a hot symbol does not concentrate raw trades.
 """
 
@@ -16,25 +15,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge import config
-from tickforge.functions import window_order_key
+from tickforge.functions import order_fields
 from tickforge.schemas import CANDLE_COLUMNS
 
 
-def _order(width: str) -> Column:
-    tie = F.coalesce(F.col("trade_id"),
-                     F.round(F.col("price") * F.lit(1e8)).cast("long"))
-    return window_order_key("trade_timestamp", tie, width)
-
-
-def candle_aggregates(width: str = config.CANDLE_WIDTH) -> list[Column]:
+def candle_aggregates() -> list[Column]:
     bm = F.col("is_buyer_maker")
     q = F.col("quantity")
-    order = _order(width)
+    order = F.struct(*order_fields("trade_timestamp", "trade_id", "price"))
     return [
-        F.min_by("price", order).alias("open_price"),
+        F.min(order).getField("_o2").alias("open_price"),
         F.max("price").alias("high_price"),
         F.min("price").alias("low_price"),
-        F.max_by("price", order).alias("close_price"),
+        F.max(order).getField("_o2").alias("close_price"),
         F.sum(q).alias("total_volume"),
         F.count(F.lit(1)).alias("trade_count"),
         # A NULL side counts in neither volume (it still counts in total).
@@ -60,7 +53,7 @@ def candles(trades: DataFrame, width: str = config.CANDLE_WIDTH,
     if "trade_id" not in trades.columns:
         trades = trades.withColumn("trade_id", F.lit(None).cast("long"))
     agg = (trades.groupBy(F.window("trade_timestamp", width).alias("window"), "symbol")
-           .agg(*candle_aggregates(width)))
+           .agg(*candle_aggregates()))
     return _finish(agg, ingested_at)
 
 
@@ -72,5 +65,5 @@ def candles_stream(trades: DataFrame, width: str = config.CANDLE_WIDTH,
         trades = trades.withColumn("trade_id", F.lit(None).cast("long"))
     agg = (trades.withWatermark("trade_timestamp", delay)
            .groupBy(F.window("trade_timestamp", width).alias("window"), "symbol")
-           .agg(*candle_aggregates(width)))
+           .agg(*candle_aggregates()))
     return _finish(agg, ingested_at)

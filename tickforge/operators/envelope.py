@@ -2,7 +2,8 @@
 
 A message that cannot be normalised (bad JSON, no ``data``, a missing
 field, price or quantity that is not a number) is dropped, as the feeder
-drops any message whose handling raises; the stream goes on.
+drops any message whose handling raises; the stream goes on.  A field is
+missing when its key is: a JSON null in ``s``, ``T`` or ``m`` is kept as NULL.
 """
 
 from __future__ import annotations
@@ -29,25 +30,29 @@ def normalize_envelopes(raw: DataFrame, text_col: str = "value",
     parsed = raw.select(F.from_json(col_(text_col).cast("string"),
                                     schemas.RAW_ENVELOPE).getField("data").alias("_d"))
     d = F.col("_d")
-    price = d.getField("p").try_cast("double")
-    qty = d.getField("q").try_cast("double")
+
+    def field(name: str) -> Column:
+        return F.try_element_at(d, F.lit(name))
+
+    price = field("p").try_cast("double")
+    qty = field("q").try_cast("double")
     if ingested_at is None:
         ing = iso_text(F.current_timestamp())
     elif isinstance(ingested_at, Column):
         ing = ingested_at
     else:
         ing = F.lit(ingested_at)
-    valid = (d.isNotNull() & d.getField("s").isNotNull() & price.isNotNull()
-             & qty.isNotNull() & d.getField("T").isNotNull())
+    valid = F.coalesce(price.isNotNull() & qty.isNotNull() & F.map_contains_key(d, "s")
+                       & F.map_contains_key(d, "T") & F.map_contains_key(d, "m"), F.lit(False))
     fields = [
         F.lit(config.SOURCE_TAG).alias("source"),
-        d.getField("s").alias("symbol"),
+        field("s").alias("symbol"),
         price.alias("price"),
         qty.alias("quantity"),
-        d.getField("T").alias("trade_time"),
-        d.getField("m").alias("is_buyer_maker"),
+        field("T").try_cast("long").alias("trade_time"),
+        field("m").try_cast("boolean").alias("is_buyer_maker"),
         ing.alias("ingested_at"),
-        d.getField("a").alias("trade_id"),
+        field("a").try_cast("long").alias("trade_id"),
     ]
     if keep_rejects:
         return parsed.select(*fields, valid.alias("_valid"))

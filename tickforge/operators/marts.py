@@ -4,12 +4,13 @@ Each mart is one function ``candles -> DataFrame`` with an explicit
 ``as_of`` clock where the upstream models read ``NOW()``.  They are
 written in the shape Spark executes best rather than as literal CTEs:
 
-* overview: one ``groupBy(symbol)`` with ``max_by``/``min_by`` and
-  conditional aggregates instead of two window scans and two joins;
+* overview: a filter on the window's start, which reaches the scan and
+  prunes files of a date-partitioned candle table, and one
+  ``groupBy(symbol)`` instead of two window scans and two joins;
 * OHLC summary: hourly figures attached with one window pass partitioned
   by (symbol, hour) instead of windowing, ranking and self-joining;
-* pipeline health: freshness and daily context are windows over the
-  hourly aggregate, so the candles are read and shuffled once;
+* pipeline health: candles are aggregated once, to a small hourly table
+  that callers write; freshness and daily context are aggregates of it;
 * price vs sentiment: the sentiment side (one row per day) is joined
   without a hint; AQE broadcasts it only after measuring it at run time.
 """
@@ -22,42 +23,46 @@ from pyspark.sql import functions as F
 from tickforge import config
 from tickforge.functions import (as_ts, candle_type, freshness_status,
                                  minutes_between, pct)
+from tickforge.operators.sentiment import one_per_date
 
 
 def market_overview(candles: DataFrame, as_of=None, window: str = config.OVERVIEW_WINDOW) -> DataFrame:
     """Rolling snapshot per symbol that has a candle since ``as_of - window``.
 
-    current_price / last_updated come from the latest candle over all
-    history; the other figures from candles since the window start (no
-    upper bound, as upstream).
+    The window has no upper bound (as upstream), so the latest candle of such
+    a symbol lies in it and only the window's candles are read.  With a
+    ``candle_date`` column (the stored candle table's partition) the date
+    prunes files.  A NULL symbol matches nothing in an equi-join: its latest
+    and first prices are NULL.
     """
     start = as_ts(as_of) - F.expr(f"INTERVAL {window}")
     t = F.col("candle_start_time")
-    in_win = t >= start
-
-    def w(c):
-        return F.when(in_win, F.col(c))
-
-    snap = candles.groupBy("symbol").agg(
-        F.max_by("close_price", t).alias("current_price"),
-        F.max(t).alias("last_updated"),
-        F.min_by("open_price", F.when(in_win, t)).alias("open_price_24h"),
-        F.max(w("high_price")).alias("high_24h"),
-        F.min(w("low_price")).alias("low_24h"),
-        F.sum(w("total_volume")).alias("volume_24h"),
-        F.sum(w("buy_volume_taker")).alias("buy_volume_24h"),
-        F.sum(w("sell_volume_maker")).alias("sell_volume_24h"),
-        F.sum(w("trade_count")).alias("total_trades_24h"),
-        F.count(F.when(in_win, F.lit(1))).alias("_n_win"),
-    ).filter(F.col("_n_win") > 0)
-    cur, opn = F.col("current_price"), F.col("open_price_24h")
+    recent = candles.filter(t >= start)
+    if "candle_date" in candles.columns:
+        recent = recent.filter(F.col("candle_date") >= F.to_date(start))
+    snap = recent.groupBy("symbol").agg(
+        F.max_by("close_price", t).alias("_close"),
+        F.max(t).alias("_latest"),
+        F.min_by("open_price", t).alias("_open"),
+        F.max("high_price").alias("high_24h"),
+        F.min("low_price").alias("low_24h"),
+        F.sum("total_volume").alias("volume_24h"),
+        F.sum("buy_volume_taker").alias("buy_volume_24h"),
+        F.sum("sell_volume_maker").alias("sell_volume_24h"),
+        F.sum("trade_count").alias("total_trades_24h"),
+    )
+
+    def joined(c):
+        return F.when(F.col("symbol").isNotNull(), F.col(c))
+
+    cur, opn = joined("_close"), joined("_open")
     return snap.select(
-        "symbol", "current_price", "open_price_24h", "high_24h", "low_24h",
+        "symbol", cur.alias("current_price"), opn.alias("open_price_24h"), "high_24h", "low_24h",
         pct(cur - opn, opn, 2).alias("price_change_pct_24h"),
         (cur - opn).alias("price_change_24h"),
         "volume_24h", "buy_volume_24h", "sell_volume_24h",
         pct("buy_volume_24h", "volume_24h", 2).alias("buy_ratio_pct"),
-        "total_trades_24h", "last_updated",
+        "total_trades_24h", joined("_latest").alias("last_updated"),
     )
 
 
@@ -109,31 +114,27 @@ def hourly_ingestion(candles: DataFrame) -> DataFrame:
 
 
 def pipeline_health(candles: DataFrame, as_of=None, fresh: float = config.FRESH_MINUTES,
-                    stale: float = config.STALE_MINUTES, ordered: bool = True) -> DataFrame:
+                    stale: float = config.STALE_MINUTES, ordered: bool = True,
+                    hourly: DataFrame | None = None) -> DataFrame:
     """Completeness per (hour, symbol) with freshness and daily context.
 
-    The candles are aggregated once, to (hour, symbol); freshness (per
-    symbol) and daily context (per day) are windows over that small hourly
-    table, so the candle input is read and shuffled once -- a join of
-    three separately aggregated branches would recompute it three times.
-    Window groups are bounded by time (hours per symbol, symbols x 24 per
-    day), not by trade volume.  NULL symbols get no freshness and are not
-    counted as active symbols, as with the equi-join and COUNT(DISTINCT).
+    Freshness (per symbol) and daily context (per day) are aggregates of the
+    small hourly table, combined before their shuffle, and joined back to it;
+    AQE broadcasts each once it has measured it.  ``hourly`` is that table as
+    written by the caller (``hourly_ingestion``); without it the plan shares
+    one aggregate of the candles.  NULL symbols get no freshness and are not
+    counted as active symbols, as with an equi-join and COUNT(DISTINCT).
     """
-    hourly = hourly_ingestion(candles).withColumn(
-        "_day", F.date_trunc("day", "ingestion_hour"))
+    if hourly is None:
+        hourly = hourly_ingestion(candles)
     sym = F.col("symbol")
-    day = F.col("_day")   # one attribute, so both day windows share one shuffle
-    by_day = Window.partitionBy(day)
-    # distinct non-NULL symbols of the day = highest dense rank among them
-    rank_in_day = F.dense_rank().over(Window.partitionBy(day).orderBy(sym.asc_nulls_last()))
-    with_day = hourly.withColumns({
-        "day_total_candles": F.sum("candles_count").over(by_day),
-        "_sym_rank": F.when(sym.isNotNull(), rank_in_day),
-    }).withColumn("day_active_symbols",
-                  F.coalesce(F.max("_sym_rank").over(by_day), F.lit(0)).cast("long"))
-    latest = F.when(sym.isNotNull(), F.max("latest_candle").over(Window.partitionBy(sym)))
-    out = with_day.withColumn("latest_candle_time", latest)
+    keyed = hourly.withColumn("_day", F.date_trunc("day", "ingestion_hour"))
+    latest = hourly.filter(sym.isNotNull()).groupBy("symbol").agg(
+        F.max("latest_candle").alias("latest_candle_time"))
+    daily = keyed.filter("_day IS NOT NULL").groupBy("_day").agg(
+        F.sum("candles_count").alias("day_total_candles"),
+        F.countDistinct("symbol").alias("day_active_symbols"))
+    out = keyed.join(latest, "symbol", "left").join(daily, "_day", "left")
     mins = minutes_between(as_ts(as_of), F.col("latest_candle_time"))
     out = out.withColumns({
         "minutes_since_last_candle": mins,
@@ -158,6 +159,7 @@ def price_vs_sentiment(candles: DataFrame, sentiment: DataFrame,
                        ordered: bool = True) -> DataFrame:
     """Daily price figures of the admitted symbols next to the index.
 
+    Several readings of a date count as the newest one, so a day has one row.
     The label is ``upper(replace(symbol, strip, ''))``; the replace is
     case-sensitive, so 'BTCUSDT' and 'btcusdt' form two groups.
     """
@@ -169,8 +171,8 @@ def price_vs_sentiment(candles: DataFrame, sentiment: DataFrame,
                   F.max("high_price").alias("max_price"),
                   F.min("low_price").alias("min_price"),
                   F.sum("total_volume").alias("total_volume")))
-    sent = sentiment.select(F.to_date(F.col("date")).alias("date"), "fng_value",
-                            "fng_classification")
+    sent = one_per_date(sentiment.withColumn("date", F.to_date("date"))).select(
+        "date", "fng_value", "fng_classification")
     out = daily.join(sent, "date", "left").select(
         "date", "symbol", "avg_price", "max_price", "min_price", "total_volume",
         "fng_value", "fng_classification")

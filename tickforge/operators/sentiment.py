@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge import schemas
 from tickforge.functions import col_, date_from_epoch_seconds
+from tickforge.sources import versions
 
 
 def parse_documents(docs: DataFrame, text_col: str = "value", updated_at=None) -> DataFrame:
@@ -52,3 +53,21 @@ def upsert_latest(current: DataFrame, incoming: DataFrame, key: str = "date",
               .select(key, *[F.col(f"_row.{c}").alias(c) for c in rest]))
     kept = current.join(latest.select(key), key, "left_anti")
     return kept.select(*cols).unionByName(latest.select(*cols))
+
+
+def store_latest(spark: SparkSession, incoming: DataFrame, path: str) -> DataFrame:
+    """Upsert ``incoming`` into the stored dimension at ``path`` and return
+    it: one row per date.  The new table is written beside the old one and
+    swapped in by a rename, so readers see either, and a failed load leaves
+    the stored one."""
+    stored = versions.read(spark, path, schemas.SENTIMENT)
+    versions.write(upsert_latest(stored, incoming), path)
+    return versions.read(spark, path, schemas.SENTIMENT)
+
+
+def one_per_date(rows: DataFrame) -> DataFrame:
+    """The newest row of each date (by updated_at)."""
+    rest = [c for c in rows.columns if c not in ("date", "updated_at")]
+    lead = ["updated_at"] if "updated_at" in rows.columns else []
+    last = F.max(F.struct(*lead, *rest)).alias("_r")
+    return rows.groupBy("date").agg(last).select(*[F.col(c if c == "date" else f"_r.{c}").alias(c) for c in rows.columns])

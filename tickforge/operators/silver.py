@@ -13,14 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge import config
-from tickforge.functions import (col_, is_large_trade, order_key, price_magnitude,
-                                 trade_side, trade_value, ts_from_millis,
+from tickforge.functions import (col_, in_millis_range, is_large_trade, order_fields,
+                                 price_magnitude, trade_side, trade_value, ts_from_millis,
                                  ts_from_text)
-from tickforge.functions.exprs import LAST_MICROS
 
 
 def quality_predicate(strict: bool = False) -> Column:
-    """price in (0, cap), quantity > 0, symbol and trade_time present.
+    """price in (0, cap), quantity > 0, symbol and trade_time present, and
+    trade_time a time of the years 1 to 9999.
 
     As upstream, a NaN price fails ``< cap`` while a NaN or infinite
     quantity passes ``> 0``; ``strict=True`` also rejects those.
@@ -28,7 +28,7 @@ def quality_predicate(strict: bool = False) -> Column:
     p, q = F.col("price"), F.col("quantity")
     pred = (p.isNotNull() & (p > 0) & q.isNotNull() & (q > 0)
             & F.col("symbol").isNotNull() & F.col("trade_time").isNotNull()
-            & (p < F.lit(config.PRICE_CAP)))
+            & in_millis_range("trade_time") & (p < F.lit(config.PRICE_CAP)))
     if strict:
         pred = pred & ~F.isnan(q) & (q < F.lit(float("inf")))
     return pred
@@ -91,31 +91,26 @@ def transform(trades: DataFrame, processed_at=None, strict: bool = False) -> Dat
     return enrich(normalize(clean(trades, strict)), processed_at).select(*SILVER_ORDER)
 
 
-def dedupe(trades: DataFrame, key: list[str] | None = None,
-           also_by: tuple[str, ...] = ("source",)) -> DataFrame:
+def dedupe(trades: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Batch de-duplication: one row per key, the first arrival.
 
     "First" is the earliest ingest time (rows without one come last), then
-    the trade id (its low bits, see ``order_key``).  It is an ordinary hash
-    aggregate -- ``min_by`` of each remaining column over one long ordering
-    key -- so copies are removed
-    on the map side before the shuffle and a key delivered millions of
-    times costs one row per map task.  Columns in ``also_by`` (the feed's
-    ``source`` tag, constant per feed) join the grouping so that no
-    variable-width value has to be carried through the aggregation buffer.
-    Apply it before ``enrich``: enrichment is per row, so the result is
-    the same and the aggregate only carries three fixed-width columns.
+    the smallest trade id (none comes last), then the remaining columns in
+    name order, so the kept row is the same whatever the input order.  It is
+    the ``min`` of one struct: the whole values are compared, and copies are
+    combined on the map side before the shuffle, so a key delivered millions
+    of times costs one row per map task.  Apply it before ``enrich``:
+    enrichment is per row, so the result is the same and the aggregate
+    carries fewer columns.
     """
     key = list(key or config.DEDUPE_KEY)
-    group = key + [c for c in also_by if c in trades.columns and c not in key]
-    rest = [c for c in trades.columns if c not in group]
-    ingest = (F.unix_micros("ingest_timestamp") if "ingest_timestamp" in trades.columns
-              else F.lit(None).cast("long"))
-    tid = F.col("trade_id") if "trade_id" in trades.columns else F.lit(None).cast("long")
-    first = order_key(F.coalesce(ingest, F.lit(LAST_MICROS)), F.coalesce(tid, F.lit(0)))
-    return (trades.groupBy(*group)
-            .agg(*[F.min_by(c, first).alias(c) for c in rest])
-            .select(*trades.columns))
+    rest = [c for c in trades.columns if c not in key]
+    lead = [c for c in ("ingest_timestamp", "trade_id") if c in rest]
+    tail = sorted(c for c in rest if c not in lead)
+    first = F.min(F.struct(*order_fields(*lead, *tail)))
+    place = {c: f"_first._o{i}" for i, c in enumerate([*lead, *tail])}
+    return (trades.groupBy(*key).agg(first.alias("_first"))
+            .select(*[F.col(place.get(c, c)).alias(c) for c in trades.columns]))
 
 
 def dedupe_stream(trades: DataFrame, key: list[str] | None = None,

@@ -10,25 +10,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickforge import schemas
 from tickforge.operators import bronze, candles, envelope, history, marts, sentiment, silver
 from tickforge.plans import medallion
 from tickforge.plans.oracle import FRESH_CLOCK, RUN_CLOCK
-from tickforge.session import apply_runtime_conf, run_dir
+from tickforge.session import library_session, run_dir
 from tickforge.sources import fixtures
-from tickforge.sources.streams import lake_table
+from tickforge.sources.streams import lake_table, landed_documents, message_files
 from tickforge.streaming import stages
-from tickforge.streaming.sinks import BatchFileSink, read_latest
+from tickforge.streaming.sinks import BatchFileSink
 
 NEXT_LOAD_CLOCK = "2024-01-31 01:00:00"
-# A run-once stream that has not drained its input by then is stopped and
-# reported as a failure instead of blocking the caller.
-STREAM_TIMEOUT_S = 3600
+# The restarted streams: their first run has the trades before this day, less
+# those whose millisecond is a multiple of LATE_EVERY, which come later.
+RESTART_DAY = "2024-01-20"
+LATE_EVERY = 50
+
+
+def _in_own_session(query):
+    """Run a registered query in a session with the library's settings."""
+    return lambda spark, sf_dir: query(library_session(spark), sf_dir)
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apply_runtime_conf(spark)
     return fixtures.load_table(spark, sf_dir, "events")
 
 
@@ -85,18 +91,25 @@ def q_ohlc_summary(spark, sf_dir):
 
 
 def q_pipeline_health(spark, sf_dir):
-    return marts.pipeline_health(_candles(spark, sf_dir), FRESH_CLOCK)
+    return _health(spark, sf_dir, FRESH_CLOCK)
 
 
 def q_pipeline_health_run(spark, sf_dir):
-    return marts.pipeline_health(_candles(spark, sf_dir), RUN_CLOCK)
+    return _health(spark, sf_dir, RUN_CLOCK)
+
+
+def _health(spark, sf_dir, clock):
+    """The hourly table is written, then aggregated by symbol and by day."""
+    path = f"{run_dir(spark, 'hourly')}/hourly"
+    candles_df = _candles(spark, sf_dir)
+    marts.hourly_ingestion(candles_df).write.parquet(path)
+    return marts.pipeline_health(candles_df, clock, hourly=lake_table(spark, path))
 
 
 def q_sentiment_parsed(spark, sf_dir):
     """API documents landed as JSON lines, read back and parsed."""
     path = f"{run_dir(spark, 'sentiment-docs')}/docs"
     fixtures.sentiment_documents(_events(spark, sf_dir)).write.text(path)
-    from tickforge.sources.streams import landed_documents
     return sentiment.parse_documents(landed_documents(spark, path), updated_at=RUN_CLOCK)
 
 
@@ -116,7 +129,7 @@ def q_price_vs_sentiment(spark, sf_dir):
 
 
 def q_envelope_normalized(spark, sf_dir):
-    raw = envelope.envelopes_from_trades(_trades(spark, sf_dir))
+    raw = fixtures.damaged(envelope.envelopes_from_trades(_trades(spark, sf_dir)))
     return envelope.normalize_envelopes(raw, ingested_at=RUN_CLOCK.replace(" ", "T") + ".000000")
 
 
@@ -137,6 +150,15 @@ def q_history_load(spark, sf_dir):
     return lake_table(spark, f"{lake}/history")
 
 
+def q_history_reload(spark, sf_dir):
+    """The history table loaded whole, then one day of it again, twice: the
+    day is replaced, the others stay."""
+    lake = _written_silver(spark, sf_dir, "history-day")
+    for day in (None, "2024-01-15", "2024-01-15"):
+        medallion.load_history(spark, lake, day)
+    return lake_table(spark, lake.history)
+
+
 def _written_silver(spark, sf_dir, label):
     root = run_dir(spark, label)
     medallion.write_silver(_trades(spark, sf_dir), f"{root}/silver", processed_at=RUN_CLOCK)
@@ -148,41 +170,80 @@ def _state_partitions(spark):
     return spark.sparkContext.defaultParallelism
 
 
+def _run_gold(spark, lake, checkpoint="gold"):
+    stages.await_done(stages.start_gold_batches(spark, lake.silver, BatchFileSink(lake.gold),
+                                                lake.checkpoint(checkpoint), ingested_at=RUN_CLOCK,
+                                                state_partitions=_state_partitions(spark)))
+    return medallion.gold_table(spark, lake)
+
+
 def q_stream_candles(spark, sf_dir):
     lake = _written_silver(spark, sf_dir, "stream-candles")
     stages.await_done(stages.start_gold_files(spark, lake.silver, lake.gold,
                                               lake.checkpoint("gold"), ingested_at=RUN_CLOCK,
-                                              state_partitions=_state_partitions(spark)),
-                      STREAM_TIMEOUT_S)
+                                              state_partitions=_state_partitions(spark)))
     return lake_table(spark, lake.gold)
 
 
 def q_stream_gold_sink(spark, sf_dir):
-    lake = _written_silver(spark, sf_dir, "stream-gold")
-    stages.await_done(stages.start_gold_batches(spark, lake.silver, BatchFileSink(lake.gold),
-                                                lake.checkpoint("gold"), ingested_at=RUN_CLOCK,
-                                                state_partitions=_state_partitions(spark)),
-                      STREAM_TIMEOUT_S)
-    return read_latest(spark, lake.gold, ["symbol", "candle_start_time"]).select(
-        *schemas.CANDLE_COLUMNS)
+    return _run_gold(spark, _written_silver(spark, sf_dir, "stream-gold"))
+
+
+def _two_loads(spark, sf_dir, label):
+    """A silver lake that grows: (lake, add the first part, add the rest)."""
+    whole = lake_table(spark, _written_silver(spark, sf_dir, f"{label}-all").silver)
+    early = (F.col("trade_timestamp") < F.lit(RESTART_DAY).cast("timestamp")) & (
+        F.unix_millis("trade_timestamp") % LATE_EVERY != 0)
+    lake = medallion.LakePaths(run_dir(spark, label))
+
+    def add(rows):
+        return lambda: rows.write.mode("append").partitionBy(*schemas.SILVER_PARTITIONS).parquet(lake.silver)
+
+    return lake, add(whole.filter(early)), add(whole.filter(~early))
+
+
+def q_stream_gold_restart(spark, sf_dir):
+    """The gold stream run, then run again on the same checkpoint after new
+    trades came: state goes on, and trades behind the watermark are late."""
+    lake, first, rest = _two_loads(spark, sf_dir, "stream-restart")
+    first()
+    _run_gold(spark, lake)
+    rest()
+    return _run_gold(spark, lake)
+
+
+def q_stream_gold_new_checkpoint(spark, sf_dir):
+    """The same with a new checkpoint for the second run: it sees all trades
+    anew, and nothing that the first run stored gets lost."""
+    lake, first, rest = _two_loads(spark, sf_dir, "stream-two-checkpoints")
+    first()
+    _run_gold(spark, lake, "gold-1")
+    rest()
+    return _run_gold(spark, lake, "gold-2")
+
+
+def _land_messages(spark, sf_dir, lake):
+    fixtures.with_garbage(envelope.keyed_json(_trades(spark, sf_dir))).write.json(lake.landing)
 
 
 def _stream_silver(spark, sf_dir, label, first_seen):
     """Landed messages -> bronze stream -> silver stream; the committed silver."""
     lake = medallion.LakePaths(run_dir(spark, label))
-    envelope.keyed_json(_trades(spark, sf_dir)).write.mode("overwrite").json(lake.landing)
-    from tickforge.sources.streams import message_files
+    _land_messages(spark, sf_dir, lake)
     stages.await_done(stages.start_bronze(message_files(spark, lake.landing), lake.bronze,
-                                          lake.checkpoint("bronze")), STREAM_TIMEOUT_S)
+                                          lake.checkpoint("bronze"), files_per_partition=1))
     stages.await_done(stages.start_silver(spark, lake.bronze, lake.silver,
                                           lake.checkpoint("silver"), processed_at=RUN_CLOCK,
                                           state_partitions=_state_partitions(spark),
-                                          first_seen=first_seen), STREAM_TIMEOUT_S)
+                                          first_seen=first_seen, files_per_partition=1))
     return lake_table(spark, lake.silver)
 
 
 def q_stream_bronze_silver(spark, sf_dir):
-    return _stream_silver(spark, sf_dir, "stream-silver", first_seen=True)
+    """Which copy of a trade a stream sees first depends on the files' order;
+    the columns here are the same for all copies."""
+    return _stream_silver(spark, sf_dir, "stream-silver", first_seen=True).drop(
+        "source", "is_buyer_maker", "trade_id", "ingest_timestamp", "trade_side")
 
 
 def q_stream_silver_first_arrival(spark, sf_dir):
@@ -191,24 +252,43 @@ def q_stream_silver_first_arrival(spark, sf_dir):
     return _stream_silver(spark, sf_dir, "stream-silver-first-arrival", first_seen=False)
 
 
-def q_lake_market_overview(spark, sf_dir):
-    """The whole batch medallion: silver, gold and the four marts written as
-    tables in a fresh lake; returns the overview mart read back."""
-    lake = medallion.LakePaths(run_dir(spark, "lake"))
-    paths = medallion.run_batch(spark, _trades(spark, sf_dir), _sentiment(spark, sf_dir), lake,
-                                as_of=RUN_CLOCK, processed_at=RUN_CLOCK)
-    return lake_table(spark, paths["mart_market_overview"])
+def _lake_mart(name):
+    def query(spark, sf_dir):
+        """The whole batch medallion: silver, candles, sentiment and the four
+        marts written as tables in a fresh lake; one mart read back."""
+        lake = medallion.LakePaths(run_dir(spark, "lake"))
+        medallion.run_batch(spark, _trades(spark, sf_dir), _sentiment(spark, sf_dir), lake,
+                            as_of=RUN_CLOCK, processed_at=RUN_CLOCK)
+        return lake.warehouse(spark).source(name)
+    return query
+
+
+def q_lake_sentiment_twice(spark, sf_dir):
+    """Two sentiment loads for the same dates, the second with revisions, then
+    the marts: one row per day, with the newest reading."""
+    ev = _events(spark, sf_dir)
+    lake = medallion.LakePaths(run_dir(spark, "lake-sentiment"))
+    medallion.run_batch(spark, _trades(spark, sf_dir), fixtures.sentiment_rows(ev, RUN_CLOCK), lake,
+                        as_of=RUN_CLOCK, processed_at=RUN_CLOCK)
+    sentiment.store_latest(spark, fixtures.sentiment_revisions(ev, NEXT_LOAD_CLOCK), lake.sentiment)
+    medallion.build_marts(spark, lake, RUN_CLOCK)
+    return lake.warehouse(spark).source("mart_price_vs_sentiment")
+
+
+def _streamed_lake(spark, sf_dir):
+    lake = medallion.LakePaths(run_dir(spark, "stream-lake"))
+    _land_messages(spark, sf_dir, lake)
+    medallion.run_streaming(spark, lake, processed_at=RUN_CLOCK, first_seen=False,
+                            state_partitions=_state_partitions(spark))
+    return lake
 
 
 def q_stream_lake_market_overview(spark, sf_dir):
     """The streaming medallion in stage order (bronze, silver, gold streams),
     then the marts rebuilt from the gold lake; returns the overview mart."""
-    lake = medallion.LakePaths(run_dir(spark, "stream-lake"))
-    envelope.keyed_json(_trades(spark, sf_dir)).write.mode("overwrite").json(lake.landing)
-    medallion.run_streaming(spark, lake, processed_at=RUN_CLOCK, timeout_s=STREAM_TIMEOUT_S,
-                            state_partitions=_state_partitions(spark))
-    paths = medallion.build_marts_from_lake(spark, lake, RUN_CLOCK, _sentiment(spark, sf_dir))
-    return lake_table(spark, paths["mart_market_overview"])
+    lake = _streamed_lake(spark, sf_dir)
+    medallion.build_marts_from_lake(spark, lake, RUN_CLOCK, _sentiment(spark, sf_dir))
+    return lake.warehouse(spark).source("mart_market_overview")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -230,10 +310,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyed_json": q_keyed_json,
     "bronze_trades": q_bronze_trades,
     "history_load": q_history_load,
+    "history_reload": q_history_reload,
     "stream_candles": q_stream_candles,
     "stream_gold_sink": q_stream_gold_sink,
     "stream_bronze_silver": q_stream_bronze_silver,
     "stream_silver_first_arrival": q_stream_silver_first_arrival,
-    "lake_market_overview": q_lake_market_overview,
+    "stream_gold_restart": q_stream_gold_restart,
+    "stream_gold_new_checkpoint": q_stream_gold_new_checkpoint,
+    "lake_market_overview": _lake_mart("mart_market_overview"),
+    "lake_ohlc_summary": _lake_mart("mart_ohlc_summary"),
+    "lake_pipeline_health": _lake_mart("mart_pipeline_health"),
+    "lake_price_vs_sentiment": _lake_mart("mart_price_vs_sentiment"),
+    "lake_sentiment_twice": q_lake_sentiment_twice,
     "stream_lake_market_overview": q_stream_lake_market_overview,
 }
+QUERIES = {name: _in_own_session(query) for name, query in QUERIES.items()}

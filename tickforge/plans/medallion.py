@@ -14,11 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickforge import config, schemas
 from tickforge.operators import candles as candle_ops
-from tickforge.operators import marts, silver
-from tickforge.session import apply_runtime_conf
+from tickforge.operators import history, marts, sentiment, silver
+from tickforge.session import library_session
+from tickforge.sources import versions
 from tickforge.sources.streams import lake_table, message_files
+from tickforge.sources.warehouse import Warehouse
 from tickforge.streaming import stages
-from tickforge.streaming.sinks import BatchFileSink, read_latest
+from tickforge.streaming.sinks import DATE, BatchFileSink, read_latest, with_date
+
+CANDLES, HOURLY, SENTIMENT = "fact_market_candles", "hourly_ingestion", "fact_market_sentiment"
+MARTS = ("mart_market_overview", "mart_ohlc_summary", "mart_pipeline_health", "mart_price_vs_sentiment")
 
 
 @dataclass
@@ -44,10 +49,28 @@ class LakePaths:
     def gold(self):
         return f"{self.root}/gold"
 
+    @property
+    def candles(self):
+        """The candle table: one row per key, by day."""
+        return f"{self.root}/{CANDLES}"
+
+    @property
+    def history(self):
+        return f"{self.root}/history"
+
+    @property
+    def sentiment(self):
+        return f"{self.root}/{SENTIMENT}"
+
     @property
     def marts(self):
         return f"{self.root}/marts"
 
+    def warehouse(self, spark: SparkSession) -> Warehouse:
+        """The lake's tables by name."""
+        places = {name: f"{self.marts}/{name}" for name in MARTS}
+        return Warehouse(spark, {**places, CANDLES: self.candles, HOURLY: f"{self.root}/{HOURLY}"})
+
     def checkpoint(self, stage: str) -> str:
         return f"{self.root}/_checkpoints/{stage}"
 
@@ -71,66 +94,80 @@ def write_silver(trades: DataFrame, path: str, processed_at=None,
     out.write.mode("overwrite").partitionBy(*schemas.SILVER_PARTITIONS).parquet(path)
 
 
-def write_candles(silver_df: DataFrame, path: str, ingested_at=None,
-                  width: str = config.CANDLE_WIDTH) -> None:
-    candle_ops.candles(silver_df, width, ingested_at).write.mode("overwrite").parquet(path)
+def write_candles(spark: SparkSession, candles_df: DataFrame, lake: LakePaths) -> None:
+    """Store the candle table, partitioned by day: a window's test prunes
+    files.  ``rebalance`` groups rows by day and splits a large day."""
+    lake.warehouse(spark).materialize(CANDLES, with_date(candles_df).hint("rebalance", DATE), [DATE])
 
 
-def build_marts(spark: SparkSession, candles_df: DataFrame, sentiment_df: DataFrame,
-                out_dir: str, as_of) -> dict[str, str]:
-    """Rebuild the four marts from the candle table (overwrite)."""
+def build_marts(spark: SparkSession, lake: LakePaths, as_of) -> dict[str, str]:
+    """Rebuild the four marts (overwrite) from the stored candle table and
+    the stored sentiment dimension; the hourly table is written once, for the
+    health mart's aggregates."""
+    tables = lake.warehouse(spark)
+    candles_df = tables.source(CANDLES)
+    tables.materialize(HOURLY, marts.hourly_ingestion(candles_df))
+    sentiment_df = versions.read(spark, lake.sentiment, schemas.SENTIMENT)
     built = {
         "mart_market_overview": marts.market_overview(candles_df, as_of),
         "mart_ohlc_summary": marts.ohlc_summary(candles_df),
-        "mart_pipeline_health": marts.pipeline_health(candles_df, as_of, ordered=False),
+        "mart_pipeline_health": marts.pipeline_health(candles_df, as_of, ordered=False, hourly=tables.source(HOURLY)),
         "mart_price_vs_sentiment": marts.price_vs_sentiment(candles_df, sentiment_df, ordered=False),
     }
-    paths = {}
-    for name, df in built.items():
-        paths[name] = f"{out_dir.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(paths[name])
-    return paths
+    return {name: tables.materialize(name, df) for name, df in built.items()}
 
 
 def run_batch(spark: SparkSession, trades: DataFrame, sentiment_df: DataFrame,
               lake: LakePaths, as_of, processed_at=None) -> dict[str, str]:
-    """Trades -> silver table -> candle table -> marts, each stage written."""
-    apply_runtime_conf(spark)
+    """Trades -> silver table -> candle table -> marts, each stage written;
+    ``sentiment_df`` is upserted into the stored dimension."""
+    spark = library_session(spark)
     write_silver(trades, lake.silver, processed_at)
-    silver_df = lake_table(spark, lake.silver)
-    write_candles(silver_df, lake.gold, ingested_at=processed_at)
-    candles_df = lake_table(spark, lake.gold)
-    return build_marts(spark, candles_df, sentiment_df, lake.marts, as_of)
+    write_candles(spark, candle_ops.candles(lake_table(spark, lake.silver), ingested_at=processed_at), lake)
+    sentiment.store_latest(spark, sentiment_df, lake.sentiment)
+    return build_marts(spark, lake, as_of)
+
+
+def load_history(spark: SparkSession, lake: LakePaths, day=None) -> None:
+    """Silver lake -> history table, all days or one: only the days loaded
+    are replaced, so a load can be repeated."""
+    history.write_history(history.history_rows(lake_table(spark, lake.silver), day), lake.history)
+
+
+def gold_table(spark: SparkSession, lake: LakePaths) -> DataFrame:
+    """The gold stream's candles, the copy written last of each key."""
+    return read_latest(spark, lake.gold, ["symbol", "candle_start_time"]).select(*schemas.CANDLE_COLUMNS)
 
 
 def run_streaming(spark: SparkSession, lake: LakePaths, processed_at=None,
                   timeout_s: float | None = None,
-                  state_partitions: int | None = None, first_seen: bool = True) -> DataFrame:
+                  state_partitions: int | None = None, first_seen: bool = True,
+                  files_per_partition: int | None = None) -> DataFrame:
     """Landed messages -> bronze -> silver -> gold, one run-once query per
     stage, in order; returns the gold candles (latest copy per key).
     ``first_seen``: the silver de-duplication mode (``silver.silver_stream``)."""
-    stages.await_done(stages.start_bronze(message_files(spark, lake.landing), lake.bronze,
-                                          lake.checkpoint("bronze")), timeout_s)
+    spark = library_session(spark)
+    stages.await_done(stages.start_bronze(message_files(spark, lake.landing), lake.bronze, lake.checkpoint("bronze"),
+                                          files_per_partition=files_per_partition), timeout_s)
     stages.await_done(stages.start_silver(spark, lake.bronze, lake.silver,
                                           lake.checkpoint("silver"), processed_at=processed_at,
-                                          state_partitions=state_partitions,
-                                          first_seen=first_seen), timeout_s)
+                                          state_partitions=state_partitions, first_seen=first_seen,
+                                          files_per_partition=files_per_partition), timeout_s)
     stages.await_done(stages.start_gold_batches(spark, lake.silver, BatchFileSink(lake.gold),
                                                 lake.checkpoint("gold"), ingested_at=processed_at,
                                                 state_partitions=state_partitions), timeout_s)
-    return read_latest(spark, lake.gold, ["symbol", "candle_start_time"]).select(
-        *schemas.CANDLE_COLUMNS)
+    return gold_table(spark, lake)
 
 
 def build_marts_from_lake(spark: SparkSession, lake: LakePaths, as_of,
                           sentiment_df: DataFrame | None = None) -> dict[str, str]:
-    """Marts from the gold folder written by ``run_streaming`` (latest copy
-    of each candle) and a sentiment table (empty when absent)."""
-    candles_df = read_latest(spark, lake.gold, ["symbol", "candle_start_time"]).select(
-        *schemas.CANDLE_COLUMNS)
-    if sentiment_df is None:
-        sentiment_df = spark.createDataFrame([], schemas.SENTIMENT)
-    return build_marts(spark, candles_df, sentiment_df, lake.marts, as_of)
+    """Marts after ``run_streaming``: the gold folder's latest candles are
+    stored once as the candle table, new sentiment rows are upserted."""
+    spark = library_session(spark)
+    write_candles(spark, gold_table(spark, lake), lake)
+    if sentiment_df is not None:
+        sentiment.store_latest(spark, sentiment_df, lake.sentiment)
+    return build_marts(spark, lake, as_of)
 
 
 def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
@@ -141,56 +178,70 @@ def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
     """
     import argparse
 
-    from tickforge.operators import sentiment as sentiment_ops
     from tickforge.session import build_session
     from tickforge.sources.streams import kafka_messages, landed_documents
+    from tickforge.streaming.sinks import JdbcSink
 
     ap = argparse.ArgumentParser(prog="tickforge")
     ap.add_argument("--lake", required=True)
     ap.add_argument("--kafka", help="bootstrap servers; default reads <lake>/landing files")
     ap.add_argument("--topic")
-    ap.add_argument("--stages", default="bronze,silver,gold,marts")
+    ap.add_argument("--stages", default="bronze,silver,gold,marts",
+                    help="any of bronze,silver,gold,sentiment,history,marts; run in that order")
     ap.add_argument("--as-of", help="mart clock, 'YYYY-MM-DD HH:MM:SS' (default: now)")
+    ap.add_argument("--day", help="history: load this day only, 'YYYY-MM-DD'")
     ap.add_argument("--sentiment-docs", help="folder of landed sentiment API documents")
+    ap.add_argument("--jdbc-url", help="gold: also append candles to this database")
+    ap.add_argument("--jdbc-table", default=CANDLES)
+    ap.add_argument("--jdbc-connections", type=int, default=None)
     ap.add_argument("--timeout", type=float, default=None)
     ap.add_argument("--state-partitions", type=int, default=None,
                     help="state partitions of the silver and gold streams; fixed at their first start")
+    ap.add_argument("--files-per-partition", type=int, default=None,
+                    help="most files that a bronze or silver micro-batch writes into a partition folder")
     ap.add_argument("--max-files-per-trigger", type=int, default=None,
-                    help="bound each micro-batch of the lake streams when draining a backlog")
+                    help="bound each micro-batch of the bronze stream, which has no state")
     ap.add_argument("--max-offsets-per-trigger", type=int, default=None,
-                    help="bound each micro-batch of the Kafka source when draining a backlog")
+                    help="the same for the Kafka source")
     ap.add_argument("--dedupe", choices=["first-seen", "first-arrival"], default="first-seen",
                     help="silver stream: keep the first copy seen (at once), or the first arrival "
                          "by ingest time (deterministic, combined before the shuffle, emitted "
                          "after the watermark)")
     args = ap.parse_args(argv)
-    spark = build_session(app="tickforge-medallion")
+    spark = library_session(build_session(app="tickforge-medallion"))
     lake = LakePaths(args.lake)
     wanted = [s.strip() for s in args.stages.split(",") if s.strip()]
+    if unknown := set(wanted) - {"bronze", "silver", "gold", "sentiment", "history", "marts"}:
+        ap.error(f"unknown stages: {', '.join(sorted(unknown))}")
     if "bronze" in wanted:
         src = (kafka_messages(spark, args.kafka, args.topic,
                               max_offsets_per_trigger=args.max_offsets_per_trigger)
                if args.kafka else message_files(spark, lake.landing, args.max_files_per_trigger))
-        stages.await_done(stages.start_bronze(src, lake.bronze, lake.checkpoint("bronze")),
-                          args.timeout)
+        stages.await_done(stages.start_bronze(src, lake.bronze, lake.checkpoint("bronze"),
+                                              files_per_partition=args.files_per_partition), args.timeout)
     if "silver" in wanted:
         stages.await_done(stages.start_silver(spark, lake.bronze, lake.silver,
                                               lake.checkpoint("silver"),
-                                              max_files_per_trigger=args.max_files_per_trigger,
                                               state_partitions=args.state_partitions,
+                                              files_per_partition=args.files_per_partition,
                                               first_seen=args.dedupe == "first-seen"),
                           args.timeout)
     if "gold" in wanted:
-        stages.await_done(stages.start_gold_batches(spark, lake.silver, BatchFileSink(lake.gold),
-                                                    lake.checkpoint("gold"),
-                                                    state_partitions=args.state_partitions,
-                                                    max_files_per_trigger=args.max_files_per_trigger),
-                          args.timeout)
+        sinks = {"gold": BatchFileSink(lake.gold)}
+        if args.jdbc_url:
+            sinks["gold-jdbc"] = JdbcSink(args.jdbc_url, args.jdbc_table, num_partitions=args.jdbc_connections)
+        for name, sink in sinks.items():
+            stages.await_done(stages.start_gold_batches(spark, lake.silver, sink, lake.checkpoint(name),
+                                                        state_partitions=args.state_partitions), args.timeout)
+    if "sentiment" in wanted:
+        if not args.sentiment_docs:
+            ap.error("the sentiment stage needs --sentiment-docs")
+        sentiment.store_latest(spark, sentiment.parse_documents(landed_documents(spark, args.sentiment_docs)),
+                               lake.sentiment)
+    if "history" in wanted:
+        load_history(spark, lake, args.day)
     if "marts" in wanted:
-        sent = None
-        if args.sentiment_docs:
-            sent = sentiment_ops.parse_documents(landed_documents(spark, args.sentiment_docs))
-        build_marts_from_lake(spark, lake, args.as_of, sent)
+        build_marts_from_lake(spark, lake, args.as_of)
     if stop_session:
         spark.stop()
 

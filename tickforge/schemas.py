@@ -8,7 +8,7 @@ millisecond and is NULL when the producer does not send it.
 """
 
 from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType,
-                               LongType, StringType, StructField, StructType,
+                               LongType, MapType, StringType, StructField, StructType,
                                TimestampType, ArrayType)
 
 # Normalised trade message, as published on the message bus (JSON text).
@@ -24,17 +24,11 @@ TRADE_MESSAGE = StructType([
 ])
 
 # Raw exchange envelope: {"stream": ..., "data": {s, p, q, T, m, a, ...}}.
-# p and q arrive as text; a number in their place is read as its text.
+# The payload is read as a map of JSON texts, which tells a key that is
+# missing from one that is null, and takes a number or a text alike.
 RAW_ENVELOPE = StructType([
     StructField("stream", StringType()),
-    StructField("data", StructType([
-        StructField("s", StringType()),
-        StructField("p", StringType()),
-        StructField("q", StringType()),
-        StructField("T", LongType()),
-        StructField("m", BooleanType()),
-        StructField("a", LongType()),
-    ])),
+    StructField("data", MapType(StringType(), StringType())),
 ])
 
 BRONZE_PARTITIONS = ["year", "month", "day", "hour"]

@@ -7,7 +7,9 @@ convenience for tests, the bench and command-line runs.
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -61,24 +63,36 @@ def build_session(master: str | None = None, app: str = "tickforge",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    apply_runtime_conf(spark)
     return spark
 
 
-def apply_runtime_conf(spark: SparkSession) -> None:
-    """Set ``RUNTIME_CONF`` on a session the caller owns (UTC event time,
-    broadcast joins only from measured sizes)."""
+def require_utc(spark: SparkSession) -> None:
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        raise ValueError("the session's time zone must be UTC; see library_session")
+
+
+def library_session(spark: SparkSession, new: bool = False) -> SparkSession:
+    """``spark`` itself if it has ``RUNTIME_CONF``, else (or with ``new``) a
+    session of its own on the same context with the caller's settings and
+    ``RUNTIME_CONF``.  The caller's session is never changed."""
+    if not new and all(spark.conf.get(k, None) == v for k, v in RUNTIME_CONF.items()):
+        return spark
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
+            own.conf.set(k, v)
     for k, v in RUNTIME_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
+        own.conf.set(k, v)
+    return own
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared scratch area.
 
-    Taken from ``spark.checkpoint.dir`` as configured for the cluster.
-    Only when it is unset (local tests) a private temporary folder is
-    created and registered as the checkpoint directory.
+    Taken from ``spark.checkpoint.dir`` as configured for the cluster.  Where
+    it is unset, a local master (tests) gets a private temporary folder,
+    removed when Python ends; on a cluster that is an error, as each executor
+    would write to its own disk.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -87,20 +101,36 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tickforge-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+_runs: list[str] = []
+
+
 def run_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused folder under the shared scratch area."""
-    root = shared_dir(spark)
-    path = f"{root}/tickforge/{label}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    """A fresh, never reused folder name under the shared scratch area.  It
+    holds what a returned DataFrame reads, so the library cannot remove it;
+    ``clear_runs`` does when the caller is done."""
+    path = f"{shared_dir(spark)}/tickforge/{label}-{uuid.uuid4().hex[:12]}"
+    _runs.append(path)
     return path
 
 
+def clear_runs(spark: SparkSession) -> int:
+    """Delete the run folders this process has made; returns their number."""
+    n = 0
+    while _runs:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_runs.pop())
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        n += bool(fs.exists(path) and fs.delete(path, True))
+    return n
+
+
 def object_store_conf(endpoint: str | None, access_key: str | None = None,
                       secret_key: str | None = None, path_style: bool = True,
                       ssl: bool = False) -> dict:

@@ -27,6 +27,13 @@ NEGATIVE_PRICE_EVERY = 107
 ZERO_QUANTITY_EVERY = 109
 NULL_SIDE_EVERY = 97
 REDELIVER_EVERY = 10
+BTC_PRICE_BASE = 1400.0
+NANOSECOND_TIME_EVERY = 211
+BIG_ID = 2**40
+REPLAY_SOURCE = "replay"
+LAST_INGEST = "9999-12-31T23:59:59.000000"
+DAMAGE_EVERY = 13
+GARBAGE_EVERY = 17
 INGEST_LAG_SECONDS = 2
 NO_SENTIMENT_DAY_EVERY = 7
 FNG_MULTIPLIER = 37
@@ -49,40 +56,61 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def trades_from_events(events: DataFrame) -> DataFrame:
     """Normalised trade messages (see ``schemas.TRADE_MESSAGE``).
 
-    One trade per event plus a redelivered copy of every tenth event;
-    ``trade_id`` is the event id and breaks ties within a millisecond.
-    The rules are SQL expressions, one call each: the mapping is the same
-    as FIXTURES.md states it, and building it costs the driver a few
-    calls instead of one per operator.
+    One trade per event, and a second message for every tenth event, of four
+    kinds in turn (FIXTURES.md §2): the same trade under an id 1024 higher;
+    the same trade from another source, earlier and with the other side; the
+    same trade ingested at the end of the year 9999 under a smaller id; and
+    another trade of the same millisecond.  The rules are SQL expressions,
+    one call each, and the copies are generated in the same pass, so the
+    table is scanned once.
     """
     symbol = " ".join(f"WHEN '{etype}' THEN '{sym}'" for etype, sym in EVENT_SYMBOLS.items())
     price = (f"CAST(CASE WHEN event_id % {NULL_PRICE_EVERY} = 0 THEN NULL "
              f"WHEN event_id % {CAPPED_PRICE_EVERY} = 0 THEN {CAPPED_PRICE}D "
              f"WHEN event_id % {NEGATIVE_PRICE_EVERY} = 0 THEN -1.0D "
-             f"ELSE floor(value * 64.0D) / 64.0D END AS DOUBLE)")
+             f"ELSE floor(value * 64.0D) / 64.0D + CASE event_type WHEN 'purchase' THEN {BTC_PRICE_BASE}D "
+             f"ELSE 0.0D END END + CASE _copy WHEN 3 THEN 0.015625D ELSE 0.0D END AS DOUBLE)")
     quantity = (f"CASE WHEN event_id % {ZERO_QUANTITY_EVERY} = 0 THEN 0.0D "
                 f"ELSE (1 + user_id % 10) / 4.0D END")
-    side = f"CASE WHEN event_id % {NULL_SIDE_EVERY} = 0 THEN NULL ELSE event_id % 2 = 0 END"
-    ingested = (f"date_format(CAST(ts AS TIMESTAMP) + INTERVAL {INGEST_LAG_SECONDS} SECONDS, "
-                f"\"{ISO_FORMAT}\")")
-    # Redelivery: every tenth message is published twice (at-least-once
-    # feeder).  Generated in the same pass, so the table is scanned once.
-    copies = f"explode(array_repeat(0, CASE WHEN event_id % {REDELIVER_EVERY} = 0 THEN 2 ELSE 1 END))"
-    return events.select(
-        F.lit(config.SOURCE_TAG).alias("source"),
+    time = ("unix_millis(CAST(ts AS TIMESTAMP)) * "
+            f"CASE WHEN event_id % {NANOSECOND_TIME_EVERY} = 0 THEN 1000000 ELSE 1 END")
+    side = (f"CASE WHEN event_id % {NULL_SIDE_EVERY} = 0 THEN NULL "
+            f"ELSE (event_id % 2 = 0) = (_copy <> 1) END")
+    ingested = (f"CASE _copy WHEN 2 THEN '{LAST_INGEST}' ELSE date_format(CAST(ts AS TIMESTAMP) + "
+                f"make_dt_interval(0, 0, 0, CASE _copy WHEN 1 THEN 1 ELSE {INGEST_LAG_SECONDS} END), "
+                f"\"{ISO_FORMAT}\") END")
+    trade_id = (f"CASE event_id % 3 WHEN 0 THEN NULL WHEN 1 THEN event_id + {BIG_ID} ELSE event_id END "
+                "+ CASE _copy WHEN 0 THEN 1024 WHEN 2 THEN -1 WHEN 3 THEN 1 ELSE 0 END")
+    copies = (f"explode(CASE WHEN event_id % {REDELIVER_EVERY} = 0 "
+              f"THEN array(-1L, event_id div {REDELIVER_EVERY} % 4) ELSE array(-1L) END)")
+    return events.select("*", F.expr(copies).alias("_copy")).select(
+        F.expr(f"CASE _copy WHEN 1 THEN '{REPLAY_SOURCE}' ELSE '{config.SOURCE_TAG}' END").alias("source"),
         F.expr(f"CASE event_type {symbol} END").alias("symbol"),
         F.expr(price).alias("price"),
         F.expr(quantity).alias("quantity"),
-        F.expr("unix_millis(CAST(ts AS TIMESTAMP))").alias("trade_time"),
+        F.expr(time).alias("trade_time"),
         F.expr(side).alias("is_buyer_maker"),
         F.expr(ingested).alias("ingested_at"),
-        F.col("event_id").alias("trade_id"),
-        F.expr(copies).alias("_copy"),
-    ).drop("_copy")
+        F.expr(trade_id).alias("trade_id"),
+    )
+
+
+def damaged(envelopes: DataFrame) -> DataFrame:
+    """Envelopes (column ``value``) as a feed may send them: by trade time
+    modulo 13, some lack the side's key, some are cut off, and some have a
+    JSON null for the time."""
+    t = F.regexp_extract("value", '"T":([0-9]+)', 1).cast("long") % DAMAGE_EVERY
+    v = F.col("value")
+    return envelopes.select(
+        F.when(t == 0, F.regexp_replace(v, ',"m":[a-z]+', "")).when(t == 1, F.substring(v, 1, 40))
+        .when(t == 2, F.regexp_replace(v, '"T":[0-9]+', '"T":null')).otherwise(v).alias("value"))
 
 
-def fixture_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trades_from_events(load_table(spark, sf_dir, "events"))
+def with_garbage(messages: DataFrame) -> DataFrame:
+    """Keyed messages, some (by hash) followed by one that is no JSON."""
+    both = F.array(F.struct("key", "value"), F.struct("key", F.lit("{not json").alias("value")))
+    some = F.crc32(F.col("value")) % GARBAGE_EVERY == 0
+    return messages.select(F.inline(F.when(some, both).otherwise(F.slice(both, 1, 1))))
 
 
 def event_days(events: DataFrame) -> DataFrame:

@@ -1,0 +1,51 @@
+"""Small stored tables that are replaced as a whole: ``path/version=N``.
+
+A new version is written under a hidden name and renamed, so a reader finds
+complete versions only; it takes the highest.  The version before stays for
+readers that have opened it.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+KEEP = 2
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def known(spark: SparkSession, path: str) -> list[int]:
+    """Version numbers, ascending."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(p)]
+    return sorted(int(x[8:]) for x in names if x.startswith("version="))
+
+
+def read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The newest version; an empty table if there is none."""
+    found = known(spark, path)
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/version={found[-1]}")
+
+
+def write(df: DataFrame, path: str) -> int:
+    spark = df.sparkSession
+    staging = f"{path}/_staging-{uuid.uuid4().hex}"
+    df.write.parquet(staging)
+    found = known(spark, path)
+    new = (found[-1] if found else 0) + 1
+    source, fs = _fs(spark, staging)
+    if not fs.rename(source, _fs(spark, f"{path}/version={new}")[0]):
+        raise OSError(f"{path}/version={new} could not be put in place")
+    for old in found[:len(found) + 1 - KEEP]:
+        fs.delete(_fs(spark, f"{path}/version={old}")[0], True)
+    return new

@@ -10,35 +10,33 @@ close every window it has passed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tickforge import config, schemas
 from tickforge.operators import bronze, candles, silver
-from tickforge.session import apply_runtime_conf
+from tickforge.session import library_session, require_utc
 from tickforge.sources.streams import lake_stream
 from tickforge.streaming.sinks import BatchFileSink
 
+# Name of the bronze stream's counters in its progress reports.
+BRONZE_COUNTS = "bronze_quality"
 
-def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
-    """Start a query; ``state_partitions`` sets the number of state-store
-    partitions of its stateful operators.
+
+def stage_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """The session a stage's stream is built in: the library's settings, and
+    ``state_partitions`` state-store partitions for its stateful operators.
 
     Spark takes that number from ``spark.sql.shuffle.partitions`` when a
     query first starts and keeps it in the checkpoint afterwards.  The
-    stream runs on a clone of the session made at ``start()``, so the
-    setting is applied only around the call and the caller's session is
-    left as it was.
+    session is the stage's own, so neither the caller's nor that of a stage
+    started at the same time changes.
     """
-    if not state_partitions:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, old)
+    own = library_session(spark, new=bool(state_partitions))
+    if state_partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return own
 
 
 def _trigger(writer, trigger: str | None):
@@ -60,11 +58,29 @@ def await_done(query: StreamingQuery, timeout_s: float | None = None) -> Streami
     return query
 
 
+def clustered(rows: DataFrame, partition_by: list[str], files: int | None, spread_by: list[str]) -> DataFrame:
+    """Rows dealt so that a micro-batch writes at most ``files`` files into
+    each partition folder (None leaves them where they are: every task then
+    writes a file into every folder it has rows for).  A folder's rows are
+    split by a hash of ``spread_by``, so a hot hour has ``files`` writers."""
+    if not files:
+        return rows
+    salt: Column = F.pmod(F.xxhash64(*spread_by), F.lit(files))
+    return rows.repartition(*[F.col(c) for c in partition_by], salt)
+
+
 def start_bronze(messages: DataFrame, path: str, checkpoint: str,
-                 trigger: str | None = "available_now", name: str | None = None) -> StreamingQuery:
-    """Message stream -> bronze parquet partitioned by year/month/day/hour."""
-    apply_runtime_conf(messages.sparkSession)   # partition parts are UTC calendar fields
+                 trigger: str | None = "available_now", name: str | None = None,
+                 files_per_partition: int | None = None) -> StreamingQuery:
+    """Message stream -> bronze parquet partitioned by year/month/day/hour.
+
+    Messages that cannot be decoded or have an impossible time are kept as
+    NULLs and counted: ``ProgressTotals`` sums the counters.
+    """
+    require_utc(messages.sparkSession)   # partition parts are UTC calendar fields
     out = bronze.bronze_from_messages(messages).select(*[f.name for f in schemas.BRONZE.fields])
+    out = out.observe(BRONZE_COUNTS, *bronze.quality_counts())
+    out = clustered(out, schemas.BRONZE_PARTITIONS, files_per_partition, ["symbol", "trade_time", "price"])
     w = (out.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint)
          .partitionBy(*schemas.BRONZE_PARTITIONS))
@@ -76,56 +92,78 @@ def start_bronze(messages: DataFrame, path: str, checkpoint: str,
 def start_silver(spark: SparkSession, bronze_path: str, path: str, checkpoint: str,
                  trigger: str | None = "available_now", processed_at=None,
                  delay: str = config.WATERMARK_DELAY, strict: bool = False,
-                 max_files_per_trigger: int | None = None,
-                 state_partitions: int | None = None, first_seen: bool = True) -> StreamingQuery:
+                 state_partitions: int | None = None, first_seen: bool = True,
+                 files_per_partition: int | None = None) -> StreamingQuery:
     """Bronze lake stream -> cleaned, enriched, de-duplicated silver lake
-    (``first_seen``: see ``silver.silver_stream``)."""
-    apply_runtime_conf(spark)
-    src = lake_stream(spark, bronze_path, schemas.BRONZE, max_files_per_trigger)
-    out = silver.silver_stream(src, processed_at, strict, delay, first_seen)
-    w = (out.select(*[f.name for f in schemas.SILVER.fields])
-         .writeStream.format("parquet").outputMode("append")
+    (``first_seen``: see ``silver.silver_stream``).
+
+    A run takes its whole backlog as one micro-batch: bounding it would move
+    the watermark between files that are not in time order and so drop rows.
+    """
+    src = lake_stream(stage_session(spark, state_partitions), bronze_path, schemas.BRONZE)
+    out = silver.silver_stream(src, processed_at, strict, delay, first_seen).select(
+        *[f.name for f in schemas.SILVER.fields])
+    out = clustered(out, schemas.SILVER_PARTITIONS, files_per_partition, ["symbol", "trade_timestamp", "price"])
+    w = (out.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint)
          .partitionBy(*schemas.SILVER_PARTITIONS))
-    return _start(_trigger(w, trigger), spark, state_partitions)
+    return _trigger(w, trigger).start()
 
 
 def gold_candles(spark: SparkSession, silver_path: str, width: str = config.CANDLE_WIDTH,
                  delay: str = config.WATERMARK_DELAY, ingested_at=None,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    apply_runtime_conf(spark)
-    src = lake_stream(spark, silver_path, schemas.SILVER, max_files_per_trigger)
+                 state_partitions: int | None = None) -> DataFrame:
+    src = lake_stream(stage_session(spark, state_partitions), silver_path, schemas.SILVER)
     return candles.candles_stream(src, width, delay, ingested_at)
 
 
 def start_gold_files(spark: SparkSession, silver_path: str, path: str, checkpoint: str,
-                     trigger: str | None = "available_now", state_partitions: int | None = None,
-                     **kw) -> StreamingQuery:
+                     trigger: str | None = "available_now", **kw) -> StreamingQuery:
     """Candle stream -> parquet file sink (append; the sink's commit log
     makes it exactly-once)."""
     w = (gold_candles(spark, silver_path, **kw).writeStream.format("parquet")
          .outputMode("append").option("path", path).option("checkpointLocation", checkpoint))
-    return _start(_trigger(w, trigger), spark, state_partitions)
+    return _trigger(w, trigger).start()
 
 
 def start_gold_batches(spark: SparkSession, silver_path: str, sink, checkpoint: str,
-                       trigger: str | None = "available_now", state_partitions: int | None = None,
-                       **kw) -> StreamingQuery:
-    """Candle stream -> a ``foreachBatch`` sink (``BatchFileSink`` or ``JdbcSink``)."""
+                       trigger: str | None = "available_now", **kw) -> StreamingQuery:
+    """Candle stream -> a ``foreachBatch`` sink (``BatchFileSink``, given as
+    such or by its folder, or ``JdbcSink``)."""
     if isinstance(sink, str):
         sink = BatchFileSink(sink)
+    if isinstance(sink, BatchFileSink):
+        sink = sink.bound(checkpoint)
     w = (gold_candles(spark, silver_path, **kw).writeStream.outputMode("append")
          .foreachBatch(sink).option("checkpointLocation", checkpoint))
-    return _start(_trigger(w, trigger), spark, state_partitions)
-
-
-def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows the stateful operators dropped as late (behind the watermark)
-    over the query's recent progress reports."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) \
-                else getattr(op, "numRowsDroppedByWatermark", 0)
-            total += int(n or 0)
-    return total
+    return _trigger(w, trigger).start()
+
+
+class ProgressTotals(StreamingQueryListener):
+    """Totals over all progress reports of a session's streams, by query id:
+    rows dropped as late, and the bronze stream's counters.  (A query itself
+    keeps its most recent reports only.)  Register it with
+    ``stage_session(spark).streams.addListener`` before the start."""
+
+    def __init__(self):
+        self.late: dict[str, int] = {}
+        self.counts: dict[str, dict[str, int]] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        key = str(p.id)
+        self.late[key] = self.late.get(key, 0) + sum(int(x.numRowsDroppedByWatermark or 0) for x in p.stateOperators)
+        seen = (p.observedMetrics or {}).get(BRONZE_COUNTS)
+        if seen is not None:
+            own = self.counts.setdefault(key, {})
+            for k, v in seen.asDict().items():
+                own[k] = own.get(k, 0) + int(v or 0)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass

@@ -53,9 +53,15 @@ def _answer(key, rows):
     lows = [np.frombuffer(x, np.uint32) for x in rows.column("low").to_pylist()]
     marks = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(low)).astype(bool)
              for x, low in zip(rows.column("several").to_pylist(), lows)]
-    every = np.sort(np.concatenate(lows))
-    shared = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *[x[m] for x, m in zip(lows, marks)]]))
-    own = [x[np.isin(x, shared)] if len(shared) else x[:0] for x in lows]
+    n = np.concatenate([[0], np.cumsum([len(x) for x in lows])])
+    # one sort of all chunks' keys, each with its place below it
+    ordered = np.sort(np.concatenate(lows).astype(U64) << U64(32) | np.arange(n[-1], dtype=U64))
+    place, value = (ordered & U64(0xFFFFFFFF)).astype(np.int64), ordered >> U64(32)
+    same = value[1:] == value[:-1]
+    found = np.concatenate(marks)
+    found[place[1:][same]] = True
+    found[place[:-1][same]] = True
+    own = [low[found[a:b]] for low, a, b in zip(lows, n, n[1:])]
     some = [i for i, x in enumerate(own) if len(x)]
     return pa.table({"chunk": rows.column("chunk").take(pa.array(some, pa.int64())),
                      "bucket": pa.array([key[0].as_py()] * len(some), pa.int32()),

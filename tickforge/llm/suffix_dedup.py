@@ -70,8 +70,43 @@ SHIFT = _shifts()
 def words_at(data: np.ndarray, at: np.ndarray, count: int) -> list[np.ndarray]:
     """``count`` big-endian 64-bit words from each position; data must be
     padded with 8 * count bytes."""
-    every = np.lib.stride_tricks.as_strided(data.view(), (len(data) - 7, 8), (1, 1))
-    return [np.ascontiguousarray(every[at + 8 * k]).view(">u8")[:, 0].astype(U64) for k in range(count)]
+    every = np.ndarray((len(data) - 7,), ">u8", np.ascontiguousarray(data), 0, (1,))
+    return [every[at + 8 * k].astype(U64) for k in range(count)]
+
+
+def equal_groups(keys: list[np.ndarray]) -> np.ndarray:
+    """A group number for each row of the key columns; rows of one group are
+    equal.  (Sorted by a hash, then compared in full.)"""
+    h = np.zeros(len(keys[0]), U64)
+    for k in keys:
+        h = mix(h + k)
+    order = np.argsort(h, kind="stable")
+    new = np.zeros(len(order), bool)
+    for k in keys:
+        s = k[order]
+        new[1:] |= s[1:] != s[:-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def minimizers(data: np.ndarray, anchor: int, window: int, block: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of the ``anchor`` bytes at each position, and for each run of
+    ``window`` positions the one with the smallest hash (its first 32 bits;
+    the leftmost of equal ones).  Block by block, to stay in the cache."""
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(anchor + 8, np.uint8)])
+    hashes, least = np.empty(n, U64), np.empty(max(0, n - window + 1), np.int64)
+    for a in range(0, len(least), block):
+        b = min(a + block + window - 1, n)
+        h = np.zeros(b - a, U64)
+        for k in range(0, anchor, 8):
+            # the last word may overlap the one before
+            h = mix(h + np.ndarray((b - a,), "<u8", padded, a + min(k, anchor - 8), (1,)))
+        hashes[a:b] = h
+        low = sliding_min((h & ~U64(0xFFFFFFFF)) | np.arange(a, b, dtype=U64), window) & U64(0xFFFFFFFF)
+        least[a:a + len(low)] = low
+    return hashes, least
 
 
 def dense_rank(keys: list[np.ndarray]) -> np.ndarray:
@@ -175,26 +210,17 @@ class Chunk:
         self.ids = rows.column("id").to_numpy()
         self.data, self.offs = utf8(rows.column("text"))
         self.length, self.longest = length, 2 * length - anchor
-        n = len(self.data)
         lens = np.diff(self.offs)
         per = np.maximum(lens - length + 1, 0)
         if not per.sum():
             self.starts = self.counts = self.doc = np.zeros(0, np.int64)
             self.prints = np.zeros(0, U64)
             return
-        padded = np.concatenate([self.data, np.zeros(8 * (-(-anchor // 8)) + 8, np.uint8)])
-        h = np.zeros(n, U64)
-        for k in range(0, anchor, 8):
-            # the last word may overlap the one before
-            word = np.lib.stride_tricks.as_strided(padded[min(k, anchor - 8):], (n, 8), (1, 1))
-            h = mix(h + np.ascontiguousarray(word).view("<u8")[:, 0])
-        # order by 32 bits of the hash, then by place
-        ranked = (h & ~U64(0xFFFFFFFF)) | np.arange(n, dtype=U64)
-        low = sliding_min(ranked, length - anchor + 1) & U64(0xFFFFFFFF)
+        h, low = minimizers(self.data, anchor, length - anchor + 1)
         first = np.repeat(self.offs[:-1] - np.concatenate([[0], np.cumsum(per)[:-1]]), per)
         suffix = np.arange(per.sum()) + first  # all positions with LENGTH bytes in their text
         doc = np.repeat(np.arange(len(lens)), per)
-        least = low[suffix].astype(np.int64)
+        least = low[suffix]
         new = np.ones(len(suffix), bool)
         new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
         heads = np.flatnonzero(new)
@@ -205,13 +231,13 @@ class Chunk:
 
     def distinct_runs(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Runs of equal bytes as one: the first of each (in ascending id
-        order, so with its smallest id), each chosen run's number, their order
-        by minimizer."""
+        order, so with its smallest id), each chosen run's number, and the
+        chosen runs' minimizers."""
         count = -(-self.longest // 8)
         padded = np.concatenate([self.data, np.zeros(8 * count + 8, np.uint8)])
         sizes = self.counts[chosen] + self.length - 1
         keys = [self.prints[chosen], sizes.astype(U64), *masked_words(padded, self.starts[chosen], sizes, count)]
-        rank = dense_rank(keys)
+        rank = equal_groups(keys)
         n = int(rank.max()) + 1 if len(rank) else 0
         firsts = np.full(n, len(rank), np.int64)
         np.minimum.at(firsts, rank, np.arange(len(rank)))
@@ -311,7 +337,7 @@ def _sort_bucket(length):
         # equal runs of several chunks as one, owned by the smallest id
         count = -(-int(s.max()) // 8)
         padded = np.concatenate([data, np.zeros(8 * count + 8, np.uint8)])
-        rank = dense_rank([p, s.astype(U64), *masked_words(padded, starts, s, count)])
+        rank = equal_groups([p, s.astype(U64), *masked_words(padded, starts, s, count)])
         least = np.full(int(rank.max()) + 1, np.iinfo(np.int64).max)
         np.minimum.at(least, rank, o)
         first = np.full(len(least), len(rank), np.int64)

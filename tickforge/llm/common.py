@@ -2,23 +2,44 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tickforge
 from tickforge.session import run_dir
 
 #: Stands for a null id in joins and orders: it comes after every other id.
 LAST_ID = (1 << 63) - 1
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once for a context, so
+    that Python workers can import it wherever they run.  Nothing to do where
+    it already came as an archive (``--py-files``)."""
+    sc = spark.sparkContext
+    root = Path(tickforge.__file__).parent
+    if getattr(sc, "_tickforge_shipped", False) or not root.is_dir():
+        return
+    target = Path(tempfile.mkdtemp(prefix="tickforge-src-")) / "tickforge.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    sc._tickforge_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text): ids as long with null as LAST_ID, null text as empty."""
+    ship(docs.sparkSession)
     return docs.select(
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("id"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))

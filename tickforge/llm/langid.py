@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickforge.llm.arrowtext import pieces, utf8
+from tickforge.llm.common import ship
 
 UNKNOWN = "und"
 SIZES = (1, 2, 3)
@@ -99,6 +100,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sizes:
     gathered on the driver and broadcast, has ``max_languages * 2**bits``
     entries at most.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("text is not null and lang is not null and lang != ''")
     counts = rows.mapInArrow(_counter(sizes, bits), "lang string, bucket int, n long") \
@@ -140,6 +142,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The input's columns, and lang_pred, score (the posterior of the
     predicted language)."""
     spark = docs.sparkSession
+    ship(spark)
     sent = spark.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias("__text"))

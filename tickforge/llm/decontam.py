@@ -11,11 +11,11 @@ any of ``COORDINATES`` are verified: the item's distinct five-word shingles
 that the document has, anywhere, against ``threshold``.  At containment 0.8 a
 pair is missed with probability below 1e-5.
 
-Only shingles of items can make a coordinate agree.  A bitmap of the items'
-shingles, of fixed size whatever the benchmark's, is broadcast; documents
-without such a shingle are passed over, and the others keep just those
-shingles, which is all that the exact check needs.  The bitmap has false hits
-only.  Everything else is joined by shuffles, so neither the documents nor the
+Only shingles of items can make a coordinate agree.  Bitmaps of the items'
+shingles and triples, of fixed size whatever the benchmark's, are broadcast;
+documents without such a shingle are passed over, and the others keep just
+those shingles, which is all that the exact check needs, and the triples in
+the bitmap.  Bitmaps have false hits only.  Everything else is joined by shuffles, so neither the documents nor the
 benchmark need fit anywhere.
 
 A null or empty item or text has no shingles and matches nothing.  An item of
@@ -35,13 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.arrowtext import U64, mix, pieces, sliding_min, text_shingles
-from tickforge.llm.common import documents, public_id, written
+from tickforge.llm.arrowtext import U64, mix, pieces, text_shingles
+from tickforge.llm.common import documents, public_id, ship, written
 
 THRESHOLD = 0.8
 COORDINATES = 20
 GROWTH = 1.25
-#: Size of the broadcast bitmap: 2**BITMAP_BITS bits.
+#: Size of each broadcast bitmap: 2**BITMAP_BITS bits.
 BITMAP_BITS = 23
 
 
@@ -54,7 +54,8 @@ def size_classes(top: int, growth: float = GROWTH) -> list[int]:
 
 
 def coordinate(h: np.ndarray, k: int) -> np.ndarray:
-    return mix(h ^ U64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+    """The k-th hash of each shingle; never 0."""
+    return mix(h ^ U64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) | U64(1)
 
 
 def triple(values: np.ndarray, size: int, k: int) -> np.ndarray:
@@ -67,14 +68,16 @@ def _items(classes: list[int], coordinates: int):
             for piece in pieces(batch, "text"):
                 h, offs, _ = text_shingles(piece.column("text"))
                 own = [np.unique(h[a:b]) for a, b in zip(offs[:-1], offs[1:])]
-                keys = []
+                keys, sizes = [], []
                 for s in own:
                     size = classes[int(np.searchsorted(classes, len(s)))] if len(s) else 0
+                    sizes.append(size)
                     keys.append(np.concatenate([triple(coordinate(s, k).min(keepdims=True), size, k)
                                                 for k in range(coordinates)]) if len(s) else [])
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("id"), pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64())),
-                     pa.array(keys, pa.list_(pa.int64()))], names=["id", "shingles", "keys"])
+                     pa.array(keys, pa.list_(pa.int64())), pa.array(sizes, pa.int64())],
+                    names=["id", "shingles", "keys", "size"])
     return run
 
 
@@ -82,44 +85,92 @@ def _slots(h: np.ndarray, bits: int) -> np.ndarray:
     return (mix(h) >> U64(64 - bits)).astype(np.int64)
 
 
-def _hits(bitmap, bits: int, classes: list[int], coordinates: int):
+def _in(bitmap: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
+    slot = _slots(h, bits)
+    return (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
+def spans(values: np.ndarray, at: np.ndarray, top: int) -> np.ndarray:
+    """For each place in ``at``: how many tokens the longest window has in
+    which it is the smallest, looking ``top`` tokens to either side."""
+    padded = np.concatenate([np.zeros(top, U64), values, np.zeros(top, U64)])
+    step = np.arange(1, top + 1)
+    here = values[at][:, None]
+
+    def free(side):
+        smaller = padded[at[:, None] + top + side * step] < here
+        return np.where(smaller.any(1), smaller.argmax(1), top)
+
+    return free(1) + free(-1) + 1
+
+
+def document_triples(h: np.ndarray, offs: np.ndarray, hits: np.ndarray, classes: list[int], coordinates: int,
+                     wanted) -> tuple[np.ndarray, np.ndarray]:
+    """(document, triple) of all documents' windows whose smallest token is at
+    a hit, as far as ``wanted(triples)``.  A window is the whole document where
+    that is shorter."""
+    n = np.diff(offs)
+    # a 0 between documents ends every window
+    flat = np.zeros(len(h) + len(n), U64)
+    flat[np.arange(len(h)) + np.repeat(np.arange(len(n)), n)] = h
+    doc = np.searchsorted(offs, hits, "right") - 1
+    at, size_of = hits + doc, n[doc]
+    top = min(classes[-1], int(n.max()))
+    docs, keys = [], []
+    for k in range(coordinates):
+        v = coordinate(flat, k)
+        v[offs[1:] + np.arange(len(n))] = 0
+        span = spans(v, at, top)
+        for size in classes:
+            some = span >= np.minimum(size, size_of)
+            own = triple(v[at[some]], size, k)
+            keep = wanted(own)
+            docs.append(doc[some][keep])
+            keys.append(own[keep])
+    docs, keys = np.concatenate(docs), np.concatenate(keys)
+    order = np.lexsort([keys, docs])
+    docs, keys = docs[order], keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1])
+    return docs[new], keys[new]
+
+
+def _hits(sent, bits: int, classes: list[int], coordinates: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bitmap.value
+        shingle_map, key_map = sent.value
         for batch in batches:
             for piece in pieces(batch, "text"):
                 h, offs, _ = text_shingles(piece.column("text"))
-                slot = _slots(h, bits)
-                hit = (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-                rows, sets, keys = [], [], []
-                for i in np.unique(np.searchsorted(offs, np.flatnonzero(hit), "right") - 1):
-                    own, mine = h[offs[i]:offs[i + 1]], hit[offs[i]:offs[i + 1]]
-                    found = []
-                    for k in range(coordinates):
-                        v = coordinate(own, k)
-                        theirs = np.unique(v[mine])
-                        for size in classes:
-                            low = np.unique(sliding_min(v, min(size, len(v))))
-                            found.append(triple(np.intersect1d(low, theirs, True), size, k))
-                    rows.append(i)
-                    sets.append(np.unique(own[mine]).view(np.int64))
-                    keys.append(np.unique(np.concatenate(found)))
+                hit = np.flatnonzero(_in(shingle_map, h, bits))
+                doc = np.searchsorted(offs, hit, "right") - 1
+                rows, first = np.unique(doc, return_index=True)
+                if not len(rows):
+                    continue
+                n = np.diff(offs)[rows]
+                local = np.concatenate([[0], np.cumsum(n)])
+                own = h[np.arange(local[-1]) + np.repeat(offs[rows] - local[:-1], n)]
+                mine = hit - np.repeat(offs[rows] - local[:-1], np.diff(np.append(first, len(hit))))
+                of, keys = document_triples(own, local, mine, classes, coordinates,
+                                            lambda x: _in(key_map, x.view(U64), bits))
+                ends = np.searchsorted(of, np.arange(len(rows) + 1)).astype(np.int32)
+                sets = [np.unique(x).view(np.int64) for x in np.split(h[hit], first[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("id").take(pa.array(rows, pa.int64())), pa.array(sets, pa.list_(pa.int64())),
-                     pa.array(keys, pa.list_(pa.int64()))], names=["id", "hits", "keys"])
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys, pa.int64()))], names=["id", "hits", "keys"])
     return run
 
 
-def _bitmap(items: DataFrame, bits: int) -> np.ndarray:
-    """Bitmap of the items' shingles, put together by Spark: its bytes that
-    are not zero reach the driver, 2**(bits - 3) at most."""
+def _bitmap(items: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Bitmap of a list column, put together by Spark: its bytes that are not
+    zero reach the driver, 2**(bits - 3) at most."""
     def slots(batches):
         for batch in batches:
-            own = batch.column("shingles").flatten().to_numpy(zero_copy_only=False).view(U64)
+            own = batch.column(column).flatten().to_numpy(zero_copy_only=False).view(U64)
             s = _slots(own, bits)
             yield pa.RecordBatch.from_arrays([pa.array(s >> 3), pa.array((1 << (s & 7)).astype(np.int64))],
                                              names=["byte", "bit"])
 
-    got = items.select("shingles").mapInArrow(slots, "byte long, bit long") \
+    got = items.select(column).mapInArrow(slots, "byte long, bit long") \
         .groupBy("byte").agg(F.bit_or("bit").alias("v")).toArrow()
     out = np.zeros(1 << (bits - 3), np.uint8)
     out[got.column("byte").to_numpy()] = got.column("v").to_numpy().astype(np.uint8)
@@ -132,13 +183,17 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """(doc_id, item_id, n_shared, n_item, containment) of every document
     that has ``threshold`` of an item's shingles."""
     spark = docs.sparkSession
+    ship(spark)
     own = items.select(F.col(f"`{item_col}`").alias("id"), F.col(f"`{item_text_col}`").cast("string").alias("text"))
     key_type = own.schema["id"].dataType.simpleString()
     words = own.agg(F.max(F.size(F.split(F.trim("text"), "[ \\t\\n\\x0B\\f\\r]+")))).first()[0] or 0
     classes = size_classes(max(1, words - 4))
     tests = written(own.mapInArrow(_items(classes, coordinates),
-                                   f"id {key_type}, shingles array<long>, keys array<long>"), "test-items")
-    sent = spark.sparkContext.broadcast(_bitmap(tests, bits))
+                                   f"id {key_type}, shingles array<long>, keys array<long>, size long"),
+                    "test-items")
+    # the classes that have items, far fewer than sizes
+    classes = sorted(r[0] for r in tests.select("size").where("size > 0").distinct().collect()) or [1]
+    sent = spark.sparkContext.broadcast((_bitmap(tests, "shingles", bits), _bitmap(tests, "keys", bits)))
     found = written(documents(docs, id_col, text_col).mapInArrow(
         _hits(sent, bits, classes, coordinates), "id long, hits array<long>, keys array<long>"), "test-hits") \
         .withColumn("version", F.xxhash64("hits"))

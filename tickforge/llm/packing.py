@@ -68,6 +68,9 @@ class Tokenizer:
         self.fast = tiktoken.Encoding("fast", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.size = max(max(ranks.values()), END_ID, *(x["id"] for x in spec.get("added_tokens", []))) + 1
 
+        # the smallest unsigned type that holds every id
+        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+
     def encode(self, text: str) -> list[int]:
         if any(x in text for x in self.special):
             return self.slow.encode(text, add_special_tokens=False).ids
@@ -99,7 +102,7 @@ def _encode(path: str):
                 texts = piece.column("text").to_pylist()
                 if rows == 0:
                     tok.check(texts[:1])
-                ids = [np.array(tok.encode(x) + [END_ID], np.uint32) for x in texts]
+                ids = [np.array(tok.encode(x) + [END_ID], tok.kind) for x in texts]
                 for x in ids:
                     seen[np.unique(x)] += 1
                 rows += len(ids)
@@ -200,9 +203,9 @@ def pack_shard(docs: list[np.ndarray], df: np.ndarray, n_docs: int, mean: float,
 
 def _pack(sent, window: int):
     def run(key, rows):
-        df, n_docs, mean = sent.value
+        df, n_docs, mean, kind = sent.value
         rows = rows.sort_by([("id", "ascending"), ("ids", "ascending")])
-        own = [np.frombuffer(x, np.uint32) for x in rows.column("ids").to_pylist()]
+        own = [np.frombuffer(x, kind).astype(np.uint32) for x in rows.column("ids").to_pylist()]
         ids = rows.column("id").to_numpy()
         found = pack_shard(own, df, n_docs, mean, window)
         d, start, n, sequence, offset = (np.array(x, np.int64) for x in zip(*found))
@@ -224,11 +227,11 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         _encode(path), "id long, ids binary, counts binary"), "tokens")
     counts = tokens.where("counts is not null").select("counts").mapInArrow(_spread, "token long, n long") \
         .groupBy("token").agg(F.sum("n").alias("n")).toArrow()  # one row for each token of the vocabulary at most
-    size = tokenizer(path).size
+    size, kind = tokenizer(path).size, tokenizer(path).kind
     n = np.zeros(size + 2, np.int64)
     n[counts.column("token").to_numpy()] = counts.column("n").to_numpy()
     df, n_docs, total = n[:size], int(n[size]), int(n[size + 1])
-    sent = spark.sparkContext.broadcast((df, n_docs, total / max(1, n_docs)))
+    sent = spark.sparkContext.broadcast((df, n_docs, total / max(1, n_docs), kind))
     shards = max(shuffle_partitions(spark), -(-total // shard_tokens))
     dealt = tokens.where("counts is null").select("id", "ids", F.pmod(F.xxhash64("id", "ids"), F.lit(shards)).alias("shard"))
     out = dealt.groupBy("shard").applyInArrow(

@@ -21,9 +21,9 @@ expanded into all its pairs:
    ``|D(x) & D(y)| >= (|D(x)| + |D(y)| - T) / 2`` with
    ``T = (1 - t) / (1 + t) * (|x| + |y|)``, and at least one common element:
    with none, J(x, y) <= J(x, c) and J(y, c), so both would be linked with c.
-   So an index over the rarest elements of each D (a prefix filter) finds all
-   such pairs.  In a group of near copies the rare elements are each copy's
-   own edits, so the index stays sparse however large the group is.
+   So an index over the first elements of each D in one order, rare ones first
+   (a prefix filter), finds all such pairs.  In a group of near copies these are
+   each copy's own edits, so the index stays sparse however large the group is.
 4. The links found in 2 and 3 give the components.
 
 Empty texts have no shingles and are linked with nothing.  A text with fewer
@@ -43,7 +43,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickforge.llm.arrowtext import U64, mix, pieces, text_shingles
-from tickforge.llm.common import components, documents, public_id, written
+from tickforge.llm.common import components, documents, public_id, shuffle_partitions, written
+from tickforge.llm.sharedkeys import SENT, is_shared, send, shared
 
 BANDS, ROWS = 24, 4
 SMALL = 32
@@ -132,20 +133,74 @@ def _compare(pct: int):
     return run
 
 
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each element of x ^ c."""
-    names = ["c", "x", "nx", "nc", "nd", "token"]
-    for batch in batches:
-        for piece in pieces(batch, "xs", 1 << 20):
-            cols = [[], [], [], [], [], []]
-            for x, c, a, b in _rows(piece, "x", "c", "xs", "cs"):
-                a, b = np.frombuffer(a, U64), np.frombuffer(b, U64)
-                d = np.setxor1d(a, b, True)
-                for col, v in zip(cols, (c, x, len(a), len(b), len(d))):
-                    col.append(np.full(len(d), v, np.int64))
-                cols[5].append(d.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64))
-                                              for x in cols], names=names)
+def _differences(pct: int):
+    """x ^ c of each member x of a group around c, as two lists: the elements
+    that x adds to c, and those that it lacks.  The latter are common in the
+    group and come last in the index's order; only the ones within the prefix
+    are kept.  ``top`` is the last place in the prefix."""
+    names = ["c", "x", "root", "near", "nx", "nd", "top", "new", "lost"]
+    tau, more = (100 - pct) / (100 + pct), (100 - pct) / pct
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "xs", 1 << 20):
+                cols: list[list] = [[] for _ in names]
+                for x, c, a, b, root, near in _rows(piece, "x", "c", "xs", "cs", "root", "near"):
+                    a, b = np.frombuffer(a, U64), np.frombuffer(b, U64)
+                    new, lost = np.setdiff1d(a, b, True), np.setdiff1d(b, a, True)
+                    nx, nc, nd = len(a), len(b), len(new) + len(lost)
+                    # the least overlap with any partner; rounding stays on the safe side
+                    if near and nd <= tau * (nx + nc):
+                        least = np.ceil((nd + tau * (nc - nx)) / 2 - 1e-6)
+                    else:
+                        most = np.floor(more * nx + 1e-9)
+                        least = np.ceil((nd + max(nd - most, 0) - most) / 2 - 1e-6)
+                    top = nd - max(1, int(least))
+                    lost = lost[:max(0, top + 1 - len(new))]
+                    for col, v in zip(cols, (c, x, root, near, nx, nd, top, new.tobytes(), lost.tobytes())):
+                        col.append(v)
+                kinds = {"near": pa.bool_(), "new": pa.binary(), "lost": pa.binary()}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, kinds.get(n, pa.int64())) for v, n in zip(cols, names)], names=names)
+    return run
+
+
+def _group_keys(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(the members' added elements, each one's member, each one's key in its
+    group)."""
+    new = [np.frombuffer(x, U64) for x in rows.column("new").to_pylist()]
+    member = np.repeat(np.arange(len(new)), [len(x) for x in new])
+    token = np.concatenate([*new, np.zeros(0, U64)])
+    group = rows.column("c").to_numpy().astype(np.int64).view(U64)
+    return token, member, mix(token ^ mix(group[member]))
+
+
+def _send_keys(bits: int):
+    def run(key, rows):
+        _, member, keys = _group_keys(rows)
+        return send(key[0].as_py(), keys, rows.column("x").to_numpy()[member], bits)
+    return run
+
+
+def _index_rows(bits: int):
+    """A row for each added element that another member has as well (place -1:
+    not known yet), and for each lacking one of the prefix."""
+    names = ["c", "x", "root", "near", "nx", "nd", "top", "added", "token", "pos"]
+
+    def run(key, rows, marks):
+        token, member, keys = _group_keys(rows)
+        some = is_shared(keys, marks, bits)
+        added = np.bincount(member, minlength=rows.num_rows)
+        lost = [np.frombuffer(x, U64) for x in rows.column("lost").to_pylist()]
+        n = [len(x) for x in lost]
+        who = np.concatenate([member[some], np.repeat(np.arange(len(lost)), n)]).astype(np.int64)
+        tokens = np.concatenate([token[some], *lost]).view(np.int64)
+        place = np.concatenate([np.full(int(some.sum()), -1), *[a + np.arange(k) for a, k in zip(added, n)]])
+        cols = [rows.column(x).to_numpy(zero_copy_only=False)[who] for x in names[:7]]
+        kinds = {"near": pa.bool_()}
+        return pa.table({x: pa.array(v, kinds.get(x, pa.int64())) for x, v in
+                         zip(names, [*cols, added[who], tokens, place.astype(np.int64)])})
+    return run
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -163,29 +218,31 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
 def _past_pivots(groups: DataFrame, sets: DataFrame, roots: DataFrame, pct: int) -> DataFrame:
     """Pairs (x, c) of different components to compare, from large groups
     (c, x) around a pivot; see the module's step 3."""
-    t = pct / 100
-    tau = (1 - t) / (1 + t)
-    rows = _with_sets(groups, sets).select("x", "c", "xs", "cs").mapInArrow(
-        _differences, "c long, x long, nx long, nc long, nd long, token long")
-    rows = written(rows, "near-differences")
-    df = rows.groupBy("c", "token").agg(F.count("*").alias("df")).where("df > 1")
-    common = rows.join(df, ["c", "token"])
-    # elements that no other member has come first in the order of rarity
-    n_common = common.groupBy("c", "x").agg(F.count("*").alias("shared"))
-    place = Window.partitionBy("c", "x").orderBy("df", "token")
-    common = common.withColumn("pos", F.row_number().over(place) - 1).join(n_common, ["c", "x"]) \
-        .withColumn("pos", F.col("pos") + F.col("nd") - F.col("shared")) \
-        .join(roots.select(F.col("id").alias("x"), F.col("root")), "x") \
-        .join(roots.select(F.col("id").alias("c"), F.col("root").alias("croot")), "c")
-    # the least overlap with any partner; 1e-9 keeps rounding on the safe side
-    most = F.floor(F.lit((1 - t) / t + 1e-9) * F.col("nx"))
-    linked = F.col("root") == F.col("croot")
-    least = F.when(linked & (F.col("nd") <= F.lit(tau) * (F.col("nx") + F.col("nc"))),
-                   F.ceil((F.col("nd") + F.lit(tau) * (F.col("nc") - F.col("nx"))) / 2 - 1e-6)) \
-        .otherwise(F.ceil((F.col("nd") + F.greatest(F.col("nd") - most, F.lit(0)) - most) / 2 - 1e-6))
-    index = common.where(F.col("pos") <= F.col("nd") - F.greatest(F.lit(1), least)) \
-        .withColumn("near", linked).select("c", "token", "x", "nx", "nd", "pos", "root", "near")
-    index = written(index, "near-index")
+    tau = (100 - pct) / (100 + pct)
+    rooted = groups.join(roots.select(F.col("id").alias("x"), "root"), "x") \
+        .join(roots.select(F.col("id").alias("c"), F.col("root").alias("croot")), "c") \
+        .select("x", "c", "root", (F.col("root") == F.col("croot")).alias("near"))
+    members = written(_with_sets(rooted, sets).select("x", "c", "xs", "cs", "root", "near").mapInArrow(
+        _differences(pct), "c long, x long, root long, near boolean, nx long, nd long, top long, new binary,"
+                           " lost binary"), "near-differences")
+    # members in chunks of about a thousand; what only one has needs no row
+    parts = shuffle_partitions(groups.sparkSession)
+    chunks = max(parts, -(-members.count() // 1024))
+    bits = (parts - 1).bit_length()
+    dealt = members.withColumn("chunk", F.pmod(F.xxhash64("c", "x"), F.lit(chunks)))
+    known = shared(dealt.groupBy("chunk").applyInArrow(_send_keys(bits), SENT))
+    rows = written(dealt.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
+        _index_rows(bits), "c long, x long, root long, near boolean, nx long, nd long, top long, added long,"
+                           " token long, pos long"), "near-elements")
+    # added elements come first, the rarer the earlier; those that no other
+    # member has need no row, but keep their places
+    new = rows.where("pos < 0")
+    df = new.groupBy("c", "token").agg(F.count("*").alias("df")).where("df > 1")
+    member = Window.partitionBy("c", "x")
+    several = new.join(df, ["c", "token"]).withColumn(
+        "pos", F.col("added") - F.count("*").over(member) + F.row_number().over(member.orderBy("df", "token")) - 1)
+    index = written(several.drop("df").unionByName(rows.where("pos >= 0")).where("pos <= top")
+                    .select("c", "token", "x", "nx", "nd", "pos", "root", "near"), "near-index")
     a, b = index.where(~F.col("near")).alias("a"), index.alias("b")
     need: Column = F.greatest(F.lit(1), F.ceil(
         (F.col("a.nd") + F.col("b.nd") - F.lit(tau) * (F.col("a.nx") + F.col("b.nx"))) / 2 - 1e-6))
@@ -204,26 +261,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = written(texts.mapInArrow(_sketch(bands, rows), "id long, n long, s1 long, s2 long, keys array<long>"),
                   "near-signatures")
     full = sig.where("n > 0")
-    classes = full.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    # aggregates that are joined back are written first: both sides of such a
+    # join are then dealt for it, and Spark can split a hot key
+    classes = written(full.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep")), "near-classes")
     owners = full.join(classes.withColumnRenamed("rep", "id"), ["s1", "s2", "n", "id"]).dropDuplicates(["id", "s1", "s2"])
     entries = owners.select(F.explode("keys").alias("key"), "id")
-    counts = entries.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("lo"), F.max("id").alias("hi")) \
-        .where("lo < hi").select("key", "m")
+    counts = written(entries.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+                     .where("lo < hi").select("key", "m"), "near-counts")
     met = written(entries.join(counts, "key"), "near-buckets")
     central = met.groupBy("id").agg(F.sum("m").alias("score"))
     scored = met.join(central, "id")
-    pivots = scored.groupBy("key").agg(F.max(F.struct("score", (-F.col("id")).alias("neg"))).alias("p")) \
-        .select("key", (-F.col("p.neg")).alias("c"))
+    pivots = written(scored.groupBy("key").agg(F.max(F.struct("score", (-F.col("id")).alias("neg"))).alias("p"))
+                     .select("key", (-F.col("p.neg")).alias("c")), "near-centres")
     placed = written(met.join(pivots, "key").select("key", "id", "m", "c"), "near-pivots")
     pairs = placed.where("id != c").select(F.col("id").alias("x"), "c").distinct()
-    wanted = met.select("id").distinct()
+    wanted = written(met.select("id").distinct(), "near-wanted")
     sets = written(texts.join(wanted, "id", "left_semi").mapInArrow(_sets, "id long, set binary"), "near-sets")
     links = written(_confirmed(pairs, sets, pct), "near-links")
-    roots = components(links.where("linked").select(F.col("x").alias("a"), F.col("c").alias("b")), wanted)
+    roots = written(components(links.where("linked").select(F.col("x").alias("a"), F.col("c").alias("b")), wanted),
+                    "near-roots")
 
     # buckets with members of more than one component
     rooted = placed.join(roots, "id")
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+    mixed = written(rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                    .where("lo < hi").select("key"), "near-mixed")
     open_rows = written(rooted.join(mixed, "key", "left_semi"), "near-open")
     few = open_rows.where((F.col("m") > 2) & (F.col("m") <= small))
     a, b = few.alias("a"), few.alias("b")
@@ -238,8 +299,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bridges = written(more.join(lead, "x").join(lead.select(F.col("x").alias("c"), F.col("a").alias("b")), "c")
                       .select("a", "b").distinct(), "near-bridges")
     tops = components(bridges, roots.select(F.col("root").alias("id")).distinct())
-    final = roots.join(tops.select(F.col("id").alias("root"), F.col("root").alias("top")), "root") \
-        .select(F.col("id").alias("rep"), "top")
+    final = written(roots.join(tops.select(F.col("id").alias("root"), F.col("root").alias("top")), "root")
+                    .select(F.col("id").alias("rep"), "top"), "near-final")
     out = sig.join(classes.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"], "left").join(final, "rep", "left") \
         .select("id", F.col("n").alias("n_shingles"), F.coalesce("top", "rep", "id").alias("root"))
     return out.select(public_id().alias(id_col), "n_shingles", public_id("root").alias("component_id"),

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickforge.llm.arrowtext import pieces
-from tickforge.llm.common import documents, public_id, shuffle_partitions, written
+from tickforge.llm.common import documents, public_id, shuffle_partitions, ship, written
 from tickforge.session import run_dir
 
 MIN_CHARS = 10
@@ -61,11 +61,13 @@ class LineRuns:
         self.spark, self.fan_out = spark, fan_out
         self.buckets = shuffle_partitions(spark)
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
 
     def _write(self, rows: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.paths[name] = f"{run_dir(self.spark, 'line-runs')}/{name}"
         rows.repartition(self.buckets, "h1").write.bucketBy(self.buckets, "h1").sortBy("h1", "h2") \
-            .option("path", f"{run_dir(self.spark, 'line-runs')}/{name}").saveAsTable(name)
+            .option("path", self.paths[name]).saveAsTable(name)
         return name
 
     def _drop(self, name: str) -> None:
@@ -107,8 +109,11 @@ class LineRuns:
 
     def dropped(self, keys: DataFrame) -> DataFrame:
         """(id, version, lines): the lines that a smaller id owns, for documents
-        with any."""
-        parts = [keys.join(run, ["h1", "h2"]).where("owner < id").select("id", "version", "line") for run in self.runs()]
+        with any.  The runs' files are read as they are, without their buckets:
+        both sides are then dealt for the join and a hot line can be split."""
+        files = [self.spark.read.schema("h1 long, h2 long, owner long").parquet(self.paths[x])
+                 for level in self.levels for x in level]
+        parts = [keys.join(run, ["h1", "h2"]).where("owner < id").select("id", "version", "line") for run in files]
         out = parts[0]
         for x in parts[1:]:
             out = out.unionByName(x)
@@ -124,6 +129,7 @@ class LineRuns:
 def without_lines(rows: DataFrame, text_col: str, lines_col: str) -> DataFrame:
     """The rows with kept (the text without the numbered lines), n_lines,
     n_dropped, kept_sha256."""
+    ship(rows.sparkSession)
     at, of = rows.columns.index(text_col), rows.columns.index(lines_col)
     names = [*rows.columns, "kept", "n_lines", "n_dropped", "kept_sha256"]
 

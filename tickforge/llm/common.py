@@ -65,20 +65,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(id, root) of all nodes (id, distinct): root is the smallest id that
-    the edges (a, b) reach.  Each round every node takes the smallest label
-    around it, and then its label's label, which halves long chains; it stops
-    when no label changes.  Labels are written each round."""
+    the edges (a, b) reach.  Each node begins with the smallest id around it;
+    each round it takes the smallest label around it, and then its label's
+    label, which halves long chains; it stops when no label changes.  Labels
+    are written each round."""
     both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
                    .where("a != b").distinct(), "edges")
-    touched = both.select(F.col("a").alias("id")).distinct()
-    labels = written(touched.select("id", F.col("id").alias("root")), "labels")
+    if both.isEmpty():
+        return nodes.select("id", F.col("id").alias("root"))
+    labels = written(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("a"), F.min("b")).alias("root")), "labels")
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), "root"), "b") \
             .groupBy(F.col("a").alias("id")).agg(F.min("root").alias("near"))
         step = labels.join(near, "id").select("id", F.least("root", "near").alias("root"), F.col("root").alias("old"))
-        up = step.select(F.col("id").alias("root"), F.col("root").alias("up"))
-        moved = written(step.join(up, "root", "left").select(
-            "id", F.coalesce("up", "root").alias("root"), "old"), "labels")
+        # a label is the id of a node, with a label of its own
+        up = labels.select(F.col("id").alias("root"), F.col("root").alias("up"))
+        moved = written(step.join(up, "root").select("id", F.least("up", "root").alias("root"), "old"), "labels")
         labels = moved.select("id", "root")
         if moved.where("root != old").isEmpty():
             break

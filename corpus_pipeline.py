@@ -26,6 +26,18 @@ def _key():
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
 
 
+def _version():
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the texts (id, version) of gone; another text under the
+    same id, or also without one, stays."""
+    texts = gone.select(F.col("id").alias("__id"), F.col("version").alias("__version")).distinct()
+    return docs.withColumn("__id", _key()).withColumn("__version", _version()) \
+        .join(texts, ["__id", "__version"], "left_anti").select(*docs.columns)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose text has a language; learned from the labelled
     documents of the same table."""
@@ -37,7 +49,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that a document of a smaller id has; n_chars
     follows.  Documents of which nothing is left stay, with an empty text."""
-    rows = docs.select(_key().alias("__id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__version"),
+    rows = docs.select(_key().alias("__id"), _version().alias("__version"),
                        F.struct(*docs.columns).alias("row"))
     gone = line_dedup.decisions(docs).select(F.col("id").alias("__id"), F.col("version").alias("__version"), "lines")
     kept = line_dedup.without_lines(rows.join(gone, ["__id", "__version"], "left").withColumn(
@@ -51,16 +63,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest id."""
-    found = minhash_dedup.near_duplicates(docs)
-    gone = found.where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("__id")).distinct()
-    return docs.withColumn("__id", _key()).join(gone, "__id", "left_anti").select(*docs.columns)
+    return _without(docs, minhash_dedup.decisions(docs).where("id != root"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
-    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("__id")).distinct()
-    return docs.withColumn("__id", _key()).join(gone, "__id", "left_anti").select(*docs.columns)
+    return _without(docs, decontam.matches(docs, table(spark, sf_dir, "benchmark")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

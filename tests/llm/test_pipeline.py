@@ -71,3 +71,29 @@ def test_empty_tables(spark, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{tmp_path}/a/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/b/{name}.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/b").count() == 0
+
+
+def test_null_and_repeated_ids_drop_single_texts(spark, tmp_path):
+    """Of several texts under one id, or without one, only the bad go."""
+    rng = random.Random(3)
+    own = {k: words(rng, 60) for k in (3, 9, 20, 21, 22, 23)}
+    item = words(rng, 20)
+
+    def near(k):
+        return " ".join(own[k] + ["more"])
+
+    clean = [(3, " ".join(own[3])), (9, " ".join(own[9])), (None, " ".join(own[20])), (12, " ".join(own[21]))]
+    copies = [(None, near(3)), (None, near(9)), (12, near(3)), (12, near(9))]
+    leaks = [(None, " ".join(own[22] + item)), (12, " ".join(own[23] + item))]
+    spark.createDataFrame([(1, " ".join(item))], "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(clean + copies + leaks, "doc_id long, text string")
+
+    def rows(df):
+        return sorted((str(r.doc_id), r.text) for r in df.collect())
+
+    def as_rows(*parts):
+        return sorted((str(i), t) for part in parts for i, t in part)
+
+    once = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert rows(once) == as_rows(clean, leaks)
+    assert rows(corpus_pipeline.decontamination(spark, docs, str(tmp_path))) == as_rows(clean, copies)

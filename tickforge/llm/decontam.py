@@ -155,8 +155,10 @@ def _hits(sent, bits: int, classes: list[int], coordinates: int):
                 ends = np.searchsorted(of, np.arange(len(rows) + 1)).astype(np.int32)
                 sets = [np.unique(x).view(np.int64) for x in np.split(h[hit], first[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("id").take(pa.array(rows, pa.int64())), pa.array(sets, pa.list_(pa.int64())),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys, pa.int64()))], names=["id", "hits", "keys"])
+                    [piece.column(x).take(pa.array(rows, pa.int64())) for x in ("id", "version")]
+                    + [pa.array(sets, pa.list_(pa.int64())),
+                       pa.ListArray.from_arrays(pa.array(ends), pa.array(keys, pa.int64()))],
+                    names=["id", "version", "hits", "keys"])
     return run
 
 
@@ -177,11 +179,11 @@ def _bitmap(items: DataFrame, column: str, bits: int) -> np.ndarray:
     return out
 
 
-def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD,
-                 coordinates: int = COORDINATES, bits: int = BITMAP_BITS) -> DataFrame:
-    """(doc_id, item_id, n_shared, n_item, containment) of every document
-    that has ``threshold`` of an item's shingles."""
+def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD,
+            coordinates: int = COORDINATES, bits: int = BITMAP_BITS) -> DataFrame:
+    """(id, version, item, n_shared, n_item) of every text that has
+    ``threshold`` of an item's shingles; version is the text's xxhash64."""
     spark = docs.sparkSession
     ship(spark)
     own = items.select(F.col(f"`{item_col}`").alias("id"), F.col(f"`{item_text_col}`").cast("string").alias("text"))
@@ -194,9 +196,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     # the classes that have items, far fewer than sizes
     classes = sorted(r[0] for r in tests.select("size").where("size > 0").distinct().collect()) or [1]
     sent = spark.sparkContext.broadcast((_bitmap(tests, "shingles", bits), _bitmap(tests, "keys", bits)))
-    found = written(documents(docs, id_col, text_col).mapInArrow(
-        _hits(sent, bits, classes, coordinates), "id long, hits array<long>, keys array<long>"), "test-hits") \
-        .withColumn("version", F.xxhash64("hits"))
+    found = written(documents(docs, id_col, text_col).withColumn("version", F.xxhash64("text")).mapInArrow(
+        _hits(sent, bits, classes, coordinates), "id long, version long, hits array<long>, keys array<long>"), "test-hits")
     left = found.select("id", "version", F.explode("keys").alias("key")).distinct()
     right = tests.select(F.col("id").alias("item"), F.explode("keys").alias("key"))
     # each item once for each text, however many coordinates agree
@@ -204,9 +205,17 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     joined = pairs.join(found.select("id", "version", "hits").dropDuplicates(["id", "version"]), ["id", "version"]) \
         .join(tests.select(F.col("id").alias("item"), "shingles").dropDuplicates(["item", "shingles"]),
               "item")
-    sized = joined.select("id", "item", F.size(F.array_intersect("hits", "shingles")).cast("long").alias("n_shared"),
+    sized = joined.select("id", "version", "item", F.size(F.array_intersect("hits", "shingles")).cast("long").alias("n_shared"),
                           F.size("shingles").cast("long").alias("n_item"))
-    kept = sized.where(F.col("n_shared") >= F.lit(threshold) * F.col("n_item") - 1e-9) \
-        .groupBy("id", "item").agg(F.max(F.struct(
+    return sized.where(F.col("n_shared") >= F.lit(threshold) * F.col("n_item") - 1e-9)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD,
+                 coordinates: int = COORDINATES, bits: int = BITMAP_BITS) -> DataFrame:
+    """(doc_id, item_id, n_shared, n_item, containment) of every document
+    that has ``threshold`` of an item's shingles."""
+    found = matches(docs, items, id_col, text_col, item_col, item_text_col, threshold, coordinates, bits)
+    kept = found.groupBy("id", "item").agg(F.max(F.struct(
             (F.col("n_shared") / F.col("n_item")).alias("containment"), "n_shared", "n_item")).alias("m"))
     return kept.select(public_id().alias(id_col), F.col("item").alias(item_col), "m.n_shared", "m.n_item", "m.containment")

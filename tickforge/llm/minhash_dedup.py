@@ -9,7 +9,8 @@ similarity 0.85 shares no bucket with probability 2e-8, of 0.8 with 3e-6.
 Links.  Every link is confirmed on the full shingle sets, and no group is
 expanded into all its pairs:
 
-1. Documents with equal shingle sets are one class, its smallest id stands for it.
+1. Texts with equal shingle sets are one class, a node of the graph; a text of
+   its smallest id stands for it.
 2. Each bucket has a pivot, the member that shares most buckets (the most
    central one).  Each member is compared with its pivots; components of these
    links are formed.
@@ -28,9 +29,10 @@ expanded into all its pairs:
 
 Empty texts have no shingles and are linked with nothing.  A text with fewer
 than five words has one shingle.  A null text is empty.  Each row is judged by
-its own text.  Rows that repeat an id stay; texts of one id that no smaller id
-has are one node of the graph.  Null ids come last and count as one id.  Other
-columns are ignored; an empty table gives no rows.
+its own text, also where rows repeat an id: different texts of one id are different
+nodes, so an id never links them.  Rows that repeat the smallest id of their
+component stay.  Null ids come last and count as one id.  Other columns are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -98,9 +100,9 @@ def _sketch(bands: int, rows: int):
                     keys = band_keys(flat, at, bands, rows)
                 ends = np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("id"), pa.array(n.astype(np.int64)), pa.array(one), pa.array(two),
+                    [piece.column("id"), piece.column("version"), pa.array(n.astype(np.int64)), pa.array(one), pa.array(two),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1).view(np.int64)))],
-                    names=["id", "n", "s1", "s2", "keys"])
+                    names=["id", "version", "n", "s1", "s2", "keys"])
     return run
 
 
@@ -252,19 +254,22 @@ def _past_pivots(groups: DataFrame, sets: DataFrame, roots: DataFrame, pct: int)
     return met.select(F.col("a.x").alias("x"), F.col("b.x").alias("c")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pct: int = THRESHOLD_PCT,
-                    bands: int = BANDS, rows: int = ROWS, small: int = SMALL) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row for each input row:
-    documents with ``100 * shared >= pct * union`` five-word shingles are
-    linked; component_id is the smallest id reachable."""
-    texts = documents(docs, id_col, text_col)
-    sig = written(texts.mapInArrow(_sketch(bands, rows), "id long, n long, s1 long, s2 long, keys array<long>"),
-                  "near-signatures")
+def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pct: int = THRESHOLD_PCT,
+              bands: int = BANDS, rows: int = ROWS, small: int = SMALL) -> DataFrame:
+    """(id, version, n_shingles, root), one row for each input row: version is
+    the text's xxhash64, root the smallest id reachable."""
+    texts = documents(docs, id_col, text_col).withColumn("version", F.xxhash64("text"))
+    sig = written(texts.mapInArrow(
+        _sketch(bands, rows), "id long, version long, n long, s1 long, s2 long, keys array<long>"), "near-signatures")
     full = sig.where("n > 0")
     # aggregates that are joined back are written first: both sides of such a
     # join are then dealt for it, and Spark can split a hot key
-    classes = written(full.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep")), "near-classes")
-    owners = full.join(classes.withColumnRenamed("rep", "id"), ["s1", "s2", "n", "id"]).dropDuplicates(["id", "s1", "s2"])
+    classes = written(full.groupBy("s1", "s2", "n").agg(F.min(F.struct("id", "version")).alias("rep"))
+                      .select("s1", "s2", "n", F.col("rep.id").alias("rep"), F.col("rep.version").alias("version"),
+                              F.monotonically_increasing_id().alias("node")), "near-classes")
+    same = ["s1", "s2", "n", "id", "version"]
+    owners = full.join(classes.withColumnRenamed("rep", "id"), same).dropDuplicates(same).select(
+        F.col("node").alias("id"), "keys")
     entries = owners.select(F.explode("keys").alias("key"), "id")
     counts = written(entries.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("lo"), F.max("id").alias("hi"))
                      .where("lo < hi").select("key", "m"), "near-counts")
@@ -276,7 +281,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = written(met.join(pivots, "key").select("key", "id", "m", "c"), "near-pivots")
     pairs = placed.where("id != c").select(F.col("id").alias("x"), "c").distinct()
     wanted = written(met.select("id").distinct(), "near-wanted")
-    sets = written(texts.join(wanted, "id", "left_semi").mapInArrow(_sets, "id long, set binary"), "near-sets")
+    places = wanted.withColumnRenamed("id", "node").join(classes, "node").select(F.col("rep").alias("id"), "version", "node")
+    sets = written(texts.join(places, ["id", "version"]).select(F.col("node").alias("id"), "text")
+                   .mapInArrow(_sets, "id long, set binary"), "near-sets")
     links = written(_confirmed(pairs, sets, pct), "near-links")
     roots = written(components(links.where("linked").select(F.col("x").alias("a"), F.col("c").alias("b")), wanted),
                     "near-roots")
@@ -300,8 +307,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       .select("a", "b").distinct(), "near-bridges")
     tops = components(bridges, roots.select(F.col("root").alias("id")).distinct())
     final = written(roots.join(tops.select(F.col("id").alias("root"), F.col("root").alias("top")), "root")
-                    .select(F.col("id").alias("rep"), "top"), "near-final")
-    out = sig.join(classes.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"], "left").join(final, "rep", "left") \
-        .select("id", F.col("n").alias("n_shingles"), F.coalesce("top", "rep", "id").alias("root"))
-    return out.select(public_id().alias(id_col), "n_shingles", public_id("root").alias("component_id"),
-                      (F.col("id") == F.col("root")).alias("kept"))
+                    .select(F.col("id").alias("node"), "top").join(classes.select("node", "rep"), "node"), "near-final")
+    least = written(final.groupBy("top").agg(F.min("rep").alias("least")), "near-least")
+    found = final.join(least, "top").select("node", "least")
+    return sig.join(classes.select("s1", "s2", "n", "rep", "node"), ["s1", "s2", "n"], "left").join(found, "node", "left") \
+        .select("id", "version", F.col("n").alias("n_shingles"), F.coalesce("least", "rep", "id").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pct: int = THRESHOLD_PCT,
+                    bands: int = BANDS, rows: int = ROWS, small: int = SMALL) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row for each input row:
+    documents with ``100 * shared >= pct * union`` five-word shingles are
+    linked; component_id is the smallest id reachable."""
+    return decisions(docs, id_col, text_col, pct, bands, rows, small).select(
+        public_id().alias(id_col), "n_shingles", public_id("root").alias("component_id"),
+        (F.col("id") == F.col("root")).alias("kept"))

@@ -84,8 +84,8 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         start = end
 
 
-def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each word's hash and the index of its text, in order."""
+def word_hashes(data: np.ndarray, offs: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's hash and the index of its text, in order; ``fold``: A-Z count as lower case."""
     n = len(data)
     if not n:
         return np.zeros(0, U64), np.zeros(0, np.int64)
@@ -100,7 +100,7 @@ def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     ends = np.flatnonzero(finishes) + 1
     sums = np.empty(n + 1, U64)
     sums[0] = 0
-    np.cumsum(BYTE_VALUES[LOWER[data]] * powers("base", n), dtype=U64, out=sums[1:])
+    np.cumsum(BYTE_VALUES[LOWER[data] if fold else data] * powers("base", n), dtype=U64, out=sums[1:])
     h = (sums[ends] - sums[starts]) * powers("inverse", n)[starts]
     h = mix(h + (ends - starts).astype(U64) * _BASE)
     return h, np.searchsorted(offs, starts, "right") - 1

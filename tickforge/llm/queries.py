@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickforge.llm import (
-    decontam, fingerprints, langid, line_dedup, minhash_dedup, packing, passages, secrets, suffix_dedup, url_filter,
+    decontam, fingerprints, langid, line_dedup, minhash_dedup, packing, passages, periods, secrets, suffix_dedup,
+    url_filter,
 )
 from tickforge.llm.common import table
 from tickforge.llm.url_filter import Rule
@@ -74,9 +75,37 @@ def op9_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), page_outcomes(spark, sf_dir), URL_RULES).drop("bad_low")
 
 
+def with_periodic_tails(docs):
+    """Where h = crc32(doc_id as text) is divisible by 10, the words from
+    number a on repeat the p words that begin there."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    g, n, at = F.col("g"), F.col("n"), F.col("a")
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words")) \
+        .withColumn("n", F.size("words")).withColumn("a", F.when(n > 0, g % n)) \
+        .withColumn("p", 1 + F.floor((n - at) / (3 + g % 8)))
+    tail = F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1), lambda i: F.element_at(
+        "words", (F.when(i < at, i).otherwise(at + (i - at) % F.col("p")) + 1).cast("int")))
+    return rows.select("doc_id", F.when(n > 0, F.array_join(tail, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    found = periods.collapse(with_periodic_tails(table(spark, sf_dir, "documents")))
+    # greatest length, then smallest start, then smallest period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(
+        *[F.concat(r[c].cast("string"), F.lit(end)) for c, end in (("start", ","), ("length", ","), ("period", "\n"))]))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.floor(F.lit(1000) * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_line_dedup, op3_passages, op4_suffix_dedup, op5_secrets, op6_minhash_dedup, op7_packing,
-    op8_language_id, op9_url_filter, op10_decontamination)}
+    op8_language_id, op9_url_filter, op10_decontamination, op12_periodic_runs)}
 
 SQL = {
     "op2_line_dedup": r"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickforge.llm import (
     decontam, fingerprints, langid, line_dedup, minhash_dedup, packing, passages, periods, secrets, suffix_dedup,
-    url_filter,
+    url_filter, vector_dedup,
 )
 from tickforge.llm.common import table
 from tickforge.llm.url_filter import Rule
@@ -103,11 +103,28 @@ def op12_periodic_runs(spark, sf_dir):
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_vector_dedup(spark, sf_dir):
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_line_dedup, op3_passages, op4_suffix_dedup, op5_secrets, op6_minhash_dedup, op7_packing,
-    op8_language_id, op9_url_filter, op10_decontamination, op12_periodic_runs)}
+    op8_language_id, op9_url_filter, op10_decontamination, op12_periodic_runs,
+    op13_vector_dedup)}
 
 SQL = {
+    "op13_vector_dedup": r"""
+WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) >= 0.9 * sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+root AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM root LEFT JOIN degree USING (vec_id)""",
     "op2_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, UNNEST(string_split(coalesce(text, ''), chr(10))) AS s,

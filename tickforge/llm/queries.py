@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickforge.llm import (
-    decontam, fingerprints, langid, line_dedup, minhash_dedup, packing, passages, periods, secrets, suffix_dedup,
-    url_filter, vector_dedup,
+    decontam, fingerprints, hard_negatives, langid, line_dedup, minhash_dedup, packing, passages, periods, secrets,
+    suffix_dedup, url_filter, vector_dedup,
 )
 from tickforge.llm.common import table
 from tickforge.llm.url_filter import Rule
@@ -75,6 +75,15 @@ def op9_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), page_outcomes(spark, sf_dir), URL_RULES).drop("bad_low")
 
 
+def op11_hard_negatives(spark, sf_dir):
+    id_, label = F.col("vec_id"), F.col("label")
+    whole = F.expr("forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('inf'))")
+    rows = table(spark, sf_dir, "embeddings").where(whole).select(
+        "vec_id", F.when(id_ % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("vec"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def with_periodic_tails(docs):
     """Where h = crc32(doc_id as text) is divisible by 10, the words from
     number a on repeat the p words that begin there."""
@@ -109,14 +118,32 @@ def op13_vector_dedup(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_line_dedup, op3_passages, op4_suffix_dedup, op5_secrets, op6_minhash_dedup, op7_packing,
-    op8_language_id, op9_url_filter, op10_decontamination, op12_periodic_runs,
-    op13_vector_dedup)}
+    op8_language_id, op9_url_filter, op10_decontamination, op11_hard_negatives, op12_periodic_runs, op13_vector_dedup)}
 
 SQL = {
+    "op11_hard_negatives": r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    CAST(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS DOUBLE[]) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5""",
     "op13_vector_dedup": r"""
 WITH RECURSIVE good AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-  WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
   WHERE list_dot_product(a.v, b.v) >= 0.9 * sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))),

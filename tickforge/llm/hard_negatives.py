@@ -5,8 +5,8 @@ same label, by greater score (integer inner product), then smaller id.  For
 each positive: the first ``n_neg`` rows of other labels whose score lies in the
 window [low, 1] times the positive's score, in the same order.
 
-1. Layout.  Rows are ordered along a Hilbert curve through the quartiles of all
-   dimensions (from a bounded sample; they decide about the order only) and
+1. Layout.  Rows are ordered along a Hilbert curve through a grid of four cells
+   in each dimension (from a bounded sample; it decides about the order only) and
    stored as Parquet rows of ``BLOCK`` vectors each.  A block's zone map has
    the minimum and maximum of every dimension, its smallest id, and its labels.
 2. Bounds.  For an anchor a, sum(max(a_d * lo_d, a_d * hi_d)) and the same with
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from tickforge.llm.common import LAST_ID, public_id, ship, shuffle_partitions, written
 
 BLOCK, CHUNK, PAGE = 512, 256, 1024
-#: Rows whose quartiles place the curve.
+#: Rows whose range places the curve's grid.
 SAMPLE = 1 << 14
 LARGEST = 1 << 26
 #: Beyond all scores.
@@ -336,7 +336,10 @@ def mine(rows: DataFrame, is_anchor: Column, id_col: str = "vec_id", label_col:
     taken = taken.where(F.size("vec") == dims)
     drawn = taken.where(F.pmod(F.xxhash64("id", "vec"), F.lit(-(-n // SAMPLE))) == 0).limit(2 * SAMPLE).select("vec").toArrow()
     sample = drawn.column("vec").combine_chunks().flatten().to_numpy().reshape(-1, dims) if len(drawn) else np.zeros((1, dims))
-    cuts = np.quantile(sample, [0.25, 0.5, 0.75], axis=0)
+    low_end, high_end = np.quantile(sample, [0.01, 0.99], axis=0)
+    # cells of one size for all dimensions, so that the widest ones lead the curve
+    side = max(1.0, float((high_end - low_end).max()) / 4)
+    cuts = (low_end + high_end) / 2 + side * np.array([[-1.0], [0.0], [1.0]])
     parts = max(1, min(shuffle_partitions(spark), -(-n // BLOCK)))
     ordered = taken.mapInArrow(_keys(cuts), "id long, label long, vec array<int>, anchor boolean, curve binary") \
         .repartitionByRange(parts, "curve", "id").sortWithinPartitions("curve", "id")

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge import schemas
-from tickforge.operators import bronze, candles, envelope, history, marts, sentiment, silver
-from tickforge.plans import medallion
+from tickforge.operators import bronze, candles, checks, envelope, history, marts, sentiment, silver
+from tickforge.plans import contracts, medallion
 from tickforge.plans.oracle import FRESH_CLOCK, RUN_CLOCK
 from tickforge.session import library_session, run_dir
 from tickforge.sources import fixtures
@@ -291,6 +291,23 @@ def q_stream_lake_market_overview(spark, sf_dir):
     return lake.warehouse(spark).source("mart_market_overview")
 
 
+def q_lake_data_tests(spark, sf_dir):
+    """The batch medallion, then the data tests of all its tables."""
+    lake = medallion.LakePaths(run_dir(spark, "lake-tests"))
+    medallion.run_batch(spark, _trades(spark, sf_dir), _sentiment(spark, sf_dir), lake,
+                        as_of=RUN_CLOCK, processed_at=RUN_CLOCK)
+    return medallion.run_tests(spark, lake, RUN_CLOCK)
+
+
+def q_candle_violations(spark, sf_dir):
+    """The violations that the data tests store for candles with planted faults."""
+    root = run_dir(spark, "faulty-candles")
+    fixtures.faulty_candles(_candles(spark, sf_dir)).write.parquet(f"{root}/candles")
+    rows = lake_table(spark, f"{root}/candles")
+    checks.run_checks(spark, {medallion.CANDLES: contracts.candle_checks(rows)}, f"{root}/violations")
+    return checks.violations(spark, f"{root}/violations").drop("row")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fx_trades": q_fx_trades,
     "silver_clean": q_silver_clean,
@@ -323,5 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_price_vs_sentiment": _lake_mart("mart_price_vs_sentiment"),
     "lake_sentiment_twice": q_lake_sentiment_twice,
     "stream_lake_market_overview": q_stream_lake_market_overview,
+    "lake_data_tests": q_lake_data_tests,
+    "candle_violations": q_candle_violations,
 }
 QUERIES = {name: _in_own_session(query) for name, query in QUERIES.items()}

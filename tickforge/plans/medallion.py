@@ -1,4 +1,4 @@
-"""Stage order bronze -> silver -> gold -> marts, batch and streaming.
+"""Stage order bronze -> silver -> gold -> marts -> tests, batch and streaming.
 
 Each stage writes a table to a folder; the next stage reads that folder,
 which also cuts the lineage between stages (a lost executor only
@@ -8,13 +8,15 @@ written with overwrite, as the upstream models are materialised.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tickforge import config, schemas
 from tickforge.operators import candles as candle_ops
-from tickforge.operators import history, marts, sentiment, silver
+from tickforge.operators import checks, history, marts, sentiment, silver
+from tickforge.plans.contracts import lake_checks
 from tickforge.session import library_session
 from tickforge.sources import versions
 from tickforge.sources.streams import lake_table, message_files
@@ -62,6 +64,11 @@ class LakePaths:
     def sentiment(self):
         return f"{self.root}/{SENTIMENT}"
 
+    @property
+    def tests(self):
+        """Violations found by the data tests, one folder for each run."""
+        return f"{self.root}/_tests"
+
     @property
     def marts(self):
         return f"{self.root}/marts"
@@ -117,6 +124,22 @@ def build_marts(spark: SparkSession, lake: LakePaths, as_of) -> dict[str, str]:
     return {name: tables.materialize(name, df) for name, df in built.items()}
 
 
+def run_tests(spark: SparkSession, lake: LakePaths, as_of, fresh_within: str = "24 hours",
+              fail: bool = True) -> DataFrame:
+    """Check the lake's tables against their constraints (``plans.contracts``)
+    after the marts are built.  Violating rows are stored under ``lake.tests``;
+    with ``fail`` a violation raises, so what is to run next does not."""
+    spark = library_session(spark)
+    tables = lake.warehouse(spark)
+    frames = {name: tables.source(name) for name in (CANDLES, *MARTS)}
+    frames[SENTIMENT] = versions.read(spark, lake.sentiment, schemas.SENTIMENT)
+    path = f"{lake.tests}/run={uuid.uuid4().hex}"
+    results = checks.run_checks(spark, lake_checks(frames, as_of, fresh_within), path)
+    if fail:
+        checks.require(results, path)
+    return results
+
+
 def run_batch(spark: SparkSession, trades: DataFrame, sentiment_df: DataFrame,
               lake: LakePaths, as_of, processed_at=None) -> dict[str, str]:
     """Trades -> silver table -> candle table -> marts, each stage written;
@@ -174,7 +197,7 @@ def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
     """Command line: run the stages in order against one lake root.
 
     python -m tickforge.plans.medallion --lake s3a://lake --kafka host:9092 \\
-        --topic trades --stages bronze,silver,gold,marts --as-of '2024-01-31 00:00:00'
+        --topic trades --stages bronze,silver,gold,marts,tests --as-of '2024-01-31 00:00:00'
     """
     import argparse
 
@@ -186,9 +209,10 @@ def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
     ap.add_argument("--lake", required=True)
     ap.add_argument("--kafka", help="bootstrap servers; default reads <lake>/landing files")
     ap.add_argument("--topic")
-    ap.add_argument("--stages", default="bronze,silver,gold,marts",
-                    help="any of bronze,silver,gold,sentiment,history,marts; run in that order")
+    ap.add_argument("--stages", default="bronze,silver,gold,marts,tests",
+                    help="any of bronze,silver,gold,sentiment,history,marts,tests; run in that order")
     ap.add_argument("--as-of", help="mart clock, 'YYYY-MM-DD HH:MM:SS' (default: now)")
+    ap.add_argument("--fresh-within", default="24 hours", help="tests: how old the newest candle may be")
     ap.add_argument("--day", help="history: load this day only, 'YYYY-MM-DD'")
     ap.add_argument("--sentiment-docs", help="folder of landed sentiment API documents")
     ap.add_argument("--jdbc-url", help="gold: also append candles to this database")
@@ -211,7 +235,7 @@ def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
     spark = library_session(build_session(app="tickforge-medallion"))
     lake = LakePaths(args.lake)
     wanted = [s.strip() for s in args.stages.split(",") if s.strip()]
-    if unknown := set(wanted) - {"bronze", "silver", "gold", "sentiment", "history", "marts"}:
+    if unknown := set(wanted) - {"bronze", "silver", "gold", "sentiment", "history", "marts", "tests"}:
         ap.error(f"unknown stages: {', '.join(sorted(unknown))}")
     if "bronze" in wanted:
         src = (kafka_messages(spark, args.kafka, args.topic,
@@ -242,6 +266,8 @@ def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
         load_history(spark, lake, args.day)
     if "marts" in wanted:
         build_marts_from_lake(spark, lake, args.as_of)
+    if "tests" in wanted:
+        run_tests(spark, lake, args.as_of, args.fresh_within)
     if stop_session:
         spark.stop()
 

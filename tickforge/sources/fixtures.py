@@ -180,3 +180,18 @@ def sentiment_revisions(events: DataFrame, updated_at) -> DataFrame:
                        fng_classification(new_v).alias("fng_classification"),
                        F.lit(updated_at).cast("timestamp").alias("updated_at"))
     return revised.unionByName(extra)
+
+
+def faulty_candles(candles: DataFrame) -> DataFrame:
+    """Candles with planted faults, by the minute m of the epoch they start in:
+    twice (m % 101 = 0), without a symbol (103), their high below their low
+    (107), without trades (109), without an open price (113)."""
+    m = F.floor(F.unix_seconds("candle_start_time") / 60)
+    copies = F.when(m % 101 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return candles.withColumns({
+        "_copy": F.explode(copies),
+        "symbol": F.when(m % 103 != 0, F.col("symbol")),
+        "high_price": F.when(m % 107 == 0, F.col("low_price") - 1).otherwise(F.col("high_price")),
+        "trade_count": F.when(m % 109 == 0, F.lit(0).cast("long")).otherwise(F.col("trade_count")),
+        "open_price": F.when(m % 113 != 0, F.col("open_price")),
+    }).drop("_copy")

@@ -17,7 +17,7 @@ written in the shape Spark executes best rather than as literal CTEs:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickforge import config
@@ -26,6 +26,16 @@ from tickforge.functions import (as_ts, candle_type, freshness_status,
 from tickforge.operators.sentiment import one_per_date
 
 
+def health_order() -> list[Column]:
+    """Newest hour first, then symbols."""
+    return [F.col("ingestion_hour").desc_nulls_first(), F.col("symbol").asc_nulls_last()]
+
+
+def prices_order() -> list[Column]:
+    """Newest date first; equal dates by symbol."""
+    return [F.col("date").desc_nulls_first(), F.col("symbol").asc_nulls_last()]
+
+
 def market_overview(candles: DataFrame, as_of=None, window: str = config.OVERVIEW_WINDOW) -> DataFrame:
     """Rolling snapshot per symbol that has a candle since ``as_of - window``.
 
@@ -150,7 +160,7 @@ def pipeline_health(candles: DataFrame, as_of=None, fresh: float = config.FRESH_
               "freshness_status", "day_total_candles", "day_active_symbols",
               "daily_completeness_pct")
     if ordered:
-        out = out.orderBy(F.col("ingestion_hour").desc_nulls_first(), sym.asc_nulls_last())
+        out = out.orderBy(*health_order())
     return out
 
 
@@ -177,5 +187,5 @@ def price_vs_sentiment(candles: DataFrame, sentiment: DataFrame,
         "date", "symbol", "avg_price", "max_price", "min_price", "total_volume",
         "fng_value", "fng_classification")
     if ordered:
-        out = out.orderBy(F.col("date").desc_nulls_first())
+        out = out.orderBy(*prices_order())
     return out

@@ -18,6 +18,7 @@ from tickforge.plans import contracts, medallion
 from tickforge.plans.oracle import FRESH_CLOCK, RUN_CLOCK
 from tickforge.session import library_session, run_dir
 from tickforge.sources import fixtures
+from tickforge.sources.ordered import with_position
 from tickforge.sources.streams import lake_table, landed_documents, message_files
 from tickforge.streaming import stages
 from tickforge.streaming.sinks import BatchFileSink
@@ -308,6 +309,16 @@ def q_candle_violations(spark, sf_dir):
     return checks.violations(spark, f"{root}/violations").drop("row")
 
 
+def _stored_order(name, *columns):
+    def query(spark, sf_dir):
+        """Places of a mart's rows as they are stored, file by file."""
+        lake = medallion.LakePaths(run_dir(spark, "lake-order"))
+        medallion.run_batch(spark, _trades(spark, sf_dir), _sentiment(spark, sf_dir), lake,
+                            as_of=RUN_CLOCK, processed_at=RUN_CLOCK)
+        return with_position(spark, f"{lake.marts}/{name}").select("position", *columns)
+    return query
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fx_trades": q_fx_trades,
     "silver_clean": q_silver_clean,
@@ -340,6 +351,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_price_vs_sentiment": _lake_mart("mart_price_vs_sentiment"),
     "lake_sentiment_twice": q_lake_sentiment_twice,
     "stream_lake_market_overview": q_stream_lake_market_overview,
+    "lake_pipeline_health_order": _stored_order("mart_pipeline_health", "ingestion_hour", "symbol", "candles_count"),
+    "lake_price_vs_sentiment_order": _stored_order("mart_price_vs_sentiment", "date", "symbol", "avg_price"),
     "lake_data_tests": q_lake_data_tests,
     "candle_violations": q_candle_violations,
 }

@@ -110,7 +110,8 @@ def write_candles(spark: SparkSession, candles_df: DataFrame, lake: LakePaths) -
 def build_marts(spark: SparkSession, lake: LakePaths, as_of) -> dict[str, str]:
     """Rebuild the four marts (overwrite) from the stored candle table and
     the stored sentiment dimension; the hourly table is written once, for the
-    health mart's aggregates."""
+    health mart's aggregates.  The health and price marts are stored in their
+    contract's order."""
     tables = lake.warehouse(spark)
     candles_df = tables.source(CANDLES)
     tables.materialize(HOURLY, marts.hourly_ingestion(candles_df))
@@ -121,7 +122,8 @@ def build_marts(spark: SparkSession, lake: LakePaths, as_of) -> dict[str, str]:
         "mart_pipeline_health": marts.pipeline_health(candles_df, as_of, ordered=False, hourly=tables.source(HOURLY)),
         "mart_price_vs_sentiment": marts.price_vs_sentiment(candles_df, sentiment_df, ordered=False),
     }
-    return {name: tables.materialize(name, df) for name, df in built.items()}
+    order = {"mart_pipeline_health": marts.health_order(), "mart_price_vs_sentiment": marts.prices_order()}
+    return {name: tables.materialize(name, df, order_by=order.get(name)) for name, df in built.items()}
 
 
 def run_tests(spark: SparkSession, lake: LakePaths, as_of, fresh_within: str = "24 hours",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+
+from tickforge.sources.ordered import arranged
 
 
 class Warehouse:
@@ -27,9 +29,13 @@ class Warehouse:
             return self.spark.read.format(self.fmt).load(loc)
         return self.spark.table(loc)
 
-    def materialize(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
-        """Full rebuild of ``name`` (overwrite), as a table-materialised model."""
+    def materialize(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
+                    order_by: list[Column] | None = None) -> str:
+        """Full rebuild of ``name`` (overwrite), as a table-materialised model;
+        ``order_by``: stored in this order (``sources.ordered``)."""
         loc = self.locations.get(name, name)
+        if order_by:
+            df = arranged(df, order_by)
         w = df.write.mode("overwrite").format(self.fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)

@@ -3,9 +3,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tickforge import schemas
 from tickforge.session import RUNTIME_CONF, clear_runs, library_session, require_utc, run_dir, shared_dir
-from tickforge.sources import versions
 
 KEY = "spark.sql.session.timeZone"
 
@@ -46,20 +44,3 @@ def test_run_folders_are_fresh_and_can_be_cleared(spark):
     spark.range(3).write.parquet(a)
     assert clear_runs(spark) >= 1
     assert not os.path.exists(a.replace("file:", ""))
-
-
-def test_versions_replace_the_whole_table(spark, fresh_dir):
-    def rows(*values):
-        return spark.createDataFrame([(None, v, "x", None) for v in values], schemas.SENTIMENT)
-
-    assert versions.read(spark, fresh_dir, schemas.SENTIMENT).count() == 0
-    for n in range(1, 5):
-        assert versions.write(rows(*range(n)), fresh_dir) == n
-    assert versions.read(spark, fresh_dir, schemas.SENTIMENT).count() == 4
-    assert versions.known(spark, fresh_dir) == [3, 4]
-
-    # a load that fails leaves the stored table
-    from pyspark.sql import functions as F
-    with pytest.raises(Exception):
-        versions.write(rows(1).withColumn("fng_value", F.raise_error(F.lit("lost")).cast("int")), fresh_dir)
-    assert versions.read(spark, fresh_dir, schemas.SENTIMENT).count() == 4

@@ -36,14 +36,15 @@ def candle_aggregates() -> list[Column]:
     ]
 
 
-def _finish(agg: DataFrame, ingested_at) -> DataFrame:
+def finish(agg: DataFrame, start: Column, ingested_at) -> DataFrame:
+    """Candle columns, with the window's start and the time of ingestion."""
     if ingested_at is None:
         ing = F.current_timestamp()
     elif isinstance(ingested_at, Column):
         ing = ingested_at
     else:
         ing = F.lit(ingested_at).cast("timestamp")
-    return agg.select(F.col("window.start").alias("candle_start_time"), "symbol",
+    return agg.select(start.alias("candle_start_time"), "symbol",
                       *CANDLE_COLUMNS[2:-1], ing.alias("ingested_at"))
 
 
@@ -54,7 +55,7 @@ def candles(trades: DataFrame, width: str = config.CANDLE_WIDTH,
         trades = trades.withColumn("trade_id", F.lit(None).cast("long"))
     agg = (trades.groupBy(F.window("trade_timestamp", width).alias("window"), "symbol")
            .agg(*candle_aggregates()))
-    return _finish(agg, ingested_at)
+    return finish(agg, F.col("window.start"), ingested_at)
 
 
 def candles_stream(trades: DataFrame, width: str = config.CANDLE_WIDTH,
@@ -66,4 +67,4 @@ def candles_stream(trades: DataFrame, width: str = config.CANDLE_WIDTH,
     agg = (trades.withWatermark("trade_timestamp", delay)
            .groupBy(F.window("trade_timestamp", width).alias("window"), "symbol")
            .agg(*candle_aggregates()))
-    return _finish(agg, ingested_at)
+    return finish(agg, F.col("window.start"), ingested_at)

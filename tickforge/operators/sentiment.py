@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickforge import schemas
 from tickforge.functions import col_, date_from_epoch_seconds
-from tickforge.sources import versions
+from tickforge.sources.buckets import BucketTable
 
 
 def parse_documents(docs: DataFrame, text_col: str = "value", updated_at=None) -> DataFrame:
@@ -42,8 +42,7 @@ def upsert_latest(current: DataFrame, incoming: DataFrame, key: str = "date",
     ``stored LEFT ANTI JOIN incoming  UNION  latest incoming``: only the
     (usually small) incoming batch is aggregated, and when AQE measures it
     as small the anti join becomes a broadcast join that streams the stored
-    table without shuffling it.  Write the result back with overwrite
-    (dynamic partition overwrite for a partitioned table).
+    table without shuffling it.  ``store_latest`` writes the result back.
     """
     cols = current.columns
     rest = [c for c in cols if c != key]
@@ -55,14 +54,19 @@ def upsert_latest(current: DataFrame, incoming: DataFrame, key: str = "date",
     return kept.select(*cols).unionByName(latest.select(*cols))
 
 
+def stored(spark: SparkSession, path: str) -> BucketTable:
+    """The stored dimension: one bucket for each month."""
+    return BucketTable(spark, path, schemas.SENTIMENT, F.date_format("date", "yyyy-MM"))
+
+
 def store_latest(spark: SparkSession, incoming: DataFrame, path: str) -> DataFrame:
     """Upsert ``incoming`` into the stored dimension at ``path`` and return
-    it: one row per date.  The new table is written beside the old one and
-    swapped in by a rename, so readers see either, and a failed load leaves
-    the stored one."""
-    stored = versions.read(spark, path, schemas.SENTIMENT)
-    versions.write(upsert_latest(stored, incoming), path)
-    return versions.read(spark, path, schemas.SENTIMENT)
+    it: one row per date.  Only the months of the incoming dates are read and
+    written; the load is seen wholly or not at all, and of loads at the same
+    time none is lost (``sources.buckets``)."""
+    table = stored(spark, path)
+    table.merge(incoming, upsert_latest)
+    return table.rows()
 
 
 def one_per_date(rows: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge import schemas
-from tickforge.operators import bronze, candles, checks, envelope, history, marts, sentiment, silver
+from tickforge.operators import bronze, candles, checks, envelope, history, marts, partials, sentiment, silver
 from tickforge.plans import contracts, medallion
 from tickforge.plans.oracle import FRESH_CLOCK, RUN_CLOCK
 from tickforge.session import library_session, run_dir
@@ -223,6 +223,25 @@ def q_stream_gold_new_checkpoint(spark, sf_dir):
     return _run_gold(spark, lake, "gold-2")
 
 
+def q_stream_late_merge(spark, sf_dir):
+    """The same silver lake, growing by late trades, through the mergeable
+    states: two runs on one checkpoint, and nothing is dropped."""
+    lake, first, rest = _two_loads(spark, sf_dir, "stream-late")
+    first()
+    medallion.run_partials(spark, lake)
+    rest()
+    medallion.run_partials(spark, lake)
+    return medallion.merged_candles(spark, lake, RUN_CLOCK)
+
+
+def q_candles_1h_from_states(spark, sf_dir):
+    """Hourly candles from the states of two parts of the trades, by minute."""
+    rows = _silver(spark, sf_dir)
+    late = F.unix_millis("trade_timestamp") % LATE_EVERY == 0
+    parts = [partials.partial_candles(rows.where(c)) for c in (~late, late)]
+    return partials.candles_from(partials.coarser(partials.merge(*parts), "hour"), RUN_CLOCK)
+
+
 def _land_messages(spark, sf_dir, lake):
     fixtures.with_garbage(envelope.keyed_json(_trades(spark, sf_dir))).write.json(lake.landing)
 
@@ -345,6 +364,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_silver_first_arrival": q_stream_silver_first_arrival,
     "stream_gold_restart": q_stream_gold_restart,
     "stream_gold_new_checkpoint": q_stream_gold_new_checkpoint,
+    "stream_late_merge": q_stream_late_merge,
+    "candles_1h_from_states": q_candles_1h_from_states,
     "lake_market_overview": _lake_mart("mart_market_overview"),
     "lake_ohlc_summary": _lake_mart("mart_ohlc_summary"),
     "lake_pipeline_health": _lake_mart("mart_pipeline_health"),

@@ -15,10 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickforge import config, schemas
 from tickforge.operators import candles as candle_ops
-from tickforge.operators import checks, history, marts, sentiment, silver
+from tickforge.operators import checks, history, marts, partials, sentiment, silver
 from tickforge.plans.contracts import lake_checks
 from tickforge.session import library_session
-from tickforge.sources import versions
 from tickforge.sources.streams import lake_table, message_files
 from tickforge.sources.warehouse import Warehouse
 from tickforge.streaming import stages
@@ -64,6 +63,11 @@ class LakePaths:
     def sentiment(self):
         return f"{self.root}/{SENTIMENT}"
 
+    @property
+    def partials(self):
+        """Mergeable candle states, one bucket a day."""
+        return f"{self.root}/candle_states"
+
     @property
     def tests(self):
         """Violations found by the data tests, one folder for each run."""
@@ -115,7 +119,7 @@ def build_marts(spark: SparkSession, lake: LakePaths, as_of) -> dict[str, str]:
     tables = lake.warehouse(spark)
     candles_df = tables.source(CANDLES)
     tables.materialize(HOURLY, marts.hourly_ingestion(candles_df))
-    sentiment_df = versions.read(spark, lake.sentiment, schemas.SENTIMENT)
+    sentiment_df = sentiment.stored(spark, lake.sentiment).rows()
     built = {
         "mart_market_overview": marts.market_overview(candles_df, as_of),
         "mart_ohlc_summary": marts.ohlc_summary(candles_df),
@@ -134,7 +138,7 @@ def run_tests(spark: SparkSession, lake: LakePaths, as_of, fresh_within: str = "
     spark = library_session(spark)
     tables = lake.warehouse(spark)
     frames = {name: tables.source(name) for name in (CANDLES, *MARTS)}
-    frames[SENTIMENT] = versions.read(spark, lake.sentiment, schemas.SENTIMENT)
+    frames[SENTIMENT] = sentiment.stored(spark, lake.sentiment).rows()
     path = f"{lake.tests}/run={uuid.uuid4().hex}"
     results = checks.run_checks(spark, lake_checks(frames, as_of, fresh_within), path)
     if fail:
@@ -164,6 +168,17 @@ def gold_table(spark: SparkSession, lake: LakePaths) -> DataFrame:
     return read_latest(spark, lake.gold, ["symbol", "candle_start_time"]).select(*schemas.CANDLE_COLUMNS)
 
 
+def merged_candles(spark: SparkSession, lake: LakePaths, ingested_at=None) -> DataFrame:
+    """Candles of the stored states: late trades are in them."""
+    return partials.candles_from(partials.stored(spark, lake.partials).rows(), ingested_at)
+
+
+def run_partials(spark: SparkSession, lake: LakePaths, timeout_s: float | None = None) -> None:
+    """New silver trades -> the stored candle states."""
+    stages.await_done(stages.start_partials(library_session(spark), lake.silver, lake.partials,
+                                            lake.checkpoint("partials")), timeout_s)
+
+
 def run_streaming(spark: SparkSession, lake: LakePaths, processed_at=None,
                   timeout_s: float | None = None,
                   state_partitions: int | None = None, first_seen: bool = True,
@@ -212,7 +227,8 @@ def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
     ap.add_argument("--kafka", help="bootstrap servers; default reads <lake>/landing files")
     ap.add_argument("--topic")
     ap.add_argument("--stages", default="bronze,silver,gold,marts,tests",
-                    help="any of bronze,silver,gold,sentiment,history,marts,tests; run in that order")
+                    help="any of bronze,silver,gold,partials,sentiment,history,marts,tests; run in that order; with "
+                         "partials the marts are built from the merged states, which late trades enter")
     ap.add_argument("--as-of", help="mart clock, 'YYYY-MM-DD HH:MM:SS' (default: now)")
     ap.add_argument("--fresh-within", default="24 hours", help="tests: how old the newest candle may be")
     ap.add_argument("--day", help="history: load this day only, 'YYYY-MM-DD'")
@@ -237,7 +253,7 @@ def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
     spark = library_session(build_session(app="tickforge-medallion"))
     lake = LakePaths(args.lake)
     wanted = [s.strip() for s in args.stages.split(",") if s.strip()]
-    if unknown := set(wanted) - {"bronze", "silver", "gold", "sentiment", "history", "marts", "tests"}:
+    if unknown := set(wanted) - {"bronze", "silver", "gold", "partials", "sentiment", "history", "marts", "tests"}:
         ap.error(f"unknown stages: {', '.join(sorted(unknown))}")
     if "bronze" in wanted:
         src = (kafka_messages(spark, args.kafka, args.topic,
@@ -259,6 +275,8 @@ def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
         for name, sink in sinks.items():
             stages.await_done(stages.start_gold_batches(spark, lake.silver, sink, lake.checkpoint(name),
                                                         state_partitions=args.state_partitions), args.timeout)
+    if "partials" in wanted:
+        run_partials(spark, lake, args.timeout)
     if "sentiment" in wanted:
         if not args.sentiment_docs:
             ap.error("the sentiment stage needs --sentiment-docs")
@@ -267,7 +285,11 @@ def main(argv: list[str] | None = None, stop_session: bool = False) -> None:
     if "history" in wanted:
         load_history(spark, lake, args.day)
     if "marts" in wanted:
-        build_marts_from_lake(spark, lake, args.as_of)
+        if "partials" in wanted:
+            write_candles(spark, merged_candles(spark, lake), lake)
+            build_marts(spark, lake, args.as_of)
+        else:
+            build_marts_from_lake(spark, lake, args.as_of)
     if "tests" in wanted:
         run_tests(spark, lake, args.as_of, args.fresh_within)
     if stop_session:

@@ -73,6 +73,25 @@ CANDLE = StructType([
     StructField("trade_count", LongType()),
     StructField("ingested_at", TimestampType()),
 ])
+# A mergeable candle: first and last trade as structs under ``order_fields``
+# (time, id, price, each behind its null flag), extremes, sums and count.
+ORDERED_TRADE = StructType([
+    StructField("_n0", BooleanType()), StructField("_o0", TimestampType()),
+    StructField("_n1", BooleanType()), StructField("_o1", LongType()),
+    StructField("_n2", BooleanType()), StructField("_o2", DoubleType()),
+])
+PARTIAL_CANDLE = StructType([
+    StructField("candle_start_time", TimestampType()),
+    StructField("symbol", StringType()),
+    StructField("first", ORDERED_TRADE),
+    StructField("last", ORDERED_TRADE),
+    StructField("high_price", DoubleType()),
+    StructField("low_price", DoubleType()),
+    StructField("total_volume", DoubleType()),
+    StructField("buy_volume_taker", DoubleType()),
+    StructField("sell_volume_maker", DoubleType()),
+    StructField("trade_count", LongType()),
+])
 CANDLE_COLUMNS = [f.name for f in CANDLE.fields]
 
 # Fear & Greed API document: {"data": [{"value", "value_classification",

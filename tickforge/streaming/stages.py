@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tickforge import config, schemas
-from tickforge.operators import bronze, candles, silver
+from tickforge.operators import bronze, candles, partials, silver
 from tickforge.session import library_session, require_utc
 from tickforge.sources.streams import lake_stream
 from tickforge.streaming.sinks import BatchFileSink
@@ -139,6 +139,20 @@ def start_gold_batches(spark: SparkSession, silver_path: str, sink, checkpoint:
     return _trigger(w, trigger).start()
 
 
+def start_partials(spark: SparkSession, silver_path: str, path: str, checkpoint: str,
+                   trigger: str | None = "available_now", width: str = config.CANDLE_WIDTH) -> StreamingQuery:
+    """Silver stream -> mergeable candle states (``operators.partials``).
+
+    There is no state in the stream and no watermark: each micro-batch is
+    aggregated by itself and merged into the stored days that it has trades
+    of, however late.  The sink's name for the stream is its checkpoint, so a
+    replayed batch is applied once."""
+    src = lake_stream(stage_session(spark), silver_path, schemas.SILVER)
+    w = (src.writeStream.outputMode("append").foreachBatch(partials.PartialCandleSink(path, checkpoint, width))
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()
+
+
 class ProgressTotals(StreamingQueryListener):
     """Totals over all progress reports of a session's streams, by query id:
     rows dropped as late, and the bronze stream's counters.  (A query itself

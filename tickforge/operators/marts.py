@@ -62,6 +62,12 @@ def market_overview(candles: DataFrame, as_of=None, window: str = config.OVERVIE
         F.sum("trade_count").alias("total_trades_24h"),
     )
 
+    return overview_columns(snap)
+
+
+def overview_columns(snap: DataFrame) -> DataFrame:
+    """The mart's columns of one row for each symbol."""
+
     def joined(c):
         return F.when(F.col("symbol").isNotNull(), F.col(c))
 

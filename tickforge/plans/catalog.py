@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tickforge import schemas
 from tickforge.operators import bronze, candles, checks, envelope, history, marts, partials, sentiment, silver
 from tickforge.plans import contracts, medallion
-from tickforge.plans.oracle import FRESH_CLOCK, RUN_CLOCK
+from tickforge.plans.oracle import FRESH_CLOCK, ROLLING_CLOCKS, RUN_CLOCK
 from tickforge.session import library_session, run_dir
 from tickforge.sources import fixtures
 from tickforge.sources.ordered import with_position
@@ -242,6 +242,17 @@ def q_candles_1h_from_states(spark, sf_dir):
     return partials.candles_from(partials.coarser(partials.merge(*parts), "hour"), RUN_CLOCK)
 
 
+def q_overview_from_states(spark, sf_dir):
+    """The overview at several clocks, from hourly states and edge minutes."""
+    lake = medallion.LakePaths(run_dir(spark, "rollups"))
+    partials.stored(spark, lake.partials).merge(partials.partial_candles(_silver(spark, sf_dir)), partials.merge)
+    out = None
+    for clock in ROLLING_CLOCKS:
+        one = medallion.rolled_overview(spark, lake, clock).withColumn("as_of", F.lit(clock))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _land_messages(spark, sf_dir, lake):
     fixtures.with_garbage(envelope.keyed_json(_trades(spark, sf_dir))).write.json(lake.landing)
 
@@ -366,6 +377,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_gold_new_checkpoint": q_stream_gold_new_checkpoint,
     "stream_late_merge": q_stream_late_merge,
     "candles_1h_from_states": q_candles_1h_from_states,
+    "overview_from_states": q_overview_from_states,
     "lake_market_overview": _lake_mart("mart_market_overview"),
     "lake_ohlc_summary": _lake_mart("mart_ohlc_summary"),
     "lake_pipeline_health": _lake_mart("mart_pipeline_health"),

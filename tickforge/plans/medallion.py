@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickforge import config, schemas
 from tickforge.operators import candles as candle_ops
-from tickforge.operators import checks, history, marts, partials, sentiment, silver
+from tickforge.operators import checks, history, marts, partials, rollups, sentiment, silver
 from tickforge.plans.contracts import lake_checks
 from tickforge.session import library_session
 from tickforge.sources.streams import lake_table, message_files
@@ -68,6 +68,11 @@ class LakePaths:
         """Mergeable candle states, one bucket a day."""
         return f"{self.root}/candle_states"
 
+    @property
+    def hours(self):
+        """Hourly candle states, one bucket a day."""
+        return f"{self.root}/candle_hours"
+
     @property
     def tests(self):
         """Violations found by the data tests, one folder for each run."""
@@ -179,6 +184,14 @@ def run_partials(spark: SparkSession, lake: LakePaths, timeout_s: float | None =
                                             lake.checkpoint("partials")), timeout_s)
 
 
+def rolled_overview(spark: SparkSession, lake: LakePaths, as_of=None) -> DataFrame:
+    """The overview at a clock from the stored hourly states, which are first
+    brought up to date with the minutes."""
+    hours, minutes = partials.stored(spark, lake.hours), partials.stored(spark, lake.partials)
+    rollups.refresh_hours(hours, minutes)
+    return rollups.stored_overview(spark, hours, minutes, as_of)
+
+
 def run_streaming(spark: SparkSession, lake: LakePaths, processed_at=None,
                   timeout_s: float | None = None,
                   state_partitions: int | None = None, first_seen: bool = True,

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickforge import schemas
-from tickforge.operators import sentiment
 from tickforge.operators.sentiment import store_latest, stored, upsert_latest
+from tickforge.sources.files import names, put_if_absent, read
 
 T0 = dt.datetime(2024, 6, 1)
 
@@ -84,10 +84,11 @@ def test_writers_at_the_same_time(spark, fresh_dir):
     assert stored(spark, fresh_dir).commit().number == 8
 
 
-def test_a_commit_is_made_once(spark, fresh_dir):
-    table = sentiment.stored(spark, fresh_dir)
-    assert table._put_if_absent("0000000001.json", "a") and not table._put_if_absent("0000000001.json", "b")
-    assert os.listdir(f"{fresh_dir}/commits".replace("file:", "")) and open(f"{fresh_dir}/commits/0000000001.json").read() == "a"
+def test_a_file_is_put_once(spark, fresh_dir):
+    path = f"{fresh_dir}/deep/name.json"
+    assert put_if_absent(spark, path, "a\nb") and not put_if_absent(spark, path, "c")
+    assert read(spark, path) == "a\nb" and names(spark, f"{fresh_dir}/deep") == ["name.json"]
+    assert names(spark, f"{fresh_dir}/none") == []
 
 
 def test_a_replayed_batch_is_left_out(spark, fresh_dir):

@@ -20,7 +20,7 @@ from tickforge.session import library_session, run_dir
 from tickforge.sources import fixtures
 from tickforge.sources.ordered import with_position
 from tickforge.sources.streams import lake_table, landed_documents, message_files
-from tickforge.streaming import stages
+from tickforge.streaming import incremental, stages
 from tickforge.streaming.sinks import BatchFileSink
 
 NEXT_LOAD_CLOCK = "2024-01-31 01:00:00"
@@ -254,7 +254,26 @@ def q_overview_from_states(spark, sf_dir):
 
 
 def _land_messages(spark, sf_dir, lake):
-    fixtures.with_garbage(envelope.keyed_json(_trades(spark, sf_dir))).write.json(lake.landing)
+    fixtures.with_garbage(envelope.keyed_json(_trades(spark, sf_dir))).write.mode("append").json(lake.landing)
+
+
+def _delivered_twice(spark, sf_dir, label):
+    """All messages through one checkpoint of the bronze stream, and all of
+    them again through a new one."""
+    lake = medallion.LakePaths(run_dir(spark, label))
+    for checkpoint in ("bronze-1", "bronze-2"):
+        _land_messages(spark, sf_dir, lake)
+        medallion.run_incremental(spark, lake, RUN_CLOCK, checkpoint)
+    return lake
+
+
+def q_incremental_silver(spark, sf_dir):
+    """Silver of two deliveries: the second adds no row."""
+    return incremental.silver_rows(spark, _delivered_twice(spark, sf_dir, "incremental").silver).drop("load")
+
+
+def q_incremental_candles(spark, sf_dir):
+    return medallion.merged_candles(spark, _delivered_twice(spark, sf_dir, "incremental-candles"), RUN_CLOCK)
 
 
 def _stream_silver(spark, sf_dir, label, first_seen):
@@ -378,6 +397,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_late_merge": q_stream_late_merge,
     "candles_1h_from_states": q_candles_1h_from_states,
     "overview_from_states": q_overview_from_states,
+    "incremental_silver": q_incremental_silver,
+    "incremental_candles": q_incremental_candles,
     "lake_market_overview": _lake_mart("mart_market_overview"),
     "lake_ohlc_summary": _lake_mart("mart_ohlc_summary"),
     "lake_pipeline_health": _lake_mart("mart_pipeline_health"),

@@ -12,6 +12,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickforge import config, schemas
 from tickforge.operators import candles as candle_ops
@@ -20,7 +21,7 @@ from tickforge.plans.contracts import lake_checks
 from tickforge.session import library_session
 from tickforge.sources.streams import lake_table, message_files
 from tickforge.sources.warehouse import Warehouse
-from tickforge.streaming import stages
+from tickforge.streaming import incremental, stages
 from tickforge.streaming.sinks import DATE, BatchFileSink, read_latest, with_date
 
 CANDLES, HOURLY, SENTIMENT = "fact_market_candles", "hourly_ingestion", "fact_market_sentiment"
@@ -192,6 +193,25 @@ def rolled_overview(spark: SparkSession, lake: LakePaths, as_of=None) -> DataFra
     return rollups.stored_overview(spark, hours, minutes, as_of)
 
 
+def run_incremental(spark: SparkSession, lake: LakePaths, processed_at=None, checkpoint: str = "bronze-hours",
+                    timeout_s: float | None = None, archive: bool = True,
+                    files_per_partition: int | None = 1) -> int | None:
+    """Landed messages -> bronze hours -> a silver load -> the candle states,
+    each taking only what is new; returns the silver load's number.  A
+    redelivery adds nothing (``streaming.incremental``)."""
+    spark = library_session(spark)
+    landed = message_files(spark, lake.landing, archive=f"{lake.root}/landing_done" if archive else None)
+    stages.await_done(stages.start_bronze_hours(landed, lake.bronze, lake.checkpoint(checkpoint),
+                                                files_per_partition=files_per_partition), timeout_s)
+    states = partials.stored(spark, lake.partials)
+    number = incremental.load_silver(spark, lake.bronze, lake.silver, processed_at)
+    # also loads that a run before has left without their candles
+    for n in range(states.commit().applied.get("silver", 0) + 1, incremental.done(spark, lake.silver)[0] + 1):
+        rows = incremental.silver_rows(spark, lake.silver, n).where(F.col("load") == n)
+        states.merge(partials.partial_candles(rows), partials.merge, ("silver", n))
+    return number
+
+
 def run_streaming(spark: SparkSession, lake: LakePaths, processed_at=None,
                   timeout_s: float | None = None,
                   state_partitions: int | None = None, first_seen: bool = True,

@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tickforge.sources import files
+
 KEEP = 2
 ATTEMPTS = 20
 BUCKET = "bucket"
@@ -50,54 +52,14 @@ class BucketTable:
     def __init__(self, spark: SparkSession, path: str, schema: StructType, bucket: Column):
         self.spark, self.path, self.schema, self.bucket = spark, path.rstrip("/"), schema, bucket
 
-    # -- files ---------------------------------------------------------------
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _names(self, path: str) -> list[str]:
-        p, fs = self._fs(path)
-        return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
-
-    def _put_if_absent(self, name: str, text: str) -> bool:
-        """Create a file with its whole content; False if there is one."""
-        jvm = self.spark._jvm
-        target, fs = self._fs(f"{self.path}/commits/{name}")
-        scheme = target.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toUri().getScheme()
-        one_step = scheme not in ("file", "hdfs", "viewfs")
-        source = target if one_step else self._fs(f"{self.path}/commits/_{uuid.uuid4().hex}")[0]
-        fs.mkdirs(target.getParent())
-        try:
-            # an object store puts the object, if absent, when it is closed
-            out = fs.create(source, False)
-            out.write(bytearray(text.encode()))
-            out.close()
-            if scheme == "file":  # a hard link fails where the name exists
-                files, file = jvm.java.nio.file.Files, jvm.java.io.File
-                files.createLink(file(target.toUri().getPath()).toPath(), file(source.toUri().getPath()).toPath())
-            elif not one_step:
-                to = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
-                options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-                options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
-                to.rename(source, target, options)
-            return True
-        except Exception as e:  # the gateway's error type has no names of its own for these
-            if "AlreadyExist" in str(e) or "412" in str(e):
-                return False
-            raise
-        finally:
-            if not one_step and fs.exists(source):
-                fs.delete(source, False)
-
     # -- reading -------------------------------------------------------------
     def commit(self, number: int | None = None) -> Commit:
         """The newest commit (number 0: none yet), or the one asked for."""
         if number is None:
-            number = max([int(n[:-5]) for n in self._names(f"{self.path}/commits") if n[:-5].isdigit() and n.endswith(".json")], default=0)
+            number = max([int(n[:-5]) for n in files.names(self.spark, f"{self.path}/commits") if n[:-5].isdigit() and n.endswith(".json")], default=0)
         if number <= 0:
             return Commit()
-        text = "\n".join(r.value for r in self.spark.read.text(f"{self.path}/commits/{number:010d}.json").collect())
-        return Commit(number, **json.loads(text))
+        return Commit(number, **json.loads(files.read(self.spark, f"{self.path}/commits/{number:010d}.json")))
 
     def rows(self, commit: Commit | None = None, buckets: list[str] | None = None) -> DataFrame:
         """All rows, or those of some buckets; only their folders are listed."""
@@ -112,11 +74,10 @@ class BucketTable:
         load = uuid.uuid4().hex
         placed = rows.select(*self.schema.fieldNames()).withColumn(BUCKET, F.coalesce(self.bucket, F.lit(NONE)))
         placed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/data/{load}")
-        return load, sorted(n.split("=", 1)[1] for n in self._names(f"{self.path}/data/{load}") if n.startswith(f"{BUCKET}="))
+        return load, sorted(n.split("=", 1)[1] for n in files.names(self.spark, f"{self.path}/data/{load}") if n.startswith(f"{BUCKET}="))
 
     def _drop(self, load: str, bucket: str | None = None) -> None:
-        p, fs = self._fs(f"{self.path}/data/{load}" + (f"/{BUCKET}={bucket}" if bucket else ""))
-        fs.delete(p, True)
+        files.delete(self.spark, f"{self.path}/data/{load}" + (f"/{BUCKET}={bucket}" if bucket else ""))
 
     def merge(self, incoming: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame],
               applied: tuple[str, int] | None = None) -> int:
@@ -150,7 +111,7 @@ class BucketTable:
                 kept = {b: x for b, x in now.buckets.items() if b not in touched}
                 state = {"buckets": kept | {b: load for b in made},
                          "applied": now.applied | ({applied[0]: applied[1]} if applied else {})}
-                if self._put_if_absent(f"{now.number + 1:010d}.json", json.dumps(state)):
+                if files.put_if_absent(self.spark, f"{self.path}/commits/{now.number + 1:010d}.json", json.dumps(state)):
                     self._forget(now.number + 1)
                     load = None
                     return now.number + 1

@@ -34,10 +34,15 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str,
     return r.load()
 
 
-def message_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def message_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                  archive: str | None = None) -> DataFrame:
     """Landed messages (JSON lines with ``key``/``value`` text) as a stream;
-    same columns as the Kafka source, for replay and tests."""
+    same columns as the Kafka source, for replay and tests.  ``archive``: a
+    folder outside ``path`` that files are moved to once a later batch has been
+    planned, so that a trigger lists what is new and the last run's files only."""
     r = spark.readStream.schema(MESSAGE_FILE_SCHEMA)
+    if archive:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.json(path)

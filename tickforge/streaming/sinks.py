@@ -30,6 +30,11 @@ def with_date(candles: DataFrame) -> DataFrame:
     return candles.withColumn(DATE, F.to_date("candle_start_time"))
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a query's checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 class BatchFileSink:
     """Folders ``run=<query id>/batch_id=N/candle_date=D`` under ``path``.
 
@@ -50,8 +55,7 @@ class BatchFileSink:
         if self._run is None:
             if not self.checkpoint:
                 raise ValueError("the sink needs its query's checkpoint folder")
-            text = spark.read.text(f"{self.checkpoint.rstrip('/')}/metadata").first()[0]
-            self._run = json.loads(text)["id"]
+            self._run = query_id(spark, self.checkpoint)
         return self._run
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:

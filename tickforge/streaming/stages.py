@@ -18,6 +18,7 @@ from tickforge import config, schemas
 from tickforge.operators import bronze, candles, partials, silver
 from tickforge.session import library_session, require_utc
 from tickforge.sources.streams import lake_stream
+from tickforge.streaming.incremental import HourSink
 from tickforge.streaming.sinks import BatchFileSink
 
 # Name of the bronze stream's counters in its progress reports.
@@ -58,15 +59,18 @@ def await_done(query: StreamingQuery, timeout_s: float | None = None) -> Streami
     return query
 
 
-def clustered(rows: DataFrame, partition_by: list[str], files: int | None, spread_by: list[str]) -> DataFrame:
+def clustered(rows: DataFrame, partition_by: list[str], files: int | None, spread_by: list[str],
+              tasks: int | None = None) -> DataFrame:
     """Rows dealt so that a micro-batch writes at most ``files`` files into
     each partition folder (None leaves them where they are: every task then
     writes a file into every folder it has rows for).  A folder's rows are
-    split by a hash of ``spread_by``, so a hot hour has ``files`` writers."""
+    split by a hash of ``spread_by``, so a hot hour has ``files`` writers.
+    ``tasks``: as many writers whatever the size (else AQE gives a small batch
+    of many folders to one)."""
     if not files:
         return rows
     salt: Column = F.pmod(F.xxhash64(*spread_by), F.lit(files))
-    return rows.repartition(*[F.col(c) for c in partition_by], salt)
+    return rows.repartition(*([tasks] if tasks else []), *[F.col(c) for c in partition_by], salt)
 
 
 def start_bronze(messages: DataFrame, path: str, checkpoint: str,
@@ -89,6 +93,19 @@ def start_bronze(messages: DataFrame, path: str, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
+def start_bronze_hours(messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "available_now",
+                       files_per_partition: int | None = None) -> StreamingQuery:
+    """Message stream -> bronze hour folders with a manifest for each batch
+    (``streaming.incremental``), for loads that take what is new by manifest."""
+    require_utc(messages.sparkSession)
+    out = bronze.bronze_from_messages(messages).select(*[f.name for f in schemas.BRONZE.fields])
+    out = clustered(out, schemas.BRONZE_PARTITIONS, files_per_partition, ["symbol", "trade_time", "price"],
+                    out.sparkSession.sparkContext.defaultParallelism)
+    w = (out.writeStream.outputMode("append").foreachBatch(HourSink(path, checkpoint))
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()
+
+
 def start_silver(spark: SparkSession, bronze_path: str, path: str, checkpoint: str,
                  trigger: str | None = "available_now", processed_at=None,
                  delay: str = config.WATERMARK_DELAY, strict: bool = False,

@@ -1,0 +1,100 @@
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import trade, trades
+from tickforge.operators import envelope, history
+from tickforge.sources.streams import message_files
+from tickforge.streaming import deadletters, stages
+from tickforge.streaming.deadletters import SplitSink, committed, split, stored
+
+
+def messages(spark, rows, garbage=()):
+    out = envelope.keyed_json(trades(spark, rows))
+    return out.unionByName(spark.createDataFrame([(None, g) for g in garbage], "key string, value string")) if garbage else out
+
+
+def test_reasons(spark):
+    rows = [trade(), trade(price=None), trade(quantity=0.0), trade(price=2e6), {**trade(), "trade_time": 10 ** 18}, trade(symbol=None),
+            trade(at="2023-12-31 23:59:59")]
+    out = split(messages(spark, rows, ["{no", None, "[]", '{"a": 1}']), F.lit("2024-01-01").cast("timestamp")).collect()
+    reasons = sorted(str(r.reason) for r in out)
+    assert reasons == sorted(["None", "quality", "quality", "quality", "bad_time", "quality", "late"] + ["malformed"] * 4)
+    for r in out:
+        assert (r.outcome == "accepted") == (r.reason is None)
+        assert r.value is None if r.reason is None else r.value is not None or r.reason == "malformed"
+
+
+def land(spark, path, rows, garbage=()):
+    messages(spark, rows, garbage).coalesce(1).write.mode("append").json(f"{path}/landing")
+
+
+def run(spark, path):
+    stages.await_done(stages.start_split(message_files(spark, f"{path}/landing"), f"{path}/split", f"{path}/ckpt"))
+
+
+@pytest.mark.parametrize("fail", [False, True])
+def test_accepted_plus_rejected_is_the_input_after_a_replay(spark, fresh_dir, monkeypatch, fail):
+    """With ``fail`` the second batch is stored, but not committed, and replayed."""
+    land(spark, fresh_dir, [trade(at=f"2024-01-01 0{h}:00:00", trade_id=h) for h in range(5)], ["{broken"])
+    run(spark, fresh_dir)
+    second = [trade(at="2024-01-01 03:49:59", trade_id=20), trade(at="2024-01-01 03:50:00", trade_id=21), trade(at="2024-01-01 09:00:00", trade_id=22)]
+    land(spark, fresh_dir, second, ["oops", "{}"])
+    if fail:
+        real = deadletters.files.put
+        with monkeypatch.context() as m:
+            m.setattr(deadletters.files, "put", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(Exception, match="lost"):
+                run(spark, fresh_dir)
+        assert deadletters.files.put is real
+        assert stored(spark, f"{fresh_dir}/split", "accepted").count() == 5     # readers see committed batches
+    run(spark, fresh_dir)
+    path = f"{fresh_dir}/split"
+    good, bad = stored(spark, path, "accepted"), stored(spark, path, "rejected")
+    assert sorted(r.trade_id for r in good.collect()) == [0, 1, 2, 3, 4, 21, 22]
+    assert sorted((r.reason, r.trade_id or -1) for r in bad.collect()) == [("late", 20)] + [("malformed", -1)] * 3
+    assert {r.value for r in bad.where("reason = 'malformed'").collect()} == {"{broken", "oops", "{}"}
+    counts = [c for *_, c in committed(spark, path)]
+    assert sum(c["accepted"] + c["rejected"] for c in counts) == good.count() + bad.count() == 11
+    assert SplitSink(path, f"{fresh_dir}/ckpt").manifest("r", 3).endswith("/_manifests/r/0000000003.json")
+
+
+def test_nothing_stored(spark, fresh_dir):
+    assert stored(spark, fresh_dir, "accepted").count() == 0 == stored(spark, fresh_dir, "rejected").count()
+
+
+def test_scan_of_any_depth_and_schema(spark, fresh_dir):
+    base = spark.range(6).selectExpr("'S' as symbol", "cast(id as double) as price", "1.0d as quantity", "true as is_buyer_maker",
+                                     "timestamp_seconds(id) as trade_timestamp", "timestamp_seconds(id) as ingest_timestamp")
+    base.write.parquet(f"{fresh_dir}/top")
+    base.write.parquet(f"{fresh_dir}/x/year=2024/deep/er")
+    base.drop("ingest_timestamp").withColumn("extra", F.lit(1)).write.parquet(f"{fresh_dir}/x/fewer")
+    base.selectExpr("symbol", "cast(price as string) price", "quantity", "is_buyer_maker", "trade_timestamp").write.parquet(f"{fresh_dir}/y/text")
+    base.selectExpr("symbol as SYMBOL", "cast(price as decimal(10,2)) price", "quantity").write.parquet(f"{fresh_dir}/z")
+    spark.range(1).selectExpr("'word' as price").write.parquet(f"{fresh_dir}/zz")
+    for name in ("broken", "empty"):
+        os.makedirs(f"{fresh_dir}/{name}")
+        with open(f"{fresh_dir}/{name}/part-0.parquet", "wb") as f:
+            f.write(b"PAR1 not a footer" if name == "broken" else b"")
+    os.makedirs(f"{fresh_dir}/_temporary")
+    shutil.copy(f"{fresh_dir}/broken/part-0.parquet", f"{fresh_dir}/_temporary/part-9.parquet")
+    got = history.scan(spark, fresh_dir)
+    assert got.rows.count() == 31 and got.rows.columns == [f.name for f in history.schemas.SILVER.fields]
+    assert got.rows.where("price = 5").count() == 5 and got.rows.where("symbol = 'S'").count() == 30
+    assert got.rows.where("ingest_timestamp is null").count() == 19 and got.rows.where("price is null").count() == 1
+    faulty = [p for p, _ in got.faulty]
+    assert any("broken/part-0.parquet" in p for p in faulty) and all("broken" in p or "empty" in p for p in faulty)
+    assert len(got.shapes) >= 3 and all(why for _, why in got.faulty)
+
+
+def test_scan_of_one_shape_is_one_look(spark, fresh_dir, monkeypatch):
+    for k in range(6):
+        spark.range(3).selectExpr("'S' as symbol", f"{k} as v{k}").write.parquet(f"{fresh_dir}/p{k}")
+    looks = []
+    real = history._one_shape
+    monkeypatch.setattr(history, "_one_shape", lambda *a: looks.append(1) or real(*a))
+    assert history.scan(spark, fresh_dir).rows.count() == 18 and len(looks) == 1
+    os.makedirs(f"{fresh_dir}/none")
+    assert history.scan(spark, f"{fresh_dir}/none").rows.count() == 0

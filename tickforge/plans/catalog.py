@@ -20,7 +20,7 @@ from tickforge.session import library_session, run_dir
 from tickforge.sources import fixtures
 from tickforge.sources.ordered import with_position
 from tickforge.sources.streams import lake_table, landed_documents, message_files
-from tickforge.streaming import incremental, stages
+from tickforge.streaming import deadletters, incremental, stages
 from tickforge.streaming.sinks import BatchFileSink
 
 NEXT_LOAD_CLOCK = "2024-01-31 01:00:00"
@@ -276,6 +276,42 @@ def q_incremental_candles(spark, sf_dir):
     return medallion.merged_candles(spark, _delivered_twice(spark, sf_dir, "incremental-candles"), RUN_CLOCK)
 
 
+def _split_twice(spark, sf_dir, label):
+    """Two runs of the splitting sink; the second has late trades."""
+    lake = medallion.LakePaths(run_dir(spark, label))
+    rows = _trades(spark, sf_dir)
+    early = (F.col("trade_time") < F.unix_millis(F.lit(RESTART_DAY).cast("timestamp"))) & (F.col("trade_time") % LATE_EVERY != 0)
+    for part in (F.coalesce(early, F.lit(False)), ~F.coalesce(early, F.lit(False))):
+        envelope.keyed_json(rows.where(part)).write.mode("append").json(lake.landing)
+        stages.await_done(stages.start_split(message_files(spark, lake.landing), lake.bronze, lake.checkpoint("split")))
+    return lake.bronze
+
+
+def q_stream_dead_letters(spark, sf_dir):
+    """Rejected messages and why."""
+    return deadletters.stored(spark, _split_twice(spark, sf_dir, "dead-letters"), "rejected").select(
+        "symbol", "price", "quantity", "trade_time", "trade_id", "key", "reason")
+
+
+def q_stream_accepted(spark, sf_dir):
+    return deadletters.stored(spark, _split_twice(spark, sf_dir, "accepted"), "accepted")
+
+
+def q_history_recursive(spark, sf_dir):
+    """Silver files at several depths, with columns missing, added and of
+    other types, loaded into the history table in one scan."""
+    root = run_dir(spark, "history-tree")
+    rows = _silver(spark, sf_dir).drop(*schemas.SILVER_PARTITIONS).persist()
+    part = F.pmod(F.unix_millis("trade_timestamp"), F.lit(4))
+    shapes = {"a": lambda df: df, "a/b/c": lambda df: df.drop("ingest_timestamp").withColumn("venue", F.lit("x")),
+              "d/2024/01": lambda df: df.withColumn("price", F.col("price").cast("string")),
+              "e": lambda df: df.select("quantity", "price", "symbol", "trade_timestamp", "is_buyer_maker", "ingest_timestamp")}
+    for k, (folder, shape) in enumerate(shapes.items()):
+        shape(rows.where(part == k)).write.parquet(f"{root}/{folder}/rows")
+    rows.unpersist()
+    return history.history_rows(history.scan(spark, root).rows)
+
+
 def _stream_silver(spark, sf_dir, label, first_seen):
     """Landed messages -> bronze stream -> silver stream; the committed silver."""
     lake = medallion.LakePaths(run_dir(spark, label))
@@ -399,6 +435,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overview_from_states": q_overview_from_states,
     "incremental_silver": q_incremental_silver,
     "incremental_candles": q_incremental_candles,
+    "stream_dead_letters": q_stream_dead_letters,
+    "stream_accepted": q_stream_accepted,
+    "history_recursive": q_history_recursive,
     "lake_market_overview": _lake_mart("mart_market_overview"),
     "lake_ohlc_summary": _lake_mart("mart_ohlc_summary"),
     "lake_pipeline_health": _lake_mart("mart_pipeline_health"),

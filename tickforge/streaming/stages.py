@@ -18,6 +18,7 @@ from tickforge import config, schemas
 from tickforge.operators import bronze, candles, partials, silver
 from tickforge.session import library_session, require_utc
 from tickforge.sources.streams import lake_stream
+from tickforge.streaming.deadletters import SplitSink
 from tickforge.streaming.incremental import HourSink
 from tickforge.streaming.sinks import BatchFileSink
 
@@ -106,6 +107,16 @@ def start_bronze_hours(messages: DataFrame, path: str, checkpoint: str, trigger:
     return _trigger(w, trigger).start()
 
 
+def start_split(messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "available_now",
+                delay: str = config.WATERMARK_DELAY) -> StreamingQuery:
+    """Message stream -> accepted rows and dead letters
+    (``streaming.deadletters``)."""
+    require_utc(messages.sparkSession)
+    w = (messages.writeStream.outputMode("append").foreachBatch(SplitSink(path, checkpoint, delay))
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()
+
+
 def start_silver(spark: SparkSession, bronze_path: str, path: str, checkpoint: str,
                  trigger: str | None = "available_now", processed_at=None,
                  delay: str = config.WATERMARK_DELAY, strict: bool = False,

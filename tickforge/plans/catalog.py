@@ -283,7 +283,8 @@ def _split_twice(spark, sf_dir, label):
     early = (F.col("trade_time") < F.unix_millis(F.lit(RESTART_DAY).cast("timestamp"))) & (F.col("trade_time") % LATE_EVERY != 0)
     for part in (F.coalesce(early, F.lit(False)), ~F.coalesce(early, F.lit(False))):
         envelope.keyed_json(rows.where(part)).write.mode("append").json(lake.landing)
-        stages.await_done(stages.start_split(message_files(spark, lake.landing), lake.bronze, lake.checkpoint("split")))
+        stages.await_done(stages.start_split(message_files(spark, lake.landing), lake.bronze, lake.checkpoint("split"),
+                                             files_per_partition=1))
     return lake.bronze
 
 

@@ -22,7 +22,7 @@ from tickforge import config, schemas
 from tickforge.operators.bronze import add_time_parts
 from tickforge.operators.silver import quality_predicate
 from tickforge.sources import files
-from tickforge.streaming.sinks import query_id
+from tickforge.streaming.sinks import clustered, query_id
 
 _TRADE = [f.name for f in schemas.BRONZE.fields]
 SPLIT = StructType([*schemas.BRONZE.fields]).add("key", "string").add("value", "string").add("reason", "string").add("outcome", "string")
@@ -45,10 +45,11 @@ def split(messages: DataFrame, late_before: Column | None = None) -> DataFrame:
 
 
 class SplitSink:
-    """Folders ``run=/batch=/outcome=/year=/month=/day=/hour=`` under ``path``."""
+    """Folders ``run=/batch=/outcome=/year=/month=/day=/hour=`` under ``path``;
+    ``files``: most files in a folder (None: one for each task with rows of it)."""
 
-    def __init__(self, path: str, checkpoint: str, delay: str = config.WATERMARK_DELAY):
-        self.path, self.checkpoint, self.delay = path.rstrip("/"), checkpoint, delay
+    def __init__(self, path: str, checkpoint: str, delay: str = config.WATERMARK_DELAY, files: int | None = None):
+        self.path, self.checkpoint, self.delay, self.files = path.rstrip("/"), checkpoint, delay, files
 
     def manifest(self, run: str, batch: int) -> str:
         return f"{self.path}/_manifests/{run}/{batch:010d}.json"
@@ -62,8 +63,11 @@ class SplitSink:
         rows = split(messages, late).observe(
             seen, F.count(F.when(accepted, 1)).alias("accepted"), F.count(F.when(~accepted, 1)).alias("rejected"),
             F.max(F.when(accepted, F.col("trade_time"))).alias("latest"))
-        rows.write.mode("overwrite").partitionBy("outcome", *schemas.BRONZE_PARTITIONS).parquet(
-            f"{self.path}/run={run}/batch={batch_id}")
+        folders = ["outcome", *schemas.BRONZE_PARTITIONS]
+        rows = clustered(rows, folders, self.files, ["symbol", "trade_time", "price"], spark.sparkContext.defaultParallelism)
+        # files are moved once: nobody looks into the folder before its manifest is there
+        rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2") \
+            .partitionBy(*folders).parquet(f"{self.path}/run={run}/batch={batch_id}")
         got = dict(seen.get)
         got["latest"] = max((x for x in (got["latest"], before) if x is not None), default=None)
         files.put(spark, self.manifest(run, batch_id), json.dumps(got))

@@ -20,7 +20,7 @@ from tickforge.session import library_session, require_utc
 from tickforge.sources.streams import lake_stream
 from tickforge.streaming.deadletters import SplitSink
 from tickforge.streaming.incremental import HourSink
-from tickforge.streaming.sinks import BatchFileSink
+from tickforge.streaming.sinks import BatchFileSink, clustered
 
 # Name of the bronze stream's counters in its progress reports.
 BRONZE_COUNTS = "bronze_quality"
@@ -60,20 +60,6 @@ def await_done(query: StreamingQuery, timeout_s: float | None = None) -> Streami
     return query
 
 
-def clustered(rows: DataFrame, partition_by: list[str], files: int | None, spread_by: list[str],
-              tasks: int | None = None) -> DataFrame:
-    """Rows dealt so that a micro-batch writes at most ``files`` files into
-    each partition folder (None leaves them where they are: every task then
-    writes a file into every folder it has rows for).  A folder's rows are
-    split by a hash of ``spread_by``, so a hot hour has ``files`` writers.
-    ``tasks``: as many writers whatever the size (else AQE gives a small batch
-    of many folders to one)."""
-    if not files:
-        return rows
-    salt: Column = F.pmod(F.xxhash64(*spread_by), F.lit(files))
-    return rows.repartition(*([tasks] if tasks else []), *[F.col(c) for c in partition_by], salt)
-
-
 def start_bronze(messages: DataFrame, path: str, checkpoint: str,
                  trigger: str | None = "available_now", name: str | None = None,
                  files_per_partition: int | None = None) -> StreamingQuery:
@@ -108,11 +94,12 @@ def start_bronze_hours(messages: DataFrame, path: str, checkpoint: str, trigger:
 
 
 def start_split(messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "available_now",
-                delay: str = config.WATERMARK_DELAY) -> StreamingQuery:
+                delay: str = config.WATERMARK_DELAY, files_per_partition: int | None = None) -> StreamingQuery:
     """Message stream -> accepted rows and dead letters
     (``streaming.deadletters``)."""
     require_utc(messages.sparkSession)
-    w = (messages.writeStream.outputMode("append").foreachBatch(SplitSink(path, checkpoint, delay))
+    w = (messages.writeStream.outputMode("append")
+         .foreachBatch(SplitSink(path, checkpoint, delay, files_per_partition))
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 

@@ -69,7 +69,7 @@ def test_redelivery_through_a_new_checkpoint_adds_nothing(spark, fresh_dir):
     for checkpoint in ("a", "b"):
         land(spark, lake, rows)
         medallion.run_incremental(spark, lake, CLOCK, checkpoint)
-    assert incremental.done(spark, lake.silver)[0] == 2
+    assert incremental.done(spark, lake.silver).number == 2
     same_as_batch(spark, lake, rows)
     late = trade(symbol="S0", price=50.0, trade_id=7, at="2024-01-01 01:00:30")
     land(spark, lake, [late])
@@ -84,17 +84,12 @@ def test_a_failed_load_is_written_again(spark, fresh_dir, monkeypatch, step):
     land(spark, lake, first)
     medallion.run_incremental(spark, lake, CLOCK)
     land(spark, lake, second)
-    real = incremental.files.put
 
-    def broken(spark_, path, text):
-        if path.endswith(".done") and step == "done":
-            raise OSError("lost")
-        real(spark_, path, text)
+    def broken(*a):
+        raise OSError("lost")
 
     with monkeypatch.context() as m:
-        m.setattr(incremental.files, "put", broken)
-        if step == "write":
-            m.setattr(incremental, "not_stored", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        m.setattr(incremental, {"write": "not_stored", "done": "_mark"}[step], broken)
         with pytest.raises(OSError, match="lost"):
             medallion.run_incremental(spark, lake, CLOCK)
     assert incremental.silver_rows(spark, lake.silver).count() == len(first)     # readers see what is done
@@ -131,3 +126,48 @@ def test_messages_without_a_time_are_loaded_by_none(spark, fresh_dir):
     assert medallion.run_incremental(spark, lake, CLOCK) == 1
     assert incremental.silver_rows(spark, lake.silver).count() == 0
     assert medallion.merged_candles(spark, lake, CLOCK).count() == 0
+
+
+def stored_files(lake):
+    return {f"{d}/{f}" for d, _, names in os.walk(lake.silver) for f in names if f.endswith(".parquet") and "/_" not in d}
+
+
+def test_compaction_keeps_rows_and_bounds_files(spark, fresh_dir):
+    """Loads go on after it; readers that have opened the table before it go on."""
+    lake, every = medallion.LakePaths(fresh_dir), []
+    for k in (1, 2, 3, 4, 30, 31):
+        every += hour(k)
+        land(spark, lake, hour(k))
+        medallion.run_incremental(spark, lake, CLOCK)
+    assert medallion.compact_silver(spark, lake, least_files=100) == []
+    reader = incremental.silver_rows(spark, lake.silver)
+    before = stored_files(lake)
+    assert medallion.compact_silver(spark, lake, least_files=4) == ["2024-01-01"]       # the newest day is open
+    new = stored_files(lake) - before
+    assert len(new) == 1 and before < stored_files(lake)
+    same_as_batch(spark, lake, every)
+    assert reader.count() == len(every)
+    late = trade(symbol="S0", price=77.0, trade_id=5, at="2024-01-01 02:00:30")
+    land(spark, lake, [late, *hour(2), *hour(55)])
+    assert medallion.run_incremental(spark, lake, CLOCK) == 8
+    every += [late, *hour(55)]
+    same_as_batch(spark, lake, every)
+    assert medallion.compact_silver(spark, lake, least_files=1, file_bytes=1 << 30) == ["2024-01-01", "2024-01-02"]
+    assert not before & {f for f in stored_files(lake) if "day=1/" in f}    # hidden since the first compaction
+    same_as_batch(spark, lake, every)
+    assert medallion.run_incremental(spark, lake, CLOCK) is None
+
+
+def test_a_failed_compaction_changes_nothing(spark, fresh_dir, monkeypatch):
+    lake = medallion.LakePaths(fresh_dir)
+    for k in (1, 2, 30):
+        land(spark, lake, hour(k))
+        medallion.run_incremental(spark, lake, CLOCK)
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "_mark", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            medallion.compact_silver(spark, lake, least_files=1)
+    same_as_batch(spark, lake, hour(1) + hour(2) + hour(30))
+    land(spark, lake, hour(55))         # another day, under the number of the failed compaction
+    medallion.run_incremental(spark, lake, CLOCK)
+    same_as_batch(spark, lake, hour(1) + hour(2) + hour(30) + hour(55))

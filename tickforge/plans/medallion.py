@@ -206,12 +206,21 @@ def run_incremental(spark: SparkSession, lake: LakePaths, processed_at=None, che
     states = partials.stored(spark, lake.partials)
     number = incremental.load_silver(spark, lake.bronze, lake.silver, processed_at)
     # also loads that a run before has left without their candles
-    for n in range(states.commit().applied.get("silver", 0) + 1, incremental.done(spark, lake.silver)[0] + 1):
-        rows = incremental.silver_rows(spark, lake.silver, n).where(F.col("load") == n)
+    for n in incremental.loads_between(spark, lake.silver, states.commit().applied.get("silver", 0)):
+        rows = incremental.silver_rows(spark, lake.silver).where(F.col("load") == n)
         states.merge(partials.partial_candles(rows), partials.merge, ("silver", n))
     return number
 
 
+def compact_silver(spark: SparkSession, lake: LakePaths, **how) -> list[str]:
+    """Compact the closed days of the silver loads, once the candle states have
+    all of them (``incremental.compact``)."""
+    spark = library_session(spark)
+    if incremental.loads_between(spark, lake.silver, partials.stored(spark, lake.partials).commit().applied.get("silver", 0)):
+        return []
+    return incremental.compact(spark, lake.silver, **how)
+
+
 def run_streaming(spark: SparkSession, lake: LakePaths, processed_at=None,
                   timeout_s: float | None = None,
                   state_partitions: int | None = None, first_seen: bool = True,

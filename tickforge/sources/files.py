@@ -23,6 +23,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def sizes(spark: SparkSession, path: str, ending: str) -> list[int]:
+    """Lengths of a folder's files with names that end so."""
+    p, fs = _fs(spark, path)
+    return [x.getLen() for x in fs.listStatus(p) if x.getPath().getName().endswith(ending)]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.delete(p, True)

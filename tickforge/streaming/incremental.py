@@ -13,6 +13,12 @@ message that is delivered again after any time, or through a new checkpoint,
 adds no row.  Within a load the first arrival is kept, between loads the one
 that was loaded first.
 
+``compact`` rewrites closed days, whose loads have left many small files, as few
+files of about one size.  It is a load of its own that holds the day anew; the
+file that marks it as done also hides the day's loads before it, so readers see
+either.  The hidden folders are deleted by the compaction after it, and loads
+go on as before.
+
 A load is planned before it is written (which batches), written into folders
 of its own number, and then marked as done.  After a failure the same plan is
 written again over what there is, and readers (``silver_rows``) see loads that
@@ -22,6 +28,7 @@ are done only.  One loader works on a lake at a time.
 from __future__ import annotations
 
 import json
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,28 +96,113 @@ def bronze_batches(spark: SparkSession, path: str, batches: dict[str, list[int]]
 SILVER_LOADED = StructType([*schemas.SILVER.fields]).add("load", "long")
 
 
-def done(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
-    """Number of the last load that is done, and the last batch of each run in it."""
+@dataclass
+class Done:
+    """The last load that is done, the last batch of each run in it, days whose
+    loads up to a number are replaced, and loads that are compactions."""
+    number: int = 0
+    taken: dict[str, int] = field(default_factory=dict)
+    hidden: dict[str, int] = field(default_factory=dict)
+    compactions: list[int] = field(default_factory=list)
+
+
+def done(spark: SparkSession, path: str) -> Done:
     numbers = [int(n[:-5]) for n in files.names(spark, f"{path}/_loads") if n.endswith(".done")]
     if not numbers:
-        return 0, {}
-    return max(numbers), json.loads(files.read(spark, f"{path}/_loads/{max(numbers):010d}.done"))
+        return Done()
+    return Done(max(numbers), **json.loads(files.read(spark, f"{path}/_loads/{max(numbers):010d}.done")))
 
 
-def silver_rows(spark: SparkSession, path: str, last: int | None = None, days: list[tuple] | None = None) -> DataFrame:
-    """Rows of the loads that are done (up to ``last``), with their load's
-    number; ``days``: (year, month, day) to read."""
-    last = done(spark, path)[0] if last is None else last
-    if not last:
+def _mark(spark: SparkSession, path: str, state: Done) -> None:
+    """Commit a load; the newest mark is all that is needed."""
+    kept = {k: v for k, v in asdict(state).items() if k != "number"}
+    if not files.put_if_absent(spark, f"{path}/_loads/{state.number:010d}.done", json.dumps(kept)):
+        raise RuntimeError(f"load {state.number} of {path} is done already: two loaders at once")
+    for old in files.names(spark, f"{path}/_loads"):
+        if old[:10].isdigit() and int(old[:10]) < state.number:
+            files.delete(spark, f"{path}/_loads/{old}")
+
+
+def _day_folder(path: str, year: int, month: int, day: int) -> str:
+    return f"{path}/year={year}/month={month}/day={day}"
+
+
+def silver_rows(spark: SparkSession, path: str, state: Done | None = None, days: list[tuple] | None = None) -> DataFrame:
+    """Rows of the loads that are done, with their load's number; ``days``:
+    (year, month, day) to read."""
+    state = done(spark, path) if state is None else state
+    if not state.number:
         return spark.createDataFrame([], SILVER_LOADED)
-    if days is None:
-        rows = spark.read.schema(SILVER_LOADED).parquet(path)
-    else:
-        there = [p for y, m, d in days if files.exists(spark, p := f"{path}/year={y}/month={m}/day={d}")]
+    there = [path]
+    if days is not None:
+        there = [p for d in days if files.exists(spark, p := _day_folder(path, *d))]
         if not there:
             return spark.createDataFrame([], SILVER_LOADED)
-        rows = spark.read.schema(SILVER_LOADED).option("basePath", path).parquet(*there)
-    return rows.where(F.col("load") <= last)
+    rows = spark.read.schema(SILVER_LOADED).option("basePath", path).parquet(*there).where(F.col("load") <= state.number)
+    for day, before in state.hidden.items():
+        y, m, d = map(int, day.split("-"))
+        rows = rows.where(~((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d) & (F.col("load") <= before)))
+    return rows
+
+
+#: Stands in a plan for a compaction.
+COMPACT = "compact"
+
+
+def _planned(spark: SparkSession, path: str, number: int) -> dict[str, list[int]] | None:
+    """The batches of a load that was begun.  What a failed compaction has
+    written under its number is deleted."""
+    plan = f"{path}/_loads/{number:010d}.plan"
+    if not files.exists(spark, plan):
+        return None
+    held = json.loads(files.read(spark, plan))
+    if COMPACT not in held:
+        return held
+    for day in held[COMPACT]:
+        files.delete(spark, f"{_day_folder(path, *day)}/load={number}")
+    files.delete(spark, plan)
+    return None
+
+
+def compact(spark: SparkSession, path: str, up_to: int | None = None, open_days: int = 1, least_files: int = 8,
+            file_bytes: int = 128 << 20, max_days: int = 31) -> list[str]:
+    """Rewrite days that have at least ``least_files`` files of an average size
+    below half of ``file_bytes``, except the ``open_days`` newest; at most
+    ``max_days`` in a run, the oldest first.  ``up_to``: the last load whose rows
+    nobody needs by its number any more (default: all).  Returns the days."""
+    state = done(spark, path)
+    up_to = state.number if up_to is None else up_to
+    if not state.number or up_to < state.number or _planned(spark, path, state.number + 1):
+        return []
+    for day, before in state.hidden.items():  # readers of the last compaction have had their time
+        folder = _day_folder(path, *map(int, day.split("-")))
+        for n in files.names(spark, folder):
+            if n.startswith("load=") and int(n[5:]) <= before:
+                files.delete(spark, f"{folder}/{n}")
+    days = [tuple(int(p.split("=")[1]) for p in (y, m, d))
+            for y in files.names(spark, path) if y.startswith("year=")
+            for m in files.names(spark, f"{path}/{y}") if m.startswith("month=")
+            for d in files.names(spark, f"{path}/{y}/{m}") if d.startswith("day=")]
+    chosen = []
+    for day in sorted(days)[:len(days) - open_days if open_days else None]:
+        loads = [n for n in files.names(spark, _day_folder(path, *day)) if n.startswith("load=") and int(n[5:]) <= state.number]
+        sizes = [s for n in loads for s in files.sizes(spark, f"{_day_folder(path, *day)}/{n}", ".parquet")]
+        if len(sizes) >= least_files and sum(sizes) < len(sizes) * file_bytes / 2 and len(chosen) < max_days:
+            chosen.append((day, -(-sum(sizes) // file_bytes)))
+    if not chosen:
+        return []
+    number = state.number + 1
+    files.put(spark, f"{path}/_loads/{number:010d}.plan", json.dumps({COMPACT: [day for day, _ in chosen]}))
+    parts = None
+    for day, n in chosen:  # a day's rows in n files, by time
+        rows = silver_rows(spark, path, state, [day]).drop("load")
+        rows = rows.repartitionByRange(n, "trade_timestamp", "symbol", "price").sortWithinPartitions("trade_timestamp")
+        parts = rows if parts is None else parts.unionByName(rows)
+    parts.withColumn("load", F.lit(number).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(*schemas.SILVER_PARTITIONS, "load").parquet(path)
+    names = [f"{y:04d}-{m:02d}-{d:02d}" for (y, m, d), _ in chosen]
+    _mark(spark, path, Done(number, state.taken, {d: state.number for d in names}, [*state.compactions, number]))
+    return names
 
 
 def not_stored(incoming: DataFrame, stored: DataFrame, key: list[str]) -> DataFrame:
@@ -124,30 +216,31 @@ def not_stored(incoming: DataFrame, stored: DataFrame, key: list[str]) -> DataFr
 
 def load_silver(spark: SparkSession, bronze: str, path: str, processed_at=None, strict: bool = False) -> int | None:
     """Load the bronze batches that are new; the load's number, None without any."""
-    last, taken = done(spark, path)
-    number = last + 1
-    plan = f"{path}/_loads/{number:010d}.plan"
-    if files.exists(spark, plan):  # a load that has failed: the same batches again
-        batches = json.loads(files.read(spark, plan))
-    else:
-        batches = new_batches(spark, bronze, taken)
+    state = done(spark, path)
+    number = state.number + 1
+    batches = _planned(spark, path, number)  # a load that has failed: the same batches again
+    if not batches:
+        batches = new_batches(spark, bronze, state.taken)
         if not batches:
             return None
-        files.put(spark, plan, json.dumps(batches))
+        files.put(spark, f"{path}/_loads/{number:010d}.plan", json.dumps(batches))
     rows, days = bronze_batches(spark, bronze, batches)
     own = f"{path}/_work/{number:010d}"
     fresh = silver.dedupe(silver.normalize(silver.clean(rows, strict)))
     fresh.write.mode("overwrite").parquet(own)  # joined twice: once against the stored days, once against what that finds
     incoming = spark.read.schema(fresh.schema).parquet(own)
-    new = not_stored(incoming, silver_rows(spark, path, last, days), config.DEDUPE_KEY)
+    new = not_stored(incoming, silver_rows(spark, path, state, days), config.DEDUPE_KEY)
     out = silver.add_date_parts(silver.enrich(new, processed_at).select(*silver.SILVER_ORDER)) \
         .withColumn("load", F.lit(number).cast("long")).hint("rebalance", *schemas.SILVER_PARTITIONS)
     # what a failed attempt has left of this load has the same folders: same batches, same stored loads
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(*schemas.SILVER_PARTITIONS, "load").parquet(path)
     files.delete(spark, own)
-    files.put(spark, f"{path}/_loads/{number:010d}.done", json.dumps(taken | {r: n[-1] for r, n in batches.items()}))
-    for old in files.names(spark, f"{path}/_loads"):  # the newest is all that is needed
-        if int(old[:10]) < number:
-            files.delete(spark, f"{path}/_loads/{old}")
+    _mark(spark, path, Done(number, state.taken | {r: n[-1] for r, n in batches.items()}, state.hidden, state.compactions))
     return number
+
+
+def loads_between(spark: SparkSession, path: str, after: int) -> list[int]:
+    """Loads with new rows after a number."""
+    state = done(spark, path)
+    return [n for n in range(after + 1, state.number + 1) if n not in state.compactions]

@@ -20,7 +20,7 @@ from tickforge.session import library_session, run_dir
 from tickforge.sources import fixtures
 from tickforge.sources.ordered import with_position
 from tickforge.sources.streams import lake_table, landed_documents, message_files
-from tickforge.streaming import deadletters, incremental, stages
+from tickforge.streaming import deadletters, incremental, stages, state
 from tickforge.streaming.sinks import BatchFileSink
 
 NEXT_LOAD_CLOCK = "2024-01-31 01:00:00"
@@ -190,6 +190,12 @@ def q_stream_gold_sink(spark, sf_dir):
     return _run_gold(spark, _written_silver(spark, sf_dir, "stream-gold"))
 
 
+def q_stream_live_candles(spark, sf_dir):
+    """Emitted candles and the open windows in the stream's state."""
+    lake = _written_silver(spark, sf_dir, "stream-live")
+    return state.live_candles(_run_gold(spark, lake), lake.checkpoint("gold"), RUN_CLOCK)
+
+
 def _two_loads(spark, sf_dir, label):
     """A silver lake that grows: (lake, add the first part, add the rest)."""
     whole = lake_table(spark, _written_silver(spark, sf_dir, f"{label}-all").silver)
@@ -439,6 +445,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dead_letters": q_stream_dead_letters,
     "stream_accepted": q_stream_accepted,
     "history_recursive": q_history_recursive,
+    "stream_live_candles": q_stream_live_candles,
     "lake_market_overview": _lake_mart("mart_market_overview"),
     "lake_ohlc_summary": _lake_mart("mart_ohlc_summary"),
     "lake_pipeline_health": _lake_mart("mart_pipeline_health"),

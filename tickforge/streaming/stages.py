@@ -127,8 +127,14 @@ def start_silver(spark: SparkSession, bronze_path: str, path: str, checkpoint: s
 
 def gold_candles(spark: SparkSession, silver_path: str, width: str = config.CANDLE_WIDTH,
                  delay: str = config.WATERMARK_DELAY, ingested_at=None,
-                 state_partitions: int | None = None) -> DataFrame:
+                 state_partitions: int | None = None, since=None) -> DataFrame:
+    """The candle stream; ``since`` (``state.resume_point``) lets a stream on
+    a new checkpoint begin where another one has emitted everything before.
+    Days before it are pruned by their folders."""
     src = lake_stream(stage_session(spark, state_partitions), silver_path, schemas.SILVER)
+    if since is not None:
+        at = F.lit(since).cast("timestamp")
+        src = src.where((F.make_date("year", "month", "day") >= F.to_date(at)) & (F.col("trade_timestamp") >= at))
     return candles.candles_stream(src, width, delay, ingested_at)
 
 

@@ -1,11 +1,12 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 
 from brute import sha
 from tickforge.llm import suffix_dedup
-from tickforge.llm.suffix_dedup import block_order, remove_repeats
+from tickforge.llm.suffix_dedup import block_order, remove_repeats, smallest_owners
 
 
 def brute(docs, length=50):
@@ -86,3 +87,44 @@ def test_odd_rows(spark):
     assert out == sorted([(3, 63, 0, 0, t.encode()), (3, 63, 0, 0, t.encode()), (None, 65, 63, 1, "é".encode()),
                           (None, 0, 0, 0, b""), (2, 0, 0, 0, b"")], key=str)
     assert remove_repeats(df.limit(0)).count() == 0
+
+
+def hot_runs(n, seed):
+    """Runs of one minimizer in the middle; some share what stands around it."""
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(50, 77, n)
+    before, after = rng.integers(97, 123, (40, 26), np.uint8), rng.integers(97, 123, (40, 26), np.uint8)
+    anchor = rng.integers(97, 123, 24, np.uint8)
+    rows = np.concatenate([before[rng.integers(0, 40, n)], np.tile(anchor, (n, 1)), after[rng.integers(0, 40, n)]], axis=1)
+    other = rng.random(n) < 0.7
+    rows[other, 50 + rng.integers(0, 26, other.sum())] = rng.integers(65, 91, other.sum(), np.uint8)
+    data = np.concatenate([r[:s] for r, s in zip(rows, sizes)])
+    return np.full(n, 7, np.uint64), rng.integers(0, n // 2, n), sizes, data
+
+
+@pytest.mark.parametrize("block", [500, 5000, 60_000])
+def test_one_hot_minimizer_equals_every_suffix(block):
+    prints, owners, sizes, data = hot_runs(600, block)
+    text, begins = data.tobytes(), np.cumsum(sizes) - sizes
+    least = {}
+    for o, s, b in zip(owners.tolist(), sizes.tolist(), begins.tolist()):
+        for k in range(s - 49):
+            key = text[b + k:b + k + 50]
+            least[key] = min(least.get(key, o), o)
+    want = [sum((least[text[b + k:b + k + 50]] < o) << k for k in range(s - 49))
+            for o, s, b in zip(owners.tolist(), sizes.tolist(), begins.tolist())]
+    assert sum(map(bool, want)) > 100
+    assert smallest_owners(prints, owners, sizes, data, 50, block).tolist() == want
+
+
+def test_memory_of_a_hot_minimizer_is_bounded():
+    """100,000 distinct runs: what a run adds is its suffixes' hashes and
+    numbers, under 1.5 KB; a block is as small as ever."""
+    args = hot_runs(100_000, 1)
+    tracemalloc.start()
+    try:
+        smallest_owners(*args, 50)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 100_000 * 1500 + 250 * (1 << 20)

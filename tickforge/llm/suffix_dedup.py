@@ -26,7 +26,11 @@ run is sent as one short string (the run's suffixes, cut at LENGTH bytes).
 difference cover modulo ``PERIOD`` are ranked first; all suffixes are sorted by
 their first PERIOD bytes, and ties are resolved by comparing ranks: for any two
 positions some shift under PERIOD takes both into the cover.  A tie of any
-length thus costs one look, and memory is the block's, not the corpus's.
+length thus costs one look.  A block's arrays take about 120 bytes a byte.  One
+minimizer with more than a block of distinct runs (a common line of 24 to 49
+bytes, each time with other text around it) is divided by what follows
+(``_hot_minimizer``), so no block is larger.  What a task holds besides are its
+bucket's distinct runs: some 200 bytes each, 1 KB where the minimizer is hot.
 
 A null text is empty.  Rows with one id never remove each other's bytes.  Null
 ids come last and count as one id.  Repeated rows stay.  Texts shorter than
@@ -52,7 +56,7 @@ LENGTH = 50
 ANCHOR = 24
 CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20
-BLOCK_SUFFIXES = 1 << 18
+BLOCK_BYTES = 1 << 20
 #: {0, 1, 3, 9} is a perfect difference set modulo 13.
 PERIOD, COVER = 13, (0, 1, 3, 9)
 
@@ -286,7 +290,72 @@ def _send_runs(bits, length, anchor):
     return run
 
 
-def smallest_owners(prints, owners, sizes, data, length, block=BLOCK_SUFFIXES):
+def _smaller_owners(text, ends, suffixes, owners, length, longest):
+    """For each suffix (ascending positions): the smallest owner of the same
+    first ``length`` bytes, by ``block_order``."""
+    positions, classes = block_order(text, ends, suffixes, length, longest)
+    of = np.searchsorted(suffixes, positions)
+    heads = cuts(classes)
+    least = np.empty(len(suffixes), np.int64)
+    least[of] = np.repeat(np.minimum.reduceat(owners[of], heads[:-1]), np.diff(heads))
+    return least, of, heads
+
+
+def _gathered(data, at, size):
+    """The bytes of strings (positions, sizes) end to end, and their begins."""
+    begins = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
+    return data[np.arange(size.sum()) + np.repeat(at - begins, size)], begins
+
+
+def _hot_minimizer(data, starts, counts, owners, length, block):
+    """(run, place in it) of the suffixes that also stand in a smaller
+    document, for the runs of one minimizer that has more than a block.
+
+    Suffixes are told apart by a hash of all their ``length`` bytes; those
+    whose hash no other one has are done.  The others are dealt into parts of a
+    block's worth of hashes, and a part is taken in ascending order of owner,
+    a block at a time, with one suffix of each class seen so far in front: the
+    first owner of a class is its smallest."""
+    words = -(-length // 8)
+    padded = np.concatenate([data, np.zeros(8 * words + 8, np.uint8)])
+    runs = np.repeat(np.arange(len(starts), dtype=np.int32), counts)
+    within = (np.arange(len(runs)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint8)
+    h = np.empty(len(runs), U64)
+    for a in range(0, len(runs), 1 << 16):
+        part = slice(a, a + (1 << 16))
+        at, own = starts[runs[part]] + within[part], np.zeros(len(runs[part]), U64)
+        for w in masked_words(padded, at, np.full(len(at), length), words):
+            own = mix(own + w)
+        h[part] = own
+    ranked = np.sort(h)
+    repeated = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
+    del ranked
+    if not len(repeated):
+        return runs[:0], within[:0]
+    place = np.minimum(np.searchsorted(repeated, h), len(repeated) - 1)
+    some = np.flatnonzero(repeated[place] == h)
+    per = max(1, block // length)  # suffixes of a block
+    part = place[some] // per
+    some = some[np.lexsort([owners[runs[some]], part])]
+    part = np.sort(part)
+    gone = np.zeros(len(some), bool)
+    edges = cuts(part)
+    for a, b in zip(edges, edges[1:]):
+        seen_at, seen_owner = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for low in range(a, b, per):
+            own = some[low:min(low + per, b)]
+            at = np.concatenate([seen_at, starts[runs[own]] + within[own]])
+            owner = np.concatenate([seen_owner, owners[runs[own]]])
+            size = np.full(len(at), length)
+            text, begins = _gathered(data, at, size)
+            least, of, heads = _smaller_owners(text, np.repeat(begins + length, length), begins, owner, length, length)
+            gone[low:low + len(own)] = (least < owner)[len(seen_at):]
+            one = of[heads[:-1]]
+            seen_at, seen_owner = at[one], least[one]
+    return runs[some[gone]], within[some[gone]]
+
+
+def smallest_owners(prints, owners, sizes, data, length, block=BLOCK_BYTES):
     """For each run, a bit mask of its suffixes that also stand in a document
     with a smaller id than the run's owner."""
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
@@ -299,25 +368,27 @@ def smallest_owners(prints, owners, sizes, data, length, block=BLOCK_SUFFIXES):
     if not len(order):
         return mask
     cut = cuts(prints[order])
-    totals = np.add.reduceat(counts[order], cut[:-1])
-    block_of = np.cumsum(totals) // block  # minimizers in blocks of bounded size
-    edges = cuts(block_of)
+    totals = np.add.reduceat(sizes[order], cut[:-1])
+    hot = totals > block
+    for g in np.flatnonzero(hot):
+        runs = order[cut[g]:cut[g + 1]]
+        run, within = _hot_minimizer(data, starts[runs], counts[runs], owners[runs], length, block)
+        np.bitwise_or.at(mask, runs[run], U64(1) << within.astype(U64))
+    order = order[np.repeat(~hot, np.diff(cut))]
+    if not len(order):
+        return mask
+    cut = cuts(prints[order])
+    edges = cuts(np.cumsum(totals[~hot]) // block)  # minimizers in blocks of bounded size
     for a, b in zip(edges, edges[1:]):
         runs = order[cut[a]:cut[b]]
         size, count = sizes[runs], counts[runs]
-        begins = np.concatenate([[0], np.cumsum(size)[:-1]])
-        text = data[np.arange(size.sum()) + np.repeat(starts[runs] - begins, size)]
-        ends = np.repeat(begins + size, size)
+        text, begins = _gathered(data, starts[runs], size)
         within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         run_of = np.repeat(np.arange(len(runs)), count)
-        suffixes = within + begins[run_of]
-        positions, classes = block_order(text, ends, suffixes, length, int(size.max()))
-        of = np.searchsorted(begins, positions, "right") - 1
-        owner = owners[runs][of]
-        heads = cuts(classes)
-        least = np.repeat(np.minimum.reduceat(owner, heads[:-1]), np.diff(heads))
-        gone = least < owner
-        np.bitwise_or.at(mask, runs[of[gone]], U64(1) << (positions[gone] - begins[of[gone]]).astype(U64))
+        least, *_ = _smaller_owners(text, np.repeat(begins + size, size), within + begins[run_of], owners[runs][run_of],
+                                    length, int(size.max()))
+        gone = least < owners[runs][run_of]
+        np.bitwise_or.at(mask, runs[run_of[gone]], U64(1) << within[gone].astype(U64))
     return mask
 
 

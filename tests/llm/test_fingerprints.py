@@ -81,3 +81,16 @@ def test_many_ids_in_one_range(spark):
         assert len(rows) == n
         docs = [(r.doc_id, r.text) for r in df.collect()]
         assert {(r.doc_id, r.edited_sha256) for r in rows} == {(w[0], w[2]) for w in brute(docs)}
+
+
+def test_the_plan_does_not_grow_with_the_partitions(spark):
+    """Ranges are one constant; an id finds its own by halving."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "500")
+    own.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    df = own.range(9000).selectExpr("id * 7 as doc_id", "concat('word ', id % 97) as text")
+    out = compare_with_next(df)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert plan.count("cast(") < 60 and plan.count("lambdafunction") < 10
+    rows = {r.doc_id: r.edited_sha256 for r in out.collect()}
+    assert rows == {i: sha for i, _, sha, *_ in brute([(k * 7, f"word {k % 97}") for k in range(9000)])}

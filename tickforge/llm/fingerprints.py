@@ -142,6 +142,11 @@ def _compare(k: int):
     return run
 
 
+def _listed(values: list, kind: str):
+    """An array constant, one literal in the plan whatever its length."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """Fingerprints of each text and of its edited text (see ``edited``; the
     following text is that of the next id, after the last id the first).
@@ -157,14 +162,20 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     rows = documents(docs, id_col, text_col)
     parts = 8 * shuffle_partitions(docs.sparkSession)
-    marks = rows.agg(F.min("id").alias("first"), F.percentile_approx(
-        "id", [i / parts for i in range(1, parts)], 20 * parts).alias("cuts")).first()
+    shares = _listed([i / parts for i in range(1, parts)], "double")
+    marks = rows.agg(F.min("id").alias("first"), F.percentile_approx("id", shares, 20 * parts).alias("cuts")).first()
     names = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string," \
             " near_edited double, near_next double"
     first = 0 if marks["first"] is None else marks["first"]
     cuts = sorted({first, *(marks["cuts"] or [])})
-    splits = F.array(*[F.lit(x).cast("long") for x in cuts])
-    place = F.size(F.filter(splits, lambda s: s <= F.col("id"))) - 1
+    splits = _listed(cuts, "bigint")
+
+    def halves(low, step):  # the last cut that is not above the id
+        at = low + step
+        return F.when(F.get(splits, at) <= F.col("id"), at).otherwise(low)
+
+    steps = [1 << k for k in reversed(range((len(cuts) - 1).bit_length()))]
+    place = F.aggregate(_listed(steps, "int"), F.lit(0), halves) if steps else F.lit(0)
     rows = rows.withColumn("own", place)
     first_of_part = F.element_at(splits, F.col("own") + 1) == F.col("id")
     before = F.pmod(F.col("own") - 1, F.lit(len(cuts)))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickforge.llm.arrowtext import pieces
-from tickforge.llm.common import documents, public_id, shuffle_partitions, ship, written
+from tickforge.llm.common import discard, documents, public_id, shuffle_partitions, ship, written
 from tickforge.session import run_dir
 
 MIN_CHARS = 10
@@ -160,25 +160,30 @@ def batch_bounds(rows: DataFrame, batches: int) -> list[tuple[int, int]]:
     return list(zip(edges[:-1], edges[1:]))
 
 
-def _within(rows: DataFrame, low: int, high: int | None) -> DataFrame:
-    out = rows.where(F.col("id") >= low)
-    return out if high is None else out.where(F.col("id") < high)
+def _within(docs: DataFrame, id_col: str, low: int, high: int | None) -> DataFrame:
+    """Rows of an id range, by the id column as it is stored, so that the scan
+    can skip what lies outside; null ids are in the last range."""
+    own = F.col(f"`{id_col}`").cast("long")
+    return docs.where((own >= low) | own.isNull() if high is None else (own >= low) & (own < high))
 
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
               batches: int = BATCHES, fan_out: int = FAN_OUT) -> DataFrame:
     """(id, version, lines) of all documents that lose lines, fed batch by batch."""
     rows = documents(docs, id_col, text_col)
-    spark = docs.sparkSession
-    runs = LineRuns(spark, fan_out)
+    runs = LineRuns(docs.sparkSession, fan_out)
     out = None
-    for low, high in batch_bounds(rows, batches):
-        # written once, used for the new run and for the decisions
-        keys = written(line_keys(_within(rows, low, high), min_chars), "line-keys")
-        runs.add(keys)
-        gone = written(runs.dropped(keys), "line-drops")
-        out = gone if out is None else out.unionByName(gone)
-    runs.close()
+    try:
+        for low, high in batch_bounds(rows, batches):
+            # written once, used for the new run and for the decisions
+            batch = documents(_within(docs, id_col, low, high), id_col, text_col)
+            keys = written(line_keys(batch, min_chars), "line-keys")
+            runs.add(keys)
+            gone = written(runs.dropped(keys), "line-drops")
+            discard(keys)
+            out = gone if out is None else out.unionByName(gone)
+    finally:
+        runs.close()
     return out
 
 

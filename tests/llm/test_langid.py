@@ -1,8 +1,9 @@
 import random
 
+import pyarrow as pa
 import pytest
 
-from tickforge.llm.langid import UNKNOWN, fit, predict
+from tickforge.llm.langid import SIZES, UNKNOWN, _counter, fit, predict
 
 SYLLABLES = {"aa": "the th er on an re in ou".split(), "bb": "die der ü ich ein ver ß".split(), "cc": "le é que è ai oi".split()}
 
@@ -60,3 +61,21 @@ def test_odd_rows(spark, table):
 def test_too_many_languages(spark, table):
     with pytest.raises(ValueError):
         fit(table, max_languages=2)
+
+
+@pytest.mark.parametrize("most", [1, 7, 1000])
+def test_a_dirty_language_column_is_counted_piece_by_piece(most):
+    """A task holds ``most`` languages' counts; parts add up to the whole."""
+    from collections import Counter
+    rows = [(f"text {k % 13}", f"l{k * k % 40}") for k in range(300)]
+    batches = [pa.RecordBatch.from_pylist([{"text": t, "lang": x} for t, x in rows[a:a + 70]]) for a in range(0, 300, 70)]
+
+    def total(limit):
+        out = Counter()
+        for part in _counter(SIZES, 8, limit)(iter(batches)):
+            for r in part.to_pylist():
+                out[r["lang"], r["bucket"]] += r["n"]
+        return out
+
+    got = total(most)
+    assert got == total(10**6) and sum(n for (_, b), n in got.items() if b < 0) == 300

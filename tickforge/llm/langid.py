@@ -66,21 +66,10 @@ def grams(chars: np.ndarray, offs: np.ndarray, size: int, bits: int) -> tuple[np
     return ((h * np.uint32(0xC2B2AE35)) >> np.uint32(32 - bits)).astype(np.int32), out
 
 
-def _counter(sizes, bits):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, list] = {}
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                langs = np.array(piece.column("lang").to_pylist(), object)
-                chars, offs = code_points(piece.column("text"))
-                for size in sizes:
-                    buckets, at = grams(chars, offs, size, bits)
-                    row = np.repeat(np.arange(len(langs)), np.diff(at))
-                    for lang in set(langs):
-                        own = totals.setdefault(lang, [0, np.zeros(1 << bits, np.int64)])
-                        own[1] += np.bincount(buckets[(langs == lang)[row]], minlength=1 << bits)
-                for lang in langs:
-                    totals[lang][0] += 1
+def _counter(sizes, bits, most):
+    """Counts of the rows of a task; what ``most`` languages have is passed on
+    before more are counted, so a task holds ``most * 2**bits`` at most."""
+    def flushed(totals):
         for lang, (rows, counts) in totals.items():
             used = np.flatnonzero(counts)
             # bucket -1 carries the number of rows
@@ -89,6 +78,27 @@ def _counter(sizes, bits):
                  pa.array(np.concatenate([[-1], used]).astype(np.int32)),
                  pa.array(np.concatenate([[rows], counts[used]]).astype(np.int64))],
                 names=["lang", "bucket", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[str, list] = {}
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                names, langs = np.unique(piece.column("lang").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+                chars, offs = code_points(piece.column("text"))
+                for first in range(0, len(names), most):
+                    some = names[first:first + most].tolist()
+                    if len(totals.keys() | set(some)) > most:
+                        yield from flushed(totals)
+                        totals = {}
+                    for size in sizes:
+                        buckets, at = grams(chars, offs, size, bits)
+                        lang_of = np.repeat(langs, np.diff(at))
+                        for k, lang in enumerate(some, first):
+                            own = totals.setdefault(lang, [0, np.zeros(1 << bits, np.int64)])
+                            own[1] += np.bincount(buckets[lang_of == k], minlength=1 << bits)
+                    for k, lang in enumerate(some, first):
+                        totals[lang][0] += int((langs == k).sum())
+        yield from flushed(totals)
     return count
 
 
@@ -103,7 +113,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sizes:
     ship(docs.sparkSession)
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("text is not null and lang is not null and lang != ''")
-    counts = rows.mapInArrow(_counter(sizes, bits), "lang string, bucket int, n long") \
+    counts = rows.mapInArrow(_counter(sizes, bits, max_languages), "lang string, bucket int, n long") \
         .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = counts.limit(max_languages * ((1 << bits) + 1) + 1).toArrow()
     names = sorted(set(got.column("lang").to_pylist()))

@@ -1,7 +1,9 @@
 import random
 
+import numpy as np
+
 from brute import shingles, words
-from tickforge.llm.decontam import contaminated, size_classes
+from tickforge.llm.decontam import contaminated, size_classes, spans
 
 
 def brute(docs, items, t=0.8):
@@ -49,3 +51,33 @@ def test_odd_tables(spark):
 def test_size_classes():
     c = size_classes(300)
     assert c[0] == 1 and c[-1] >= 300 and all(b <= max(a + 1, 1.25 * a) for a, b in zip(c, c[1:]))
+
+
+def test_spans_equal_a_plain_search():
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 60, 300).astype(np.uint64)
+    at = np.sort(rng.choice(300, 90, False))
+    for top in (1, 7, 40):
+        want = []
+        for i in at:
+            a = b = int(i)
+            while i - a < top and a > 0 and values[a - 1] >= values[i]:
+                a -= 1
+            while b - i < top and b + 1 < 300 and values[b + 1] >= values[i]:
+                b += 1
+            want.append(b - a + 1)
+        free = values[at] > 0  # a 0 ends every window
+        for cells in (1, 100, 1 << 20):
+            got = spans(values, at, top, cells)
+            assert got[free].tolist() == np.array(want)[free].tolist()
+
+
+def test_long_items_in_long_documents(spark):
+    """Items as long as documents: places are looked at a bounded number at a time."""
+    rng = random.Random(8)
+    item = words(rng, 6000)
+    changed = [w if k % 400 else "other" for k, w in enumerate(item)]
+    docs = [(1, " ".join(words(rng, 3000) + changed)), (2, " ".join(item[:3000])), (3, " ".join(words(rng, 9000)))]
+    items = [(7, " ".join(item)), (8, " ".join(item[100:130]))]
+    got = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, text string"))
+    assert {(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in got.collect()} == brute(docs, items)

@@ -43,6 +43,8 @@ COORDINATES = 20
 GROWTH = 1.25
 #: Size of each broadcast bitmap: 2**BITMAP_BITS bits.
 BITMAP_BITS = 23
+#: Tokens that ``spans`` looks at in one go, about 20 bytes each.
+SPAN_CELLS = 1 << 22
 
 
 def size_classes(top: int, growth: float = GROWTH) -> list[int]:
@@ -90,9 +92,13 @@ def _in(bitmap: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
     return (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
-def spans(values: np.ndarray, at: np.ndarray, top: int) -> np.ndarray:
+def spans(values: np.ndarray, at: np.ndarray, top: int, cells: int = SPAN_CELLS) -> np.ndarray:
     """For each place in ``at``: how many tokens the longest window has in
-    which it is the smallest, looking ``top`` tokens to either side."""
+    which it is the smallest, looking ``top`` tokens to either side; as many
+    places at once as have ``cells`` tokens to look at."""
+    per = max(1, cells // top)
+    if len(at) > per:
+        return np.concatenate([spans(values, at[a:a + per], top, cells) for a in range(0, len(at), per)])
     padded = np.concatenate([np.zeros(top, U64), values, np.zeros(top, U64)])
     step = np.arange(1, top + 1)
     here = values[at][:, None]

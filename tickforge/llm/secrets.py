@@ -2,7 +2,10 @@
 functions and ``pyspark.ml`` only.
 
 Candidates are runs of at least ``MIN_CHARS`` characters of
-``[A-Za-z0-9_+/=-]`` in whole texts, with the words around them.  Features of a
+``[A-Za-z0-9_+/=-]`` in whole texts, with the words around them; where a
+credential word and an assignment sign stand before, in the word or in the one
+or two words before it, or in an address with user name and password,
+``SHORT_CHARS`` are enough.  Features of a
 candidate: length; shares of digits, capitals and hex digits; number of
 distinct characters; transitions between letters of either case, digits and
 other characters; dictionary coverage (share of its characters in runs of
@@ -16,11 +19,14 @@ coverage of the word before).  A random forest is fitted on labelled findings,
 A null or empty text has no candidates, a null path is an empty one.  Without
 findings of both labels the score of every candidate is the share of positive
 labels (0 without labels).  Null labels are ignored.  Repeated rows are
-reported each.  Other columns are ignored; an empty table gives no rows.
+reported each.  Of reviewed findings with different labels for one secret none
+counts.  Other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -30,6 +36,7 @@ from pyspark.sql import functions as F
 from tickforge.llm.common import LAST_ID, public_id, written
 
 MIN_CHARS = 16
+SHORT_CHARS = 8
 MIN_DOCS = 3
 MAX_TRAIN = 20000
 TREES, DEPTH = 20, 6
@@ -39,6 +46,14 @@ RUN = f"[A-Za-z0-9_+/=-]{{{MIN_CHARS},}}"
 #: Words that stand before credentials, and in paths of samples.
 CREDENTIAL_WORDS = "(?i)(token|secret|passw|pwd|api.?key|access.?key|credential|auth|bearer|private)"
 SAMPLE_WORDS = "(?i)(test|example|sample|mock|fixture|doc)"
+#: Published formats of access keys and tokens.
+PUBLISHED = ("^AKIA[0-9A-Z]{16}$", "^gh[pousr]_[A-Za-z0-9]{36}$", "^xox[abprs]-[A-Za-z0-9-]{20,}$", "^AIza[A-Za-z0-9_-]{35}$",
+             "^(sk|rk)_live_[A-Za-z0-9]{24,}$", "^npm_[A-Za-z0-9]{36}$", "^glpat-[A-Za-z0-9_-]{20}$", "^eyJ[A-Za-z0-9_-]{20,}$")
+SHORT_RUN = f"[A-Za-z0-9_+/=-]{{{SHORT_CHARS},}}"
+#: User name and password in an address.
+USER_PART = "://[^/@:]*:[^/@]*@"
+#: A credential word, the rest of the name, an assignment sign.
+NAMED = CREDENTIAL_WORDS + "[A-Za-z0-9_.\\]'\"-]*[ \\t\\n\\x0B\\f\\r]*[=:]"
 
 FEATURES = ["f_length", "f_digits", "f_capitals", "f_hex", "f_distinct", "f_transitions", "f_dictionary", "f_slashes",
             "f_around", "f_path", "f_sample", "f_credential", "f_assigned", "f_quoted", "f_before"]
@@ -51,19 +66,32 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = F.coalesce(F.col(f"`{path_col}`").cast("string"), F.lit("")) if path_col else F.lit("")
     rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("id"), path.alias("path"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    words = rows.where(F.col("text").rlike(RUN)).select(
+    words = rows.where(F.col("text").rlike(RUN) | F.col("text").rlike(NAMED) | F.col("text").rlike(USER_PART)).select(
         "id", "path", F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), r"[ \t\n\x0B\f\r]+").alias("w"))
 
     def near(i: Column) -> Column:
         return F.coalesce(F.get(F.col("w"), i), F.lit(""))
 
-    numbers = F.filter(F.sequence(F.lit(0), F.size("w") - 1),
-                       lambda i: (F.length(F.get(F.col("w"), i)) >= MIN_CHARS) & F.get(F.col("w"), i).rlike(RUN))
+    def named(word: Column, before1: Column, before2: Column) -> Column:
+        return (before1.rlike("[=:]$") & F.concat_ws(" ", before2, before1).rlike(CREDENTIAL_WORDS)) \
+            | (word.rlike("[=:]") & (word.rlike(NAMED) | word.rlike(USER_PART)))
+
+    def some(i: Column) -> Column:
+        word = F.get(F.col("w"), i)
+        return (F.length(word) >= SHORT_CHARS) & word.rlike(SHORT_RUN) & (
+            word.rlike(RUN) | named(word, near(i - 1), near(i - 2)))
+
+    numbers = F.filter(F.sequence(F.lit(0), F.size("w") - 1), some)
     hits = F.transform(numbers, lambda i: F.struct(
         i.alias("word_no"), F.get(F.col("w"), i).alias("word"), near(i - 1).alias("before1"),
         near(i - 2).alias("before2"), near(i + 1).alias("after1")))
     each = words.select("id", "path", F.inline(hits))
-    return each.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(RUN), F.lit(0))).alias("run_no", "run"))
+    runs = F.regexp_extract_all("word", F.lit(RUN), F.lit(0))
+    # a name and its sign are no value
+    short = F.filter(F.regexp_extract_all("word", F.lit(SHORT_RUN), F.lit(0)),
+                     lambda r: (F.length(r) >= MIN_CHARS) | ~r.rlike(CREDENTIAL_WORDS + "[A-Za-z_-]*=*$"))
+    own = F.when(named(F.col("word"), F.col("before1"), F.col("before2")), short).otherwise(runs)
+    return each.select("*", F.posexplode(own).alias("run_no", "run"))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -137,27 +165,45 @@ def fit_and_score(rows: DataFrame, label: Column, max_train: int = MAX_TRAIN, tr
 
 
 def known_format(word: Column, run: Column, before: Column) -> Column:
-    """Labels of findings whose format settles the matter, null for others:
-    true for a quoted hex string of 32 to 64 digits after an assignment sign,
-    false for digits only, letters only, separators only, and mail, path or
-    address parts."""
-    hex_value = run.rlike("^[0-9a-f]{32,64}$") & run.rlike("[0-9]") & run.rlike("[a-f]")
-    assigned = (before == "=") & word.rlike("^['\"]")
+    """Labels of findings whose format settles the matter, null for others.
+
+    True for the ``PUBLISHED`` formats; for a hex string of 32 to 64 digits
+    that is quoted after an equals sign, or assigned with ``=`` or ``:`` to a
+    credential word, in one word or two; for what stands between user name and
+    host in an address, or in a query parameter named by a credential word, if
+    it has letters and digits.  False for digits only, letters only, separators
+    only, and other mail, path or address parts."""
+    mark = "\u0001"
+    shape = F.replace(word, run, F.lit(mark))
+    digits, letters = run.rlike("[0-9]"), run.rlike("[A-Za-z]")
+    hex_value = (run.rlike("^[0-9a-f]{32,64}$") | run.rlike("^[0-9A-F]{32,64}$")) & digits & letters
+    published = reduce(lambda a, x: a | run.rlike(x), PUBLISHED[1:], run.rlike(PUBLISHED[0]))
+    quoted = (before == "=") & word.rlike("^['\"]")
+    assigned = shape.rlike(CREDENTIAL_WORDS + f"[A-Za-z0-9_.'\"-]*[=:]['\"]?{mark}") \
+        | (before.rlike(CREDENTIAL_WORDS + "[A-Za-z0-9_.'\"-]*[=:]$") & shape.rlike(f"^['\"]?{mark}"))
+    in_address = shape.rlike(f"://[^/@:]*:{mark}@") | shape.rlike("[?&][^=&]*" + CREDENTIAL_WORDS + f"[^=&]*={mark}")
     plain = run.rlike("^[0-9]+$") | run.rlike("^[A-Za-z]+$") | run.rlike("^[_+/=-]+$") | word.rlike("@|://|^/")
-    return F.when(hex_value & assigned, True).when(plain, False)
+    return F.when(published | (hex_value & (quoted | assigned)) | (in_address & digits & letters), True).when(plain, False)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None,
-         label=known_format, threshold: float = THRESHOLD, max_train: int = MAX_TRAIN, min_docs: int = MIN_DOCS
-         ) -> DataFrame:
+         label=known_format, threshold: float = THRESHOLD, max_train: int = MAX_TRAIN, min_docs: int = MIN_DOCS,
+         reviewed: DataFrame | None = None) -> DataFrame:
     """(doc_id, word_no, run_no, secret, score, is_secret): every candidate.
 
-    ``label(word, run, word before)`` gives a candidate's label, or null; it
-    can look up reviewed findings or, as by default, settle by format.
+    ``reviewed`` (secret, is_secret) has labelled findings; for all others
+    ``label(word, run, word before)`` gives a candidate's label, or null.
     """
     found = written(candidates(docs, id_col, text_col, path_col), "secret-candidates")
     rows = written(featured(found, written(dictionary(docs, text_col, min_docs), "secret-words")), "secret-features")
-    scored = fit_and_score(rows, label(F.col("word"), F.col("run"), F.col("before1")), max_train)
+    own = label(F.col("word"), F.col("run"), F.col("before1"))
+    if reviewed is not None:
+        seen = reviewed.select(F.col("secret").alias("run"), F.col("is_secret").cast("boolean").alias("reviewed")) \
+            .groupBy("run").agg(F.min("reviewed").alias("reviewed"), F.max("reviewed").alias("most")) \
+            .where("reviewed = most").drop("most")
+        rows = rows.join(seen, "run", "left")
+        own = F.coalesce(F.col("reviewed"), own)
+    scored = fit_and_score(rows, own, max_train)
     return scored.select(public_id().alias(id_col), F.col("word_no").cast("long").alias("word_no"),
                          F.col("run_no").cast("long").alias("run_no"), F.col("run").alias("secret"), "score",
                          (F.col("score") >= threshold).alias("is_secret"))

@@ -80,6 +80,57 @@ def test_neighbours_share_windows():
     docs = [(rng.integers(0, 100, 40) + 500 * (i % 2)).astype(np.uint32) for i in range(64)]
     df = np.bincount(np.concatenate([np.unique(x) for x in docs]), minlength=1000)
     kinds = {}
-    for d, _, n, s, _ in pack_shard(docs, df, 64, 40.0, 160):
+    for d, _, n, s, _ in pack_shard(docs, np.zeros(64, np.int64), df, 64, 40.0, 160):
         kinds.setdefault(s, set()).add(d % 2)
     assert sum(len(k) == 1 for k in kinds.values()) >= len(kinds) - 2
+
+
+@pytest.mark.parametrize("groups", [480, 1920])
+def test_near_documents_are_dealt_to_one_shard(spark, groups):
+    """Each document's brute-force top neighbour is its changed copy.  As many
+    share a sequence as in one shard of all documents, at either size; the
+    number of shuffle partitions does not matter."""
+    rng = random.Random(groups)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9))) for _ in range(4000)]
+    docs = []
+    for g in range(groups):
+        text = [rng.choice(vocabulary) for _ in range(60)]
+        other = list(text)
+        other[rng.randrange(60)] = "changed"
+        docs += [(g, " ".join(text)), (100_000 - g, " ".join(other))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    before, rows = spark.conf.get("spark.sql.shuffle.partitions"), {}
+    for n in ("3", "50"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            rows[n] = sorted(pack(df, PATH, window=1024, shard_tokens=1 << 16).drop("ids").collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert rows["3"] == rows["50"]
+    assert len({r.sequence_id >> 32 for r in rows["3"]}) >= groups // 900
+    whole = pack(df, PATH, window=1024, shard_tokens=1 << 26).drop("ids").collect()
+
+    def together(found):
+        where = {}
+        for r in found:
+            where.setdefault(r.doc_id, set()).add(r.sequence_id)
+        return sum(bool(where[g] & where[100_000 - g]) for g in range(groups))
+
+    assert together(rows["3"]) >= 0.9 * together(whole)
+    assert together(whole) >= 0.8 * groups
+
+
+def test_rest_goes_to_the_next_shard(spark):
+    """Only a task's last sequences are shorter than a window, also where a
+    third of all rows are the same row."""
+    docs = [(i if i % 3 else None, "same text" if i % 3 == 0 else " ".join(f"w{i}x{j}" for j in range(9)))
+            for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = pack(df, PATH, window=64, shard_tokens=256).collect()
+    check(docs, rows, 64)
+    size, parts = {}, {}
+    for r in rows:
+        size[r.sequence_id] = size.get(r.sequence_id, 0) + r.length
+    for s, n in size.items():
+        parts.setdefault(s >> 32, []).append(n)
+    assert len(parts) > 3 and all(sum(n < 64 for n in p) <= 6 for p in parts.values())
